@@ -1,0 +1,190 @@
+"""Queries for the sources and sinks. Each writes the given tables to the shared folder and reads them back."""
+
+from pyspark.sql import functions as F
+
+from cohortlens.catalog.registry import query, r6, with_
+from cohortlens.operators import decide
+from cohortlens.plans.bindings import UNIT_BASE_SQL, table, unit_base
+from cohortlens.session import shared_folder
+from cohortlens.sources import preview, samples, sinks, snapshot, tables
+
+
+def _orders_by_year(spark, sf):
+    return table(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
+
+
+YEAR_SQL = """SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS n, round(sum(o_totalprice), 2) AS total
+FROM orders {where} GROUP BY 1"""
+
+
+def _by_year(df):
+    return df.groupBy("year").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
+
+
+@query("a2_partition_read", YEAR_SQL.format(where="WHERE year(o_orderdate) = 1997"))
+def a2(spark, sf):
+    path = shared_folder(spark) + "/orders"
+    _orders_by_year(spark, sf).write.partitionBy("year").parquet(path)
+    return _by_year(tables.read_partition(spark, path, 1997))
+
+
+def write_logged_table(spark, df, path, version, remove=None):
+    """Append ``df`` by year and commit it to a log at ``path``; ``remove`` names files that end with it."""
+    stage = f"{path}/batch={version}"
+    df.write.partitionBy("year").parquet(stage)
+    added = snapshot.file_listing(spark, stage).select(
+        F.regexp_extract("file", r"(batch=\d+/year=\d+/[^/]+)$", 1).alias("path")
+    )
+    values = F.create_map(F.lit("year"), F.regexp_extract("path", r"year=(\d+)", 1))
+    lines = added.select(F.to_json(F.struct(F.struct("path", values.alias("partitionValues")).alias("add"))).alias("value"))
+    if remove is not None:
+        gone = remove.select(F.to_json(F.struct(F.struct("path").alias("remove"))).alias("value"))
+        lines = lines.unionByName(gone)
+    # the commit is a folder named like a commit file: the log reader takes either
+    lines.coalesce(1).write.text(f"{path}/{snapshot.LOG}/{version:020d}.json")
+
+
+def logged_orders(spark, sf):
+    """Orders as a logged table: all years with wrong prices, then 1997 and later replaced by the right ones,
+    then the earlier years. The replaced files stay on disk."""
+    path = shared_folder(spark) + "/logged"
+    rows = _orders_by_year(spark, sf)
+    write_logged_table(spark, rows.withColumn("o_totalprice", F.lit(-1.0)), path, 0)
+    for version, part in ((1, "year >= 1997"), (2, "year < 1997")):
+        stale = snapshot.active_paths(spark, path).where("path like 'batch=0/%'")
+        year = F.regexp_extract("path", r"year=(\d+)", 1).cast("int").alias("year")
+        stale = stale.select("path", year).where(part).select("path")
+        write_logged_table(spark, rows.where(part), path, version, stale)
+    return path
+
+
+@query("a3_snapshot_read", YEAR_SQL.format(where=""))
+def a3(spark, sf):
+    path = logged_orders(spark, sf)
+    files = snapshot.active_files(spark, path)
+    return _by_year(spark.read.option("basePath", path).parquet(*files).drop("batch"))
+
+
+@query("a3_snapshot_partition", YEAR_SQL.format(where="WHERE year(o_orderdate) = 1998"))
+def a3_year(spark, sf):
+    lake = tables.Lake(root="", facts=("orders",), context=(), modeling="orders", paths={"orders": logged_orders(spark, sf)})
+    return _by_year(tables.load(spark, lake, "orders", 1998, ["year", "o_totalprice"]))
+
+
+def status_batches(spark, sf):
+    """Orders in three appends, one status after the other, without a log."""
+    path = shared_folder(spark) + "/batches"
+    rows = table(spark, sf, "orders")
+    for status in ("F", "O", "P"):
+        rows.where(F.col("o_orderstatus") == status).coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@query(
+    "a4_recent_files",
+    """SELECT row_number() OVER (ORDER BY o_orderstatus DESC) AS position, o_orderstatus, n FROM
+(SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1)""",
+)
+def a4(spark, sf):
+    """Files newest first, shown by the status each of them holds."""
+    path = status_batches(spark, sf)
+    out = None
+    for position, file in enumerate(snapshot.recent_files(spark, path), 1):
+        part = spark.read.parquet(file).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+        part = part.select(F.lit(position).cast("long").alias("position"), "o_orderstatus", "n")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query("a5_column_pruned", "SELECT o_orderkey, o_totalprice FROM orders")
+def a5(spark, sf):
+    lake = tables.Lake(root=sf, facts=("orders.parquet",), context=(), modeling="orders.parquet")
+    return tables.load(spark, lake, "orders.parquet", year="", columns=["o_orderkey", "o_totalprice"])
+
+
+@query("a6_bounded_files", "SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1")
+def a6(spark, sf):
+    """Only the newest file."""
+    lake = tables.Lake(root="", facts=("orders",), context=(), modeling="orders", paths={"orders": status_batches(spark, sf)})
+    return tables.load(spark, lake, year="", max_files=1).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+
+
+@query(
+    "a7_union_by_name",
+    """SELECT o_orderkey, o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus = 'F'
+UNION ALL BY NAME SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'F'""",
+)
+def a7(spark, sf):
+    rows = table(spark, sf, "orders")
+    new = rows.where("o_orderstatus = 'F'").select("o_orderkey", "o_totalprice", "o_orderpriority")
+    return tables.union_by_name([new, rows.where("o_orderstatus <> 'F'").select("o_orderkey", "o_totalprice")])
+
+
+@query(
+    "a11_stored_sample",
+    "SELECT event_id, event_type FROM events ORDER BY md5('42:' || event_id) || event_id LIMIT 700",
+)
+def a11(spark, sf):
+    lake = tables.Lake(root=sf, facts=("events.parquet",), context=(), modeling="events.parquet", row_key="event_id")
+    folder = shared_folder(spark)
+    for _ in range(2):  # the second call reads what the first one wrote
+        out = samples.stored_sample(spark, lake, folder, n=700, year="", balance_on=None)
+    return out.select("event_id", "event_type")
+
+
+@query(
+    "a12_policy_loader",
+    """SELECT 'events.parquet' AS name, least(count(*), 800) AS n FROM events
+UNION ALL SELECT 'nation.parquet', count(*) FROM nation UNION ALL SELECT 'region.parquet', count(*) FROM region""",
+)
+def a12(spark, sf):
+    lake = tables.Lake(
+        root=sf, facts=("events.parquet",), context=("nation.parquet", "region.parquet"), row_key="event_id"
+    )
+    out = None
+    for name, df in tables.load_tables(spark, lake, 800, "").items():
+        part = df.agg(F.lit(name).alias("name"), F.count("*").alias("n"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+REGION_SQL = """SELECT region, count(*) AS n, round(avg(score), 9) AS mean_score FROM unit_base GROUP BY 1"""
+
+
+def _region(spark, sf):
+    return unit_base(spark, sf).groupBy("region").agg(F.count("*").alias("n"), F.round(F.avg("score"), 9).alias("mean_score"))
+
+
+@query("a14_csv_sink", with_(UNIT_BASE_SQL, REGION_SQL))
+def a14(spark, sf):
+    path = sinks.save_table(_region(spark, sf), shared_folder(spark) + "/region")
+    return spark.read.schema("region string, n long, mean_score double").csv(path, header=True)
+
+
+@query("a15_json_sink", with_(UNIT_BASE_SQL, REGION_SQL))
+def a15(spark, sf):
+    path = sinks.save_json(_region(spark, sf), shared_folder(spark) + "/region")
+    return spark.read.schema("region string, n long, mean_score double").json(path)
+
+
+@query("a17_shape", "SELECT count(*) AS n_rows, 6 AS n_columns FROM orders")
+def a17(spark, sf):
+    return preview.shape(table(spark, sf, "orders"))
+
+
+@query("a17_head", "SELECT * FROM customer ORDER BY c_custkey LIMIT 5")
+def a17_head(spark, sf):
+    return preview.head(table(spark, sf, "customer"), "c_custkey")
+
+
+@query("a17_tail", "SELECT * FROM customer ORDER BY c_custkey DESC LIMIT 5")
+def a17_tail(spark, sf):
+    return preview.tail(table(spark, sf, "customer"), "c_custkey")
+
+
+@query("a13_modeling_table", with_(UNIT_BASE_SQL, "SELECT row_id, y, round(acctbal, 6) AS acctbal FROM unit_base"))
+def a13(spark, sf):
+    """The modeling table without its all-null columns."""
+    lake = tables.Lake(root=sf)
+    out = tables.modeling_table({"unit_analytic": unit_base(spark, sf).select("row_id", "y", "acctbal", "lag1_empty")}, lake)
+    return out.select(*[r6(c) if c == "acctbal" else c for c in out.columns])
