@@ -133,7 +133,7 @@ def h6(spark, sf):
 
 
 def _holdout_metrics(spark, sf, name, params):
-    rows = splits.grouped_holdout(model_input(spark, sf))
+    rows = written(splits.grouped_holdout(model_input(spark, sf)), "holdout")
     model = models.fit_model(name, rows.where("not is_test"), ROLES, params)
     scored = models.score(model, rows.where("is_test")).select("y", "score")
     return metrics.classification_metrics(scored)
@@ -200,8 +200,8 @@ def h10_distance(spark, sf):
 @query("h10_knn_model")
 def h10_model(spark, sf):
     """The k-nearest classifier of the search, fitted on a capped sample of the training groups."""
-    rows = splits.grouped_holdout(model_input(spark, sf))
-    train = splits.row_cap(rows.where("not is_test"), 2_000)
+    rows = written(splits.grouped_holdout(model_input(spark, sf)), "holdout")
+    train = written(splits.row_cap(rows.where("not is_test"), 2_000), "knn_train")
     model = models.fit_model("knn", train, ROLES, {"k": 31, "weights": "distance"})
     return metrics.classification_metrics(models.score(model, rows.where("is_test")).select("y", "score"))
 

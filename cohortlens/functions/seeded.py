@@ -51,6 +51,7 @@ def lowest_mask(
     cuts = (
         counts.withColumn("_upto", upto)
         .join(F.broadcast(sizes), "_part")  # one row per class
+        .where(F.col("_want") < F.col("total"))
         .where((F.col("_upto") >= F.col("_want")) & (F.col("_upto") - F.col("_n") < F.col("_want")))
         .select("_part", "_pre", (F.col("_want") - F.col("_upto") + F.col("_n")).alias("_need"))
     )
@@ -58,10 +59,11 @@ def lowest_mask(
     edge = base.join(F.broadcast(cuts), ["_part", "_pre"])
     nth = F.row_number().over(W.partitionBy("_part", "_pre").orderBy("_tag"))
     found = edge.withColumn("_i", nth).where(F.col("_i") == F.col("_need")).select("_part", "_tag")
-    cut_of = found.agg(F.map_from_entries(F.collect_list(F.struct("_part", "_tag")))).scalar()
-    takes_all = sizes.where(F.col("_want") >= F.col("total")).agg(F.collect_set("_part")).scalar()
+    # "~" sorts after every tag: a stratum whose quota covers it is taken whole
+    whole = sizes.where(F.col("_want") >= F.col("total")).select("_part", F.lit("~").alias("_tag"))
+    cut_of = found.unionByName(whole).agg(F.map_from_entries(F.collect_list(F.struct("_part", "_tag")))).scalar()
     tag = F.concat(seeded_tag(seed, key), F.col(key).cast("string"))
-    return F.array_contains(takes_all, part) | F.coalesce(tag <= F.try_element_at(cut_of, part), F.lit(False))
+    return F.coalesce(tag <= F.try_element_at(cut_of, part), F.lit(False))
 
 
 def take_lowest(df: DataFrame, n: int, key: str, seed: int | str = 42) -> DataFrame:

@@ -64,14 +64,23 @@ def _from_cells(tn: Column, fp: Column, fn: Column, tp: Column) -> dict[str, Col
     }
 
 
+def _as_column(threshold: float | Column) -> Column:
+    return threshold if isinstance(threshold, Column) else F.lit(float(threshold))
+
+
+def _with_threshold(df: DataFrame, threshold: float | Column) -> DataFrame:
+    """The threshold as a column: one picked by a subquery over model scores may not stand in an aggregate."""
+    return df.withColumn("_t", _as_column(threshold).cast("double"))
+
+
 def metrics_from_curve(
     curve: DataFrame, threshold: float | Column = 0.5, prefix: str = "", by: Sequence[str] = ()
 ) -> DataFrame:
     """One row of metrics (per ``by``) from the curve table."""
-    t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    above = F.col("score") >= t
+    above = F.col("score") >= F.col("_t")
     zero = F.lit(0).cast("long")
-    cells = curve.groupBy(*by).agg(
+    cells = _with_threshold(curve, threshold).groupBy(*by).agg(
+        F.max("_t").alias("threshold"),
         _auc().alias("roc_auc"),
         _average_precision().alias("pr_auc"),
         F.try_divide(F.sum("sq"), F.sum(F.col("pos") + F.col("neg")).cast("double")).alias("brier"),
@@ -81,7 +90,7 @@ def metrics_from_curve(
         F.coalesce(F.sum(F.when(above, F.col("pos"))), zero).alias("tp"),
     )
     rates = _from_cells(*[F.col(c) for c in ("tn", "fp", "fn", "tp")])
-    full = cells.withColumn("threshold", t.cast("double")).withColumns(rates)
+    full = cells.withColumns(rates)
     return full.select(*by, *[F.col(n).alias(prefix + n) for n in METRIC_NAMES])
 
 
@@ -93,9 +102,8 @@ def classification_metrics(
 
 def confusion(scored: DataFrame, threshold: float | Column = 0.5) -> DataFrame:
     """One row with the four cells; empty cells are 0. No ordering is needed here."""
-    t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    hit, above = F.col("y").cast("int") == 1, F.col("score") >= t
-    return scored.agg(
+    hit, above = F.col("y").cast("int") == 1, F.col("score") >= F.col("_t")
+    return _with_threshold(scored, threshold).agg(
         F.count_if(~hit & ~above).alias("tn"),
         F.count_if(~hit & above).alias("fp"),
         F.count_if(hit & ~above).alias("fn"),

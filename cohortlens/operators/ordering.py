@@ -16,6 +16,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cohortlens.functions.seeded import seeded_tag, unit_interval
+from cohortlens.session import written
 
 ONE_TASK_ROWS = 200_000  # tables up to this size are ordered in one task
 RANGES = 512  # value ranges used beyond it, over all strata
@@ -83,6 +84,8 @@ def running_totals(
     ``value`` is numeric and unique per stratum (aggregate by it first), so ties cannot be torn apart.
     """
     by = list(by)
+    # read for the cuts and for the totals: written once, so that what lies before it runs once
+    df = written(df, "to_total")
     order = F.desc(value) if descending else F.asc(value)
     cuts = _cuts(df, value, by, one_task_rows, ranges)
     if cuts is None:
@@ -119,6 +122,7 @@ def global_rank(
     """
     v = F.col(value).cast("double")
     tag = F.concat(seeded_tag(seed, key), F.col(key).cast("string"))
+    df = written(df, "to_rank")
     keyed = df.withColumn("_v", F.coalesce(-v if descending else v, F.lit(float("inf")))).withColumn("_tie", tag)
     cuts = _cuts(keyed, "_v", (), one_task_rows, ranges)
     if cuts is None:
@@ -152,7 +156,7 @@ def exact_quantiles(
         F.count("*").alias("n")
     )
     run = running_totals(counted, "value", ["n"], by=["column"], one_task_rows=one_task_rows)
-    total = counted.groupBy("column").agg((F.sum("n") - 1).alias("last"))
+    total = run.groupBy("column").agg((F.sum("n") - 1).alias("last"))
     # `total` has one row per column
     at = (
         run.join(F.broadcast(total), "column")

@@ -31,13 +31,14 @@ def local_session(cores: str | int = 8, app: str = "cohortlens", **conf: str) ->
 def shared_folder(spark: SparkSession) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, which every executor can reach.
 
+    All folders of one application lie below one folder, which may be deleted when the application ends.
     Only where the cluster names no such folder (local tests) a temporary one is made and set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         base = tempfile.mkdtemp(prefix="cohortlens-")
         spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/cohortlens/{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/cohortlens-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
 def written(df, label: str = "step"):
