@@ -103,7 +103,18 @@ def model_input(spark, sf):
     return written(rows, "model_rows")
 
 
-@query("h5_feature_names")
+@query(
+    "h5_feature_names",
+    with_(
+        UNIT_BASE_SQL,
+        _union(f"SELECT 'num__{c}' AS feature, 0.0::DOUBLE AS mean" for c in ("lag1_rate", "acctbal", "weight", "goal_gap"))
+        + " UNION ALL "
+        + _union(
+            f"SELECT 'cat__{c}_' || {c}, round(count(*) / (SELECT count(*) FROM unit_base)::DOUBLE, 6) FROM unit_base GROUP BY {c}"
+            for c in ("network", "region")
+        ),
+    ),
+)
 def h5(spark, sf):
     """Names and mean values of the encoded features."""
     rows = unit(spark, sf).transform(frame.add_goal_gap)
@@ -111,7 +122,7 @@ def h5(spark, sf):
     names = F.array(*[F.lit(n) for n in prep.feature_names(fitted)])
     long = fitted.transform(rows).select(F.posexplode(vector_to_array("features")).alias("i", "value"))
     return long.groupBy("i").agg(F.avg("value").alias("mean")).select(
-        F.element_at(names, F.col("i") + 1).alias("feature"), "mean"
+        F.element_at(names, F.col("i") + 1).alias("feature"), (F.round("mean", 6) + F.lit(0.0)).alias("mean")
     )
 
 
@@ -269,7 +280,7 @@ def h15(spark, sf):
     return models.champion(results)
 
 
-@query("a16_model_sink")
+@query("a16_model_sink", "SELECT count(*) AS n, CAST(0 AS BIGINT) AS n_different FROM orders")
 def a16(spark, sf):
     """Rows that a reloaded model scores differently than the saved one: none, and how many it scores."""
     rows = model_input(spark, sf)

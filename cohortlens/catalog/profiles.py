@@ -7,8 +7,7 @@ from cohortlens.operators import frame, profile
 from cohortlens.plans.bindings import UNIT_BASE_SQL, UNIT_SQL, table, unit, unit_base
 
 WIDE = ("state", "region", "network", "y", "year", "weight", "acctbal", "segment", "grade", "lag1_empty", "score", "lag1_rate", "goal_t")
-NUMBERS = ("year", "weight", "acctbal", "is_even", "grade", "lag1_empty", "score", "lag1_rate", "lag1_state_rate", "goal_t", "goal_t1")
-NUMBERS = tuple(c for c in NUMBERS if c != "is_even")
+NUMBERS = ("year", "weight", "acctbal", "grade", "lag1_empty", "score", "lag1_rate", "lag1_state_rate", "goal_t", "goal_t1")
 
 
 def _union(lines):
@@ -72,9 +71,27 @@ def d4(spark, sf):
     return profile.correlation_matrix(unit(spark, sf), MATRIX).withColumn("r", F.round("r", 6))
 
 
-@query("d4_heatmap")
+SHOWN = ("weight", "acctbal", "grade", "score", "lag1_rate", "lag1_state_rate")
+
+
+@query(
+    "d4_heatmap",
+    with_(
+        UNIT_SQL,
+        ", m AS ("
+        + _union(
+            f"SELECT '{a}' AS col_a, '{b}' AS col_b, round({_corr(a, b)}, 6) AS r FROM unit"
+            for a in (*SHOWN, "y")
+            for b in (*SHOWN, "y")
+        )
+        + """),
+t AS (SELECT 'y' AS c UNION ALL SELECT * FROM (SELECT col_a FROM m WHERE col_b = 'y' AND col_a <> 'y' AND r IS NOT NULL
+  ORDER BY abs(r) DESC, col_a LIMIT 3))
+SELECT * FROM m WHERE col_a IN (SELECT c FROM t) AND col_b IN (SELECT c FROM t)""",
+    ),
+)
 def d4_heatmap(spark, sf):
-    return profile.heatmap(unit(spark, sf), "y", 5, NUMBERS)
+    return profile.heatmap(unit(spark, sf), "y", 3, SHOWN).withColumn("r", F.round("r", 6))
 
 
 @query(

@@ -14,8 +14,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql import types as T
 
-BLOCK_ROWS = 8_192
-TILE_ROWS = 64
+BLOCK_ROWS = 65_536  # the most vectors of one side in a task
+CHUNK_ROWS = 512  # left chunks are not cut smaller than this for the sake of more tasks
+TILE_ROWS = 32
 
 
 def block_pairs(
@@ -26,8 +27,10 @@ def block_pairs(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``fn(left chunk, right block)`` for every chunk and block; both frames have a unique ``id``."""
-    chunks = max(1, math.ceil(left.count() / block_rows))
-    blocks = max(1, math.ceil(right.count() / block_rows))
+    n_left, n_right = left.count(), right.count()
+    tasks = 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = max(1, math.ceil(n_left / block_rows), min(tasks, math.ceil(n_left / CHUNK_ROWS)))
+    blocks = max(1, math.ceil(n_right / block_rows))
 
     def deal(df: DataFrame, prefix: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
         # names of their own on each side: Spark mixes up the columns when a frame meets itself in a cogroup

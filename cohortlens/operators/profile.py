@@ -17,7 +17,6 @@ class ColumnStats:
     rows: int
     non_null: int
     constant: bool
-    approx_distinct: int
 
 
 def column_stats(df: DataFrame) -> dict[str, ColumnStats]:
@@ -34,7 +33,6 @@ def column_stats(df: DataFrame) -> dict[str, ColumnStats]:
                 F.count("*").alias("rows"),
                 F.count(c).alias("non_null"),
                 F.coalesce(same, F.lit(True)).alias("constant"),
-                F.approx_count_distinct(c).alias("approx_distinct"),
             )
         )
     row = df.agg(F.array(*per_column).alias("s")).first()["s"]
