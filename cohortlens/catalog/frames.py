@@ -260,7 +260,7 @@ FROM r a LEFT JOIN r b ON a.group_id = b.group_id AND b.year = a.year - 1""",
     ),
 )
 def m1(spark, sf):
-    rates = enrich.yearly_rates(unit_base(spark, sf), ["group_id"], "rate")
+    rates = enrich.yearly_rates(enrich.yearly_counts(unit_base(spark, sf), ["group_id"]), ["group_id"], "rate")
     out = enrich.prior_year(rates, ["group_id"], ["rate"])
     return out.select("group_id", "year", r9("rate"), r9("lag1_rate"))
 

@@ -9,16 +9,24 @@ from pyspark.sql import DataFrame, functions as F
 SPLITS = 256  # no piece of a group is larger than about 1/SPLITS of the rows
 
 
-def attach(rows: DataFrame, table: DataFrame, keys: Sequence[str], row_key: str, splits: int = SPLITS) -> DataFrame:
+def attach(
+    rows: DataFrame,
+    table: DataFrame,
+    keys: Sequence[str],
+    row_key: str,
+    splits: int = SPLITS,
+    sizes: DataFrame | None = None,
+) -> DataFrame:
     """Left join of ``rows`` with ``table`` (one row per ``keys``), with heavy keys split over many tasks.
 
     A key with more than ``1/splits`` of the rows is heavy, so there are fewer than ``splits`` of them and
     the list is safe to broadcast. Its rows are dealt to numbered pieces by a hash of ``row_key`` and its
     one row of ``table`` is repeated once per piece. Rows with a missing key match nothing and are dealt
-    out the same way. ``table`` itself is never broadcast by a hint: Spark decides by its measured size.
+    out the same way. ``sizes`` (``keys, _n``: the rows per key) saves counting them here. ``table`` itself is never broadcast by a hint: Spark decides by its measured size.
     """
     keys = list(keys)
-    sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    if sizes is None:
+        sizes = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
     total = sizes.agg(F.sum("_n")).scalar()
     heavy = sizes.where(F.col("_n") * splits > total).select(
         *keys, F.ceil(F.col("_n") * splits / total).cast("int").alias("_pieces")

@@ -10,9 +10,17 @@ from cohortlens.functions.columns import longer, ratio
 from cohortlens.operators.attach import attach
 
 
-def yearly_rates(df: DataFrame, keys: Sequence[str], name: str, target: str = "y", year: str = "year") -> DataFrame:
-    """Percent of positives per key and year."""
-    return df.groupBy(*keys, year).agg((F.avg(F.col(target).cast("double")) * 100).alias(name))
+def yearly_counts(df: DataFrame, keys: Sequence[str], target: str = "y", year: str = "year") -> DataFrame:
+    """``n, positives`` per key and year: one pass over the rows, all rates below come from it."""
+    return df.groupBy(*keys, year).agg(
+        F.count("*").alias("n"), F.sum(F.col(target).cast("double")).alias("positives")
+    )
+
+
+def yearly_rates(counts: DataFrame, keys: Sequence[str], name: str, year: str = "year") -> DataFrame:
+    """Percent of positives per key and year (and the rows behind it), from counts of the same or finer keys."""
+    sums = counts.groupBy(*keys, year).agg(F.sum("n").alias("n"), F.sum("positives").alias("positives"))
+    return sums.select(*keys, year, "n", (ratio(F.col("positives"), F.col("n")) * 100).alias(name))
 
 
 def prior_year(rates: DataFrame, keys: Sequence[str], columns: Sequence[str], year: str = "year") -> DataFrame:
@@ -22,12 +30,11 @@ def prior_year(rates: DataFrame, keys: Sequence[str], columns: Sequence[str], ye
 
 
 def add_prior_year(
-    rows: DataFrame, keys: Sequence[str], name: str, row_key: str = "row_id", target: str = "y", year: str = "year"
+    rows: DataFrame, rates: DataFrame, keys: Sequence[str], name: str, row_key: str = "row_id", year: str = "year"
 ) -> DataFrame:
-    """Rows with last year's rate of their key; heavy keys are split over many tasks."""
-    rates = yearly_rates(rows, keys, name, target, year)
+    """Rows with last year's rate of their key; keys with many rows are split over many tasks."""
     before = rates.select(*keys, (F.col(year) + 1).alias(year), F.col(name).alias(f"lag1_{name}"))
-    return attach(rows, before, [*keys, year], row_key)
+    return attach(rows, before, [*keys, year], row_key, sizes=rates.select(*keys, year, F.col("n").alias("_n")))
 
 
 def grain_breaks(df: DataFrame, keys: Sequence[str]) -> DataFrame:

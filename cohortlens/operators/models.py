@@ -22,7 +22,7 @@ from cohortlens.operators.metrics import roc_auc
 from cohortlens.operators.pairs import nearest, vote
 from cohortlens.operators.prep import fit_prep
 from cohortlens.operators.splits import check_folds, row_cap, with_folds
-from cohortlens.session import written
+from cohortlens.session import spread, written
 
 SEED = 42
 KNN_ROWS = 50_000
@@ -158,10 +158,11 @@ def fit_model(name: str, train: DataFrame, roles: Roles, params: dict | None = N
     if name == "knn":
         base = prep.transform(train).select(F.col(row_key).alias("id"), vector_to_array("features").alias("v"), F.col("y").cast("double").alias("y"))
         return KnnModel(prep, written(base, "knn_base"), params, row_key)
-    prepared = prep.transform(train).select("y", "features")
+    n_rows = train.count()
+    prepared = spread(prep.transform(train).select("y", "features"), n_rows)
     prepared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fitted = _fit_on_features(name, params, prepared, prepared.count(), seed)
+        fitted = _fit_on_features(name, params, prepared, n_rows, seed)
     finally:
         prepared.unpersist()
     return PipelineModel([*prep.stages, fitted])
@@ -205,9 +206,9 @@ def _fold_scores(name: str, settings: list[dict], train: DataFrame, valid: DataF
                     votes = vote(found, p["k"], p["weights"]).withColumnRenamed("id", row_key)
                     parts.append(valid.select(row_key, "y").join(votes, row_key).select(F.lit(i).alias("draw"), "y", "score"))
     else:
-        fit_rows = prep.transform(train).select("y", "features").persist(StorageLevel.MEMORY_AND_DISK)
-        held = prep.transform(valid).select("y", "features").persist(StorageLevel.MEMORY_AND_DISK)
-        n_rows = fit_rows.count()
+        n_rows = train.count()
+        fit_rows = spread(prep.transform(train).select("y", "features"), n_rows).persist(StorageLevel.MEMORY_AND_DISK)
+        held = spread(prep.transform(valid).select("y", "features"), valid.count()).persist(StorageLevel.MEMORY_AND_DISK)
         with ThreadPoolExecutor(parallelism) as pool:
             fitted = list(pool.map(lambda p: _fit_on_features(name, p, fit_rows, n_rows, seed), settings))
         parts = [

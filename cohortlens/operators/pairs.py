@@ -7,10 +7,12 @@ vectors, its distances are worked out in numpy tiles and only the reduced result
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +20,9 @@ BLOCK_ROWS = 65_536  # the most vectors of one side in a task
 CHUNK_ROWS = 512  # left chunks are not cut smaller than this for the sake of more tasks
 TILE_ROWS = 32
 
+# the functions below travel with the task: executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def block_pairs(
     left: DataFrame,
@@ -27,7 +32,8 @@ def block_pairs(
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """``fn(left chunk, right block)`` for every chunk and block; both frames have a unique ``id``."""
-    n_left, n_right = left.count(), right.count()
+    n_left = left.count()
+    n_right = n_left if right is left else right.count()
     tasks = 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     chunks = max(1, math.ceil(n_left / block_rows), min(tasks, math.ceil(n_left / CHUNK_ROWS)))
     blocks = max(1, math.ceil(n_right / block_rows))

@@ -50,8 +50,8 @@ def with_folds(
     df: DataFrame, k: int = 5, group: str = "group_id", target: str = "y", row_key: str = "row_id", seed: int | str = 42
 ) -> DataFrame:
     """Rows with their group's ``fold`` 0..k-1; large groups do not pile up in one task."""
-    folds = group_folds(df, k, group, target, seed).select(group, "fold")
-    return attach(df, folds, [group], row_key)
+    folds = group_folds(df, k, group, target, seed)
+    return attach(df, folds.select(group, "fold"), [group], row_key, sizes=folds.select(group, F.col("n").alias("_n")))
 
 
 def check_folds(df: DataFrame, k: int) -> None:

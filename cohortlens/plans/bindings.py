@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.operators.enrich import add_prior_year, yearly_rates
+from cohortlens.operators.enrich import add_prior_year, yearly_counts, yearly_rates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,9 +65,10 @@ unit_base AS (
 def unit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The wide unit table: base columns, prior-year rates of the group and of the state, goals in percent."""
     base = unit_base(spark, sf_dir)
-    rows = add_prior_year(base, ["group_id"], "rate")
+    counts = yearly_counts(base, ["group_id", "state"])
+    rows = add_prior_year(base, yearly_rates(counts, ["group_id"], "rate"), ["group_id"], "rate")
     # 25 states x the years of the data: far below any broadcast limit
-    state = yearly_rates(base, ["state"], "lag1_state_rate").withColumn("year", F.col("year") + 1)
+    state = yearly_rates(counts, ["state"], "lag1_state_rate").withColumn("year", F.col("year") + 1).drop("n")
     rows = rows.join(F.broadcast(state), ["state", "year"], "left")
     return rows.select(
         *base.columns,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import os
 import tempfile
 import uuid
@@ -47,3 +48,18 @@ def written(df, label: str = "step"):
     path = f"{shared_folder(spark)}/{label}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+SMALL_TASK_ROWS = 2_000
+FULL_TASK_ROWS = 50_000
+
+
+def spread(df, n_rows: int, rows_per_task: int = SMALL_TASK_ROWS):
+    """Deal a small frame to all cores before work that is long per row; a large one has tasks enough.
+
+    A frame of a few files or one coalesced partition would otherwise train a model in one task.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if n_rows >= cores * FULL_TASK_ROWS:
+        return df
+    return df.repartition(max(1, min(cores, math.ceil(n_rows / rows_per_task))))
