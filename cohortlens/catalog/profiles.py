@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from cohortlens.catalog.registry import query, r6, with_
 from cohortlens.operators import frame, profile
 from cohortlens.plans.bindings import UNIT_BASE_SQL, UNIT_SQL, table, unit, unit_base
+from cohortlens.session import written
 
 WIDE = ("state", "region", "network", "y", "year", "weight", "acctbal", "segment", "grade", "lag1_empty", "score", "lag1_rate", "goal_t")
 NUMBERS = ("year", "weight", "acctbal", "grade", "lag1_empty", "score", "lag1_rate", "lag1_state_rate", "goal_t", "goal_t1")
@@ -236,12 +237,11 @@ def d15(spark, sf):
     return profile.ordered_indicator(rates, "state", "rate")
 
 
-# d16
 @query("d16_feature_summary")
 def d16(spark, sf):
     from cohortlens.plans.profiling import feature_summary
 
-    return feature_summary(unit(spark, sf), frame.Schema())
+    return feature_summary(written(unit(spark, sf), "unit"), frame.Schema())
 
 
 @query(

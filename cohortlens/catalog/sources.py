@@ -3,7 +3,6 @@
 from pyspark.sql import functions as F
 
 from cohortlens.catalog.registry import query, r6, with_
-from cohortlens.operators import decide
 from cohortlens.plans.bindings import UNIT_BASE_SQL, table, unit_base
 from cohortlens.session import shared_folder
 from cohortlens.sources import preview, samples, sinks, snapshot, tables

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-NUMERIC_TYPES = (T.NumericType,)
 NULL_KEY = "__NULL__"
 
 
@@ -13,10 +12,6 @@ def is_number(field: T.StructField) -> bool:
     return isinstance(field.dataType, T.NumericType)
 
 
-def is_flag(field: T.StructField) -> bool:
-    return isinstance(field.dataType, T.BooleanType)
-
-
 def clean_floats(df: DataFrame) -> DataFrame:
     """NaN becomes NULL in every float column, so one missing value is left to reason about."""
     floats = {f.name for f in df.schema if isinstance(f.dataType, (T.DoubleType, T.FloatType))}

@@ -133,15 +133,16 @@ def by_prefix(df: DataFrame, prefix: str) -> list[str]:
     return [c for c in df.columns if c.startswith(prefix)]
 
 
-def model_rows(df: DataFrame, roles: Roles, schema: Schema = Schema()) -> DataFrame:
-    """One frame with row id, group as text, target and the features: nothing to re-align later."""
+def model_rows(df: DataFrame, roles: Roles, schema: Schema = Schema(), context: Sequence[str] = ()) -> DataFrame:
+    """One frame with row id, group as text, target, features and context: nothing to re-align later."""
     if schema.group not in df.columns:
         raise KeyError(f"group column '{schema.group}' is required")
     return df.select(
         schema.row_id,
         group_text(schema.group).alias(schema.group),
         F.col(schema.target).cast("int").alias(schema.target),
-        *[c for c in roles.features],
+        *roles.features,
+        *[c for c in context if c in df.columns and c not in roles.features],
     )
 
 

@@ -19,30 +19,28 @@ from cohortlens.functions.seeded import seeded_tag, unit_interval
 from cohortlens.session import written
 
 ONE_TASK_ROWS = 200_000  # tables up to this size are ordered in one task
-RANGES = 512  # value ranges used beyond it, over all strata
+RANGE_ROWS = 1_000_000  # rows aimed at per value range beyond it
+RANGES = (64, 4_096)  # the fewest and the most value ranges, over all strata
 RANGE_STEP = 65_536  # room between two ranges for the pieces of a heavy tie
 
 
-def _cuts(
-    df: DataFrame, value: str, by: Sequence[str], one_task_rows: int, ranges: int
-) -> list[float] | None:
+def _cuts(df: DataFrame, value: str, by: Sequence[str], one_task_rows: int) -> list[float] | None:
     """Sorted cut values for all strata together, or None when the table is small enough for one window.
 
     One small row per stratum comes to the driver; strata are columns, variants or folds, never data keys.
     """
-    probs = [i / ranges for i in range(1, ranges)]
-    stratum = F.struct(*by) if by else F.lit(0)
+    rows = df.count()
+    if rows <= one_task_rows:
+        return None
+    fewest, most = RANGES
+    wanted = min(most, max(fewest, rows // RANGE_ROWS))
     found = (
-        df.groupBy(stratum.alias("_s"))
-        .agg(
-            F.count("*").alias("_n"),
-            F.percentile_approx(F.col(value).cast("double"), probs, max(10_000, 20 * ranges)).alias("_cuts"),
-        )
+        df.groupBy((F.struct(*by) if by else F.lit(0)).alias("_s"))
+        .agg(F.percentile_approx(F.col(value).cast("double"), [i / wanted for i in range(1, wanted)], 20 * wanted).alias("_cuts"))
         .collect()
     )
-    if sum(r["_n"] for r in found) <= one_task_rows:
-        return None
-    step = max(1, ranges // max(8, ranges // len(found)))
+    # each stratum gives its share of the cuts, and at least 8 of them
+    step = max(1, wanted // max(8, wanted // len(found)))
     return sorted(c for r in found for c in (r["_cuts"] or [])[step - 1 :: step])
 
 
@@ -77,7 +75,6 @@ def running_totals(
     descending: bool = False,
     prefix: str = "cum_",
     one_task_rows: int = ONE_TASK_ROWS,
-    ranges: int = RANGES,
 ) -> DataFrame:
     """Add ``cum_<s>``: the sum of ``s`` over all rows up to and including this one in ``value`` order.
 
@@ -87,7 +84,7 @@ def running_totals(
     # read for the cuts and for the totals: written once, so that what lies before it runs once
     df = written(df, "to_total")
     order = F.desc(value) if descending else F.asc(value)
-    cuts = _cuts(df, value, by, one_task_rows, ranges)
+    cuts = _cuts(df, value, by, one_task_rows)
     if cuts is None:
         w = W.partitionBy(*by).orderBy(order)
         return df.select("*", *[F.sum(s).over(w).alias(prefix + s) for s in sums])
@@ -114,7 +111,6 @@ def global_rank(
     descending: bool = False,
     seed: int | str = 42,
     one_task_rows: int = ONE_TASK_ROWS,
-    ranges: int = RANGES,
 ) -> DataFrame:
     """Ranks 1..n by ``value``, missing values last, ties by the seeded tag of the unique ``key``.
 
@@ -124,7 +120,7 @@ def global_rank(
     tag = F.concat(seeded_tag(seed, key), F.col(key).cast("string"))
     df = written(df, "to_rank")
     keyed = df.withColumn("_v", F.coalesce(-v if descending else v, F.lit(float("inf")))).withColumn("_tie", tag)
-    cuts = _cuts(keyed, "_v", (), one_task_rows, ranges)
+    cuts = _cuts(keyed, "_v", (), one_task_rows)
     if cuts is None:
         w = W.orderBy("_v", "_tie")
         return keyed.withColumn(name, F.row_number().over(w).cast("long")).drop("_v", "_tie")

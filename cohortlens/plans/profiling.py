@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from cohortlens.operators import frame, profile
-from cohortlens.session import written
 from cohortlens.sources import sinks
 from cohortlens.sources.tables import Lake, modeling_table
 
@@ -14,7 +13,6 @@ HISTOGRAMS = 6
 
 def feature_summary(df: DataFrame, schema: frame.Schema = frame.Schema(), grain_column: str = "lag1_rate") -> DataFrame:
     """One row on what a model may use: constant columns, features per role, cardinalities, grain, lags, goals."""
-    df = written(df, "wide_table")
     constants = frame.constant_columns(df, schema)
     roles = frame.feature_roles(frame.build_model_frame(df, schema), schema)
     facts = {
@@ -47,8 +45,11 @@ def run(
     schema: frame.Schema = frame.Schema(),
     out: str | None = None,
 ) -> dict[str, DataFrame]:
-    """All profiling tables by name; with ``out`` each is written as Parquet below it."""
-    df = written(modeling_table(tables, lake), "profiled")
+    """All profiling tables by name; with ``out`` each is written as Parquet below it.
+
+    The tables are read several times: pass stored tables or stored samples, not long computations.
+    """
+    df = modeling_table(tables, lake)
     numeric, categorical = frame.split_by_type(df, frame.eda_features(df, schema))
     found = {
         "overview": profile.overview({n: t for n, t in tables.items() if n not in lake.facts} or tables),

@@ -42,12 +42,13 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/cohortlens-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
-def written(df, label: str = "step"):
+def written(df, label: str = "step", partition_by: str | None = None):
     """Write ``df`` to the shared folder and read it back: cuts the lineage, survives executor loss."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    writer = df.write if partition_by is None else df.write.partitionBy(partition_by)
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
 SMALL_TASK_ROWS = 2_000

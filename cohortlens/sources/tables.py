@@ -97,16 +97,31 @@ def peek(spark: SparkSession, lake: Lake, table: str, n: int = 5000, seed: int =
 
 
 def load_for_profiling(
-    spark: SparkSession, lake: Lake, table: str, n: int | None = 5000, year: str | int | None = None, seed: int = 42
+    spark: SparkSession,
+    lake: Lake,
+    table: str,
+    n: int | None = 5000,
+    year: str | int | None = None,
+    seed: int = 42,
+    folder: str | None = None,
 ) -> DataFrame:
-    """Facts as a seeded sample of ``n`` rows (all rows when ``n`` is None), context tables whole."""
+    """Facts as a seeded sample of ``n`` rows (all rows when ``n`` is None), context tables whole.
+
+    With ``folder`` the sample is stored there and read again by the next call.
+    """
     if table in lake.context or n is None:
         return load(spark, lake, table, year)
+    if folder:
+        from cohortlens.sources.samples import stored_sample
+
+        return stored_sample(spark, lake, folder, table, n, year, seed, balance_on=None, tag="eda")
     return peek(spark, lake, table, n, seed, year=year)
 
 
-def load_tables(spark: SparkSession, lake: Lake, n: int | None = 5000, year: str | int | None = None) -> dict[str, DataFrame]:
-    return {t: load_for_profiling(spark, lake, t, n, year) for t in lake.tables}
+def load_tables(
+    spark: SparkSession, lake: Lake, n: int | None = 5000, year: str | int | None = None, folder: str | None = None
+) -> dict[str, DataFrame]:
+    return {t: load_for_profiling(spark, lake, t, n, year, folder=folder) for t in lake.tables}
 
 
 def modeling_table(tables: dict[str, DataFrame], lake: Lake) -> DataFrame:
