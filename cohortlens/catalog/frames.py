@@ -332,8 +332,8 @@ def m6(spark, sf):
 , r AS (SELECT group_id, avg(y) AS o, avg(score) AS p,
         arg_min(goal_t, row_id) FILTER (WHERE goal_t IS NOT NULL) AS g0,
         arg_min(goal_t1, row_id) FILTER (WHERE goal_t1 IS NOT NULL) AS g1 FROM unit GROUP BY 1)
-SELECT count(*) AS n_groups, round(corr(p, o), 9) AS r, count_if(coalesce(p * 100 < g0, false)) AS n_misses_goal_t,
-       count_if(coalesce(p * 100 < g1, false)) AS n_misses_goal_t1 FROM r""",
+SELECT count(*) AS n_groups, round(corr(p, o), 9) AS r, count_if(coalesce(p * 100 < g0, false))::BIGINT AS n_misses_goal_t,
+       count_if(coalesce(p * 100 < g1, false))::BIGINT AS n_misses_goal_t1 FROM r""",
     ),
 )
 def e13(spark, sf):

@@ -54,8 +54,8 @@ def _rounded(df):
     "e1_confusion",
     with_(
         SCORED_ORDERS_SQL,
-        """SELECT count_if(y = 0 AND score < 0.25::DOUBLE) AS tn, count_if(y = 0 AND score >= 0.25::DOUBLE) AS fp,
-count_if(y = 1 AND score < 0.25::DOUBLE) AS fn, count_if(y = 1 AND score >= 0.25::DOUBLE) AS tp FROM scored""",
+        """SELECT count_if(y = 0 AND score < 0.25::DOUBLE)::BIGINT AS tn, count_if(y = 0 AND score >= 0.25::DOUBLE)::BIGINT AS fp,
+count_if(y = 1 AND score < 0.25::DOUBLE)::BIGINT AS fn, count_if(y = 1 AND score >= 0.25::DOUBLE)::BIGINT AS tp FROM scored""",
     ),
 )
 def e1(spark, sf):

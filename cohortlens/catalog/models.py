@@ -212,7 +212,7 @@ def h10_distance(spark, sf):
 def h10_model(spark, sf):
     """The k-nearest classifier of the search, fitted on a capped sample of the training groups."""
     rows = written(splits.grouped_holdout(model_input(spark, sf)), "holdout")
-    train = written(splits.row_cap(rows.where("not is_test"), 2_000), "knn_train")
+    train = written(splits.row_cap(rows.where("not is_test"), models.KNN_ROWS), "knn_train")
     model = models.fit_model("knn", train, ROLES, {"k": 31, "weights": "distance"})
     return metrics.classification_metrics(models.score(model, rows.where("is_test")).select("y", "score"))
 

@@ -187,7 +187,7 @@ def d11(spark, sf):
 
 @query(
     "d12_null_cells",
-    with_(UNIT_SQL, "SELECT " + " + ".join(f"count_if({c} IS NULL)" for c in WIDE) + " AS null_cells FROM unit"),
+    with_(UNIT_SQL, "SELECT CAST(" + " + ".join(f"count_if({c} IS NULL)" for c in WIDE) + " AS BIGINT) AS null_cells FROM unit"),
 )
 def d12(spark, sf):
     return profile.null_cells(unit(spark, sf).select(*WIDE))
