@@ -16,6 +16,7 @@ from cohortlens.llm.store import stored, whole_text
 
 DIGITS = 4  # hex digits of a level: 65,536 buckets for each source
 LEVELS = 6  # half of them of the content, half of the row, so that repeated rows are dealt out too
+SALTS = 64  # parts that a source's rows are dealt to where they meet its plan
 LEAF_ROWS = 1_000  # of a source in the bucket that is then read row by row
 MOST = 3  # times a document is taken
 WEIGHTS = (5, 2, 1)
@@ -118,11 +119,14 @@ def mix(
     aims = stored(aims.withColumn("budget", F.floor(F.col("target") - F.col("whole") * F.col("source_size"))), "targets")
     edges = _thresholds(rows.select("row_id", "source", "size", "tag"), aims)
     plan = aims.join(edges.withColumnRenamed("source", "_e"), F.col("source").eqNullSafe(F.col("_e")), "left").drop("_e")
-    plan = plan.withColumnRenamed("source", "_s")
+    # one source may hold a third of all rows: its plan, one row, is repeated for each part of them
+    plan = plan.withColumnRenamed("source", "_s").withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = F.pmod(F.xxhash64("tag", "row_id"), F.lit(SALTS)).cast("int")
     below = (F.col("tag") < F.col("edge")) | ((F.col("tag") == F.col("edge")) & (F.col("row_id") < F.col("edge_row")))
     more = F.when(F.col("budget") == 0, 0).when(F.col("row_id") == F.col("edge_row"), F.col("part")).when(below, F.col("size")).otherwise(0)
     return (
-        rows.join(plan, F.col("source").eqNullSafe(F.col("_s")))
+        rows.withColumn("_deal", dealt)
+        .join(plan, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_deal") == F.col("_part")))
         .withColumn("more", more.cast("long"))
         .select(
             "id",

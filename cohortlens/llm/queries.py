@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import exact, mixing, packing
+from cohortlens.llm import compression, exact, links, maxent, mixing, packing, pii, rules, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -49,3 +49,38 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = exact.exact_dedup(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.col("sha256").alias("text_sha256"))
+
+
+@query("op4_remove_repeats")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that lose sentences; all others stay as they are."""
+    out = spans.remove_repeats(table(spark, sf_dir, "documents"), touched_only=True)
+    return out.select(F.col("id").alias("doc_id"), "n_sentences", "n_removed", "removed", "text")
+
+
+@query("op5_quality_compression")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = compression.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
+@query("op8_line_rules")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.line_rules(table(spark, sf_dir, "documents")).drop("row_id").withColumnRenamed("id", "doc_id")
+
+
+@query("op9_link_trust")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return links.judge(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+@query("op2_pii_field")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find_pii(table(spark, sf_dir, "documents"))
+    counts = [f"n_{k}" for k in pii.KINDS]
+    return out.select(F.col("id").alias("doc_id"), *counts, F.sha2("base", 256).alias("base_sha256"), "spans")
+
+
+@query("op1_maxent_score")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent.score(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
