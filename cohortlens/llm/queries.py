@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import compression, exact, links, maxent, mixing, packing, pii, rules, spans
+from cohortlens.llm import compression, exact, jaccard, links, maxent, mixing, packing, pii, rules, spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -84,3 +84,8 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_maxent_score")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maxent.score(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op3_jaccard_groups")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.components(table(spark, sf_dir, "documents")).drop("row_id").withColumnRenamed("id", "doc_id")

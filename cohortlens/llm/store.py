@@ -7,6 +7,8 @@ import types
 from collections.abc import Callable
 from typing import Any
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortlens.session import shared_folder
@@ -36,3 +38,36 @@ def worker_state(name: str, make: Callable[[], Any]) -> Any:
     if not hasattr(home, name):
         setattr(home, name, make())
     return getattr(home, name)
+
+
+BLOCK = 1 << 16
+SLOTS = 256
+BLOCKS = "block int, slot int, sums binary"
+
+
+def in_blocks(total: np.ndarray) -> pa.RecordBatch:
+    """A task's sums of fixed size as rows that ``added`` can add up."""
+    from pyspark import TaskContext
+
+    blocks = [total[a : a + BLOCK].tobytes() for a in range(0, len(total), BLOCK)]
+    slots = [TaskContext.get().partitionId() % SLOTS] * len(blocks)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(range(len(blocks)), pa.int32()), pa.array(slots, pa.int32()), pa.array(blocks, pa.binary())], names=["block", "slot", "sums"]
+    )
+
+
+def added(parts: DataFrame, size: int, kind: str) -> np.ndarray:
+    """Sums over all tasks: those of up to ``SLOTS`` groups of tasks first, then of all groups. A fixed number of rows is collected."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(len(table["sums"][0].as_py()) // 8, kind)
+        for x in table["sums"]:
+            total += np.frombuffer(x.as_buffer(), kind)
+        return pa.table({"block": table["block"].slice(0, 1), "slot": table["slot"].slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+
+    for keys in (["block", "slot"], ["block"]):
+        parts = parts.groupBy(*keys).applyInArrow(add, BLOCKS)
+    out = np.zeros(size, kind)
+    for r in parts.collect():
+        out[r["block"] * BLOCK : r["block"] * BLOCK + len(r["sums"]) // 8] = np.frombuffer(r["sums"], kind)
+    return out
