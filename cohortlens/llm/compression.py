@@ -87,17 +87,28 @@ def fit(rows: list[tuple[bytes, int, bool]], level: int = LEVEL, dict_bytes: int
     return {**model, "w": w, "mean": mean, "scale": scale}
 
 
+class Scorer:
+    """Scores of whole texts under a model of ``fit``."""
+
+    def __init__(self, model: dict) -> None:
+        self.model = model
+        self.sizes = Sizes(model["good"], model["bad"], model["level"]) if model.get("w") is not None else None
+
+    def __call__(self, column: pa.Array) -> np.ndarray:
+        texts = column.cast(pa.binary()).fill_null(b"").to_pylist()
+        scores = np.full(len(texts), self.model["rate"])
+        if self.sizes is not None and texts:
+            x = (np.array([self.sizes(t) for t in texts]) - self.model["mean"]) / self.model["scale"]
+            p = 1 / (1 + np.exp(-np.clip(np.c_[x, np.ones(len(x))] @ self.model["w"], -30, 30)))
+            scores = np.where([len(t) > 0 for t in texts], p, scores)
+        return scores
+
+
 def _score(broadcast):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = broadcast.value
-        sizes = Sizes(model["good"], model["bad"], model["level"]) if model.get("w") is not None else None
+        scorer = Scorer(broadcast.value)
         for batch in batches:
-            texts = batch["text"].cast(pa.binary()).fill_null(b"").to_pylist()
-            scores = np.full(len(texts), model["rate"])
-            if sizes is not None and texts:
-                x = (np.array([sizes(t) for t in texts]) - model["mean"]) / model["scale"]
-                p = 1 / (1 + np.exp(-np.clip(np.c_[x, np.ones(len(x))] @ model["w"], -30, 30)))
-                scores = np.where([len(t) > 0 for t in texts], p, scores)
+            scores = scorer(batch["text"])
             yield pa.RecordBatch.from_arrays([batch["id"], batch["held_out"], pa.array(scores)], names=["id", "held_out", "score"])
 
     return run
@@ -141,3 +152,17 @@ def classify(
     id_type = base.schema["id"].dataType.simpleString()
     scored = base.mapInArrow(_score(model), f"id {id_type}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+
+
+def kept(docs: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = 0.3, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of ``docs`` whose score reaches ``threshold``, with all their columns; texts do not move."""
+    options = {"label_col": "quality", "most": ROWS} | options
+    model = docs.sparkSession.sparkContext.broadcast(fit(training_rows(docs, labels, id_col, text_col, **options)))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model.value)
+        for batch in batches:
+            yield batch.filter(pa.array(scorer(batch.column(at)) >= threshold))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cohortlens.llm.store import stored, whole_text
+from cohortlens.llm.store import numbered, stored, whole_text, without
 
 BUCKET_BYTES = 64 << 20  # of text in one table
 LISTED = 1_000  # buckets that a level deals anew by name; with more, it deals all
@@ -149,16 +149,17 @@ def exact_dedup(
     text_col: str = "text",
     bucket_bytes: int = BUCKET_BYTES,
     normalised: Callable[[Column], Column] | None = None,
+    row_col: str | None = None,
 ) -> DataFrame:
     """One row per row of ``docs``: ``row_id, id, keep_id, group_size, kept, sha256`` (of the text in UTF-8).
 
     Texts are equal when identical after ``normalised`` (none: no change). Of equal texts the row with the largest id stays;
     of rows that also share the id, one stays. A null text is empty, a null id the smallest. An empty table gives no rows.
-    Columns other than the two are neither read nor in the way.
+    Other columns are neither read nor in the way, but for ``row_col``, a unique number for each row, if given.
     """
     text = whole_text(text_col)
     base = docs.select(
-        F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("id"), (normalised(text) if normalised else text).alias("text")
+        (F.col(row_col) if row_col else F.monotonically_increasing_id()).alias("row_id"), F.col(id_col).alias("id"), (normalised(text) if normalised else text).alias("text")
     )
     id_type = base.schema["id"].dataType.simpleString()
     schema = f"row_id long, id {id_type}, rep long, sha256 string, hash long, size long, content binary"
@@ -174,3 +175,9 @@ def exact_dedup(
     return members.join(verdicts, "rep").select(
         "row_id", "id", "keep_id", "group_size", (F.col("row_id") == F.col("keep_row")).alias("kept"), "sha256"
     )
+
+
+def kept(docs: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns."""
+    rows, number = numbered(docs, "numbered")
+    return without(rows, number, exact_dedup(rows, row_col=number, **options).where(~F.col("kept")).select("row_id"))

@@ -23,7 +23,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from cohortlens.llm.store import BLOCKS, added, in_blocks, stored
+from cohortlens.llm.store import BLOCKS, added, in_blocks, numbered, stored, without
 from cohortlens.llm.text import Hasher, Slice, slices, windows, words
 
 NGRAM = 5
@@ -193,19 +193,23 @@ def contracted(labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
     return labels.join(to.withColumnRenamed("x", "comp"), "comp", "left").select("cid", F.coalesce("to", "comp").alias("comp"))
 
 
-def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: ``row_id, id, n_shingles, component_id`` (the least id that links reach, its own included).
+def components(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM, percent: int = PERCENT, row_col: str | None = None
+) -> DataFrame:
+    """One row per row of ``docs``: ``row_id, id, n_shingles, component_id`` (the least id that links reach, its own included)
+    ``, component`` (a row number of the component, null for empty sets).
 
     Words are lower-cased (A-Z). Null text or no words: an empty set, linked with nothing. Fewer words than ``ngram``: the whole
     sequence is the one token. Repeated rows are linked. A null id is no least id unless a component has no other. Empty table:
-    no rows. Extra columns are not read. Two sets link when 100 x intersection >= ``percent`` x union.
+    no rows. Other columns are not read, but for ``row_col``, a unique number for each row, if given. Two sets link when 100 x intersection >= ``percent`` x union.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     counts = added(texts.select("text").mapInArrow(_sketch(ngram), BLOCKS), SKETCH, "i8")
     sketch = spark.sparkContext.broadcast(np.minimum(counts, np.iinfo(np.uint32).max).astype(np.uint32))
     id_type = texts.schema["id"].dataType.simpleString()
-    base = texts.withColumn("row_id", F.monotonically_increasing_id())
+    number = F.col(row_col) if row_col else F.monotonically_increasing_id()
+    base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), number.alias("row_id"))
     schema = f"row_id long, id {id_type}, n long, high long, low long, prefix array<long>"
     rows = stored(base.mapInArrow(_prefixes(sketch, ngram, percent), schema), "prefixes")
     full = rows.where("n > 0")
@@ -240,6 +244,18 @@ def components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     labels = stored(contracted(labels, links, "matrix"), "matrix_labels")
     named = classes.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
-    by_class = named.join(least, "comp").select("high", "low", "component_id")
+    by_class = named.join(least, "comp").select("high", "low", "component_id", F.col("comp").alias("component"))
     out = rows.select("row_id", "id", "n", "high", "low").join(by_class, ["high", "low"], "left")
-    return out.select("row_id", "id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))
+    own = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id"))
+    return out.select("row_id", "id", F.col("n").alias("n_shingles"), own.alias("component_id"), "component")
+
+
+def kept(docs: DataFrame, **options) -> DataFrame:
+    """The row with the least id (then row number) of each group, and all rows without words, with all their columns."""
+    rows, number = numbered(docs, "numbered")
+    found = stored(components(rows, row_col=number, **options).where("n_shingles > 0"), "components")
+    first = F.min(F.struct(F.col("id").isNull(), F.col("id"), F.col("row_id"))).alias("first")
+    # partial sums shrink a large group before it moves
+    stays = found.groupBy("component").agg(first).select(F.col("first.row_id").alias("stays"))
+    gone = found.join(stays, F.col("row_id") == F.col("stays"), "left_anti").select("row_id")
+    return without(rows, number, gone)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlens.llm import compression, exact, jaccard, links, maxent, mixing, packing, pii, rules, spans
@@ -88,4 +89,9 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op3_jaccard_groups")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.components(table(spark, sf_dir, "documents")).drop("row_id").withColumnRenamed("id", "doc_id")
+    return jaccard.components(table(spark, sf_dir, "documents")).drop("row_id", "component").withColumnRenamed("id", "doc_id")
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

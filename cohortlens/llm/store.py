@@ -21,6 +21,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``docs`` with a number for each row, fixed by writing it, and the name of that column, which clashes with no other."""
+    name = "_row_number"
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return stored(docs.withColumn(name, F.monotonically_increasing_id()), label), name
+
+
+def without(rows: DataFrame, number: str, dropped: DataFrame) -> DataFrame:
+    """The rows whose number is not in ``dropped`` (one column). Texts move only if the numbers are too many to send around."""
+    gone = dropped.toDF("_gone")
+    return rows.join(gone, rows[number] == gone["_gone"], "left_anti").drop(number)
+
+
 def whole_text(text: str = "text") -> Column:
     """The text of a row, empty where it is null."""
     return F.coalesce(F.col(text).cast("string"), F.lit(""))
