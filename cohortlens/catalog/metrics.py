@@ -78,7 +78,7 @@ def e3(spark, sf):
 @query("e3_roc_auc_ranges", with_(SCORED_EVENTS_SQL + CURVE_SQL, f"SELECT round({AUC}, 6) AS roc_auc FROM curve"))
 def e3_ranges(spark, sf):
     """The same number by the many-task path that large tables take."""
-    return m.roc_auc(scored_events(spark, sf), one_task_rows=0).select(r6("roc_auc"))
+    return m.roc_auc(scored_events(spark, sf), range_rows=500).select(r6("roc_auc"))
 
 
 @query("e4_average_precision", with_(SCORED_ORDERS_SQL + CURVE_SQL, f"SELECT round({AP}, 6) AS pr_auc FROM curve"))
@@ -235,7 +235,7 @@ SELECT price, n, CAST(sum(n) OVER (ORDER BY price) AS BIGINT) AS cum_n FROM p"""
 def k1(spark, sf):
     """Running count over distinct prices by the many-task path."""
     prices = table(spark, sf, "lineitem").groupBy(F.col("l_extendedprice").alias("price")).agg(F.count("*").alias("n"))
-    return running_totals(prices, "price", ["n"], one_task_rows=0)
+    return running_totals(prices, "price", ["n"], range_rows=500)
 
 
 @query(
@@ -246,4 +246,4 @@ SELECT o_orderkey, round(o_totalprice, -5) AS q FROM orders)""",
 def i1(spark, sf):
     """Ranks of all orders on a value with few levels, by the many-task path: heavy ties."""
     rows = table(spark, sf, "orders").select("o_orderkey", F.round("o_totalprice", -5).alias("q"))
-    return global_rank(rows, "q", "o_orderkey", descending=True, one_task_rows=0).select("o_orderkey", "rank")
+    return global_rank(rows, "q", "o_orderkey", descending=True, range_rows=500).select("o_orderkey", "rank")

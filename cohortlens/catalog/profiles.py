@@ -79,11 +79,11 @@ SHOWN = ("weight", "acctbal", "grade", "score", "lag1_rate", "lag1_state_rate")
     "d4_heatmap",
     with_(
         UNIT_SQL,
-        ", m AS ("
+        ", u AS MATERIALIZED (SELECT "
+        + ", ".join(f"{_corr(a, b)} AS r_{i}_{j}" for i, a in enumerate((*SHOWN, "y")) for j, b in enumerate((*SHOWN, "y")))
+        + " FROM unit), m AS MATERIALIZED ("
         + _union(
-            f"SELECT '{a}' AS col_a, '{b}' AS col_b, round({_corr(a, b)}, 6) AS r FROM unit"
-            for a in (*SHOWN, "y")
-            for b in (*SHOWN, "y")
+            f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(r_{i}_{j}, 6) AS r FROM u" for i, a in enumerate((*SHOWN, "y")) for j, b in enumerate((*SHOWN, "y"))
         )
         + """),
 t AS (SELECT 'y' AS c UNION ALL SELECT * FROM (SELECT col_a FROM m WHERE col_b = 'y' AND col_a <> 'y' AND r IS NOT NULL

@@ -1,6 +1,6 @@
 """Queries for the sources and sinks. Each writes the given tables to the shared folder and reads them back."""
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from cohortlens.catalog.registry import query, r6, with_
 from cohortlens.plans.bindings import UNIT_BASE_SQL, table, unit_base
@@ -27,33 +27,26 @@ def a2(spark, sf):
     return _by_year(tables.read_partition(spark, path, 1997))
 
 
-def write_logged_table(spark, df, path, version, remove=None):
-    """Append ``df`` by year and commit it to a log at ``path``; ``remove`` names files that end with it."""
-    stage = f"{path}/batch={version}"
-    df.write.partitionBy("year").parquet(stage)
-    added = snapshot.file_listing(spark, stage).select(
-        F.regexp_extract("file", r"(batch=\d+/year=\d+/[^/]+)$", 1).alias("path")
-    )
-    values = F.create_map(F.lit("year"), F.regexp_extract("path", r"year=(\d+)", 1))
-    lines = added.select(F.to_json(F.struct(F.struct("path", values.alias("partitionValues")).alias("add"))).alias("value"))
-    if remove is not None:
-        gone = remove.select(F.to_json(F.struct(F.struct("path").alias("remove"))).alias("value"))
-        lines = lines.unionByName(gone)
-    # the commit is a folder named like a commit file: the log reader takes either
-    lines.coalesce(1).write.text(f"{path}/{snapshot.LOG}/{version:020d}.json")
+# A fixed log: all years added with wrong prices, then 1997 and later replaced by the right ones, then the earlier years.
+YEARS = range(1995, 2002)  # of the given orders
+COMMITS = (
+    [f'{{"add":{{"path":"stale/year={y}","partitionValues":{{"year":"{y}"}}}}}}' for y in YEARS],
+    [f'{{"remove":{{"path":"stale/year={y}"}}}}' for y in YEARS if y >= 1997]
+    + [f'{{"add":{{"path":"right/year={y}","partitionValues":{{"year":"{y}"}}}}}}' for y in YEARS if y >= 1997],
+    [f'{{"remove":{{"path":"stale/year={y}"}}}}' for y in YEARS if y < 1997]
+    + [f'{{"add":{{"path":"right/year={y}","partitionValues":{{"year":"{y}"}}}}}}' for y in YEARS if y < 1997],
+)
 
 
 def logged_orders(spark, sf):
-    """Orders as a logged table: all years with wrong prices, then 1997 and later replaced by the right ones,
-    then the earlier years. The replaced files stay on disk."""
+    """Orders by year beside a stale copy, and the fixed log that names the folders of each."""
     path = shared_folder(spark) + "/logged"
     rows = _orders_by_year(spark, sf)
-    write_logged_table(spark, rows.withColumn("o_totalprice", F.lit(-1.0)), path, 0)
-    for version, part in ((1, "year >= 1997"), (2, "year < 1997")):
-        stale = snapshot.active_paths(spark, path).where("path like 'batch=0/%'")
-        year = F.regexp_extract("path", r"year=(\d+)", 1).cast("int").alias("year")
-        stale = stale.select("path", year).where(part).select("path")
-        write_logged_table(spark, rows.where(part), path, version, stale)
+    rows.write.partitionBy("year").parquet(f"{path}/right")
+    rows.withColumn("o_totalprice", F.lit(-1.0)).write.partitionBy("year").parquet(f"{path}/stale")
+    for version, lines in enumerate(COMMITS):
+        # a folder named like a commit file: the log reader takes either
+        spark.createDataFrame([(line,) for line in lines], "value string").write.text(f"{path}/{snapshot.LOG}/{version:020d}.json")
     return path
 
 
@@ -61,7 +54,7 @@ def logged_orders(spark, sf):
 def a3(spark, sf):
     path = logged_orders(spark, sf)
     files = snapshot.active_files(spark, path)
-    return _by_year(spark.read.option("basePath", path).parquet(*files).drop("batch"))
+    return _by_year(spark.read.option("basePath", f"{path}/right").parquet(*files))
 
 
 @query("a3_snapshot_partition", YEAR_SQL.format(where="WHERE year(o_orderdate) = 1998"))
@@ -71,11 +64,11 @@ def a3_year(spark, sf):
 
 
 def status_batches(spark, sf):
-    """Orders in three appends, one status after the other, without a log."""
+    """Orders in three appends, one status after the other, without a log. Names grow, as times may tie on some stores."""
     path = shared_folder(spark) + "/batches"
     rows = table(spark, sf, "orders")
-    for status in ("F", "O", "P"):
-        rows.where(F.col("o_orderstatus") == status).coalesce(1).write.mode("append").parquet(path)
+    for i, status in enumerate(("F", "O", "P")):
+        rows.where(F.col("o_orderstatus") == status).write.parquet(f"{path}/batch={i}")
     return path
 
 
@@ -85,14 +78,15 @@ def status_batches(spark, sf):
 (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1)""",
 )
 def a4(spark, sf):
-    """Files newest first, shown by the status each of them holds."""
+    """Files newest first, shown by the status that each append holds."""
     path = status_batches(spark, sf)
-    out = None
-    for position, file in enumerate(snapshot.recent_files(spark, path), 1):
-        part = spark.read.parquet(file).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
-        part = part.select(F.lit(position).cast("long").alias("position"), "o_orderstatus", "n")
-        out = part if out is None else out.unionByName(part)
-    return out
+    files = snapshot.recent_files(spark, path)
+    order = spark.createDataFrame(list(enumerate(files)), "place int, file string").select("place", F.regexp_extract("file", "/(batch=[^/]*/[^/]*)$", 1).alias("file"))
+    rows = spark.read.option("basePath", path).parquet(*files)
+    held = rows.groupBy("o_orderstatus", F.regexp_extract(F.col("_metadata.file_path"), "/(batch=[^/]*/[^/]*)$", 1).alias("file")).agg(F.count("*").alias("n"))
+    found = held.join(order, "file").groupBy("o_orderstatus").agg(F.min("place").alias("place"), F.sum("n").alias("n"))
+    # three statuses
+    return found.select(F.row_number().over(Window.orderBy("place")).cast("long").alias("position"), "o_orderstatus", "n")
 
 
 @query("a5_column_pruned", "SELECT o_orderkey, o_totalprice FROM orders")
@@ -103,9 +97,11 @@ def a5(spark, sf):
 
 @query("a6_bounded_files", "SELECT o_orderstatus, count(*) AS n FROM orders WHERE o_orderstatus = 'P' GROUP BY 1")
 def a6(spark, sf):
-    """Only the newest file."""
-    lake = tables.Lake(root="", facts=("orders",), context=(), modeling="orders", paths={"orders": status_batches(spark, sf)})
-    return tables.load(spark, lake, year="", max_files=1).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    """Only the files of the newest append."""
+    path = status_batches(spark, sf)
+    newest = snapshot.file_listing(spark, f"{path}/batch=2").count()
+    lake = tables.Lake(root="", facts=("orders",), context=(), modeling="orders", paths={"orders": path})
+    return tables.load(spark, lake, year="", max_files=newest).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
 
 
 @query(

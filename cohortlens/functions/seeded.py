@@ -32,12 +32,13 @@ def lowest_mask(
 ) -> Column:
     """Predicate over rows that hold ``key`` (and ``by``): is the key among the ``quota`` lowest tags?
 
-    ``keys`` has one row per distinct key. ``quota`` is an expression over ``total`` (keys in the stratum)
+    ``keys`` has one row per distinct key; a missing key is an error, as no tag could choose it. ``quota`` is an expression over ``total`` (keys in the stratum)
     and ``strata`` (number of strata). ``by`` has few distinct values (classes); one cut is held per value.
     """
     part = F.coalesce(F.col(by).cast("string"), F.lit("")) if by else F.lit("")
+    named = F.coalesce(F.col(key).cast("string"), F.raise_error(F.lit(f"'{key}' is missing in some rows")))
     base = keys.select(
-        part.alias("_part"), F.concat(seeded_tag(seed, key), F.col(key).cast("string")).alias("_tag")
+        part.alias("_part"), F.concat(seeded_tag(seed, key), named).alias("_tag")
     ).withColumn("_pre", F.substring("_tag", 1, PREFIX_HEX))
     counts = base.groupBy("_part", "_pre").agg(F.count("*").alias("_n"))
     sizes = (

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from cohortlens.operators.ordering import ONE_TASK_ROWS, global_rank
+from cohortlens.operators.ordering import RANGE_ROWS, global_rank
 
 CONTEXT = ("state", "region", "network", "goal_t", "goal_t1", "lag1_rate", "lag1_state_rate", "acctbal")
 
@@ -44,7 +44,7 @@ def group_risk(
     row_key: str = "row_id",
     seed: int | str = 42,
     digits: int = 9,
-    one_task_rows: int = ONE_TASK_ROWS,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """The risk table, ranked with the riskiest group first.
 
@@ -54,7 +54,7 @@ def group_risk(
     table = add_goal_flags(group_rates(scored, group, context, row_key), goals)
     keyed = table.withColumn("_r", F.round("risk", digits))
     return global_rank(
-        keyed, "_r", group, name="rank", descending=True, seed=seed, one_task_rows=one_task_rows
+        keyed, "_r", group, name="rank", descending=True, seed=seed, range_rows=range_rows
     ).drop("_r")
 
 

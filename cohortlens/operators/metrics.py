@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortlens.functions.columns import ratio, ratio0, safe_corr
-from cohortlens.operators.ordering import ONE_TASK_ROWS, exact_quantiles, running_totals
+from cohortlens.operators.ordering import RANGE_ROWS, exact_quantiles, running_totals
 
 METRIC_NAMES = (
     "threshold", "roc_auc", "pr_auc", "accuracy", "balanced_accuracy", "f1", "precision", "recall", "brier",
@@ -24,7 +24,7 @@ def score_curve(
     y: str = "y",
     score: str = "score",
     by: Sequence[str] = (),
-    one_task_rows: int = ONE_TASK_ROWS,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Per distinct score: positives and negatives there (``pos, neg``) and at or above it (``tps, fps``)."""
     hit = F.col(y).cast("int")
@@ -34,7 +34,7 @@ def score_curve(
         F.sum((F.col(score) - hit) * (F.col(score) - hit)).alias("sq"),
     )
     run = running_totals(
-        per_score, "score", ["pos", "neg"], by=by, descending=True, one_task_rows=one_task_rows
+        per_score, "score", ["pos", "neg"], by=by, descending=True, range_rows=range_rows
     )
     return run.withColumnsRenamed({"cum_pos": "tps", "cum_neg": "fps"})
 

@@ -20,7 +20,7 @@ from cohortlens.functions.columns import ratio
 from cohortlens.operators.frame import Roles, min_max_score
 from cohortlens.operators.metrics import roc_auc
 from cohortlens.operators.pairs import nearest, vote
-from cohortlens.operators.prep import fit_prep
+from cohortlens.operators.prep import feature_names, fit_prep
 from cohortlens.operators.splits import check_folds, row_cap, with_folds
 from cohortlens.session import spread, written
 
@@ -36,7 +36,7 @@ SPACES: dict[str, dict[str, list]] = {
     "tree": {
         "max_depth": [4, 6, 8, 12, None],
         "min_samples_leaf": [20, 50, 100, 200],
-        "min_gain": [0.0, 1e-4, 5e-4, 1e-3],
+        "min_gain": [0.0, 2e-5, 2e-4, 2e-3],
     },
     "random_forest": {
         "n_trees": [50, 80],
@@ -123,7 +123,7 @@ def _classifier(name: str, params: dict, weight_sum: float, seed: int):
     if name == "logistic":
         # the penalty is per row here, and the columns are already scaled
         return LogisticRegression(
-            standardization=False, elasticNetParam=0.0, regParam=1.0 / (params["C"] * weight_sum), maxIter=params.get("max_iter", 2000), **common
+            standardization=False, elasticNetParam=0.0, regParam=1.0 / (params["C"] * weight_sum), maxIter=params.get("max_iter", 2000), tol=params.get("tol", 1e-6), **common
         )
     depth = params["max_depth"] or DEEPEST
     shape = {"maxDepth": min(depth, DEEPEST), "minInstancesPerNode": params["min_samples_leaf"], "maxBins": 256, "seed": seed}
@@ -142,6 +142,16 @@ def _fit_on_features(name: str, params: dict, prepared: DataFrame, n_rows: int,
     return _classifier(name, params, float(n_rows), seed).fit(rows)
 
 
+def loss_slopes(model: PipelineModel, train: DataFrame, c: float, target: str = "y") -> DataFrame:
+    """``feature, slope``: the slope of the penalised mean loss at each coefficient of an unweighted logistic model; 0 at its least."""
+    names, coefficients = feature_names(model), model.stages[-1].coefficients.toArray()
+    rows = model.transform(train).select(vector_to_array("features").alias("x"), (vector_to_array("probability")[1] - F.col(target)).alias("e"))
+    by = rows.select(F.posexplode("x").alias("i", "x"), "e").groupBy("i").agg(F.avg(F.col("x") * F.col("e")).alias("loss"), F.count("*").alias("n"))
+    label, weight = F.array(*[F.lit(n) for n in names]), F.array(*[F.lit(float(v)) for v in coefficients])
+    at = F.col("i") + 1
+    return by.select(F.element_at(label, at).alias("feature"), (F.col("loss") + F.element_at(weight, at) / (c * F.col("n"))).alias("slope"))
+
+
 def most_frequent(df: DataFrame, target: str = "y") -> DataFrame:
     """One row ``prediction``: the most frequent class, the lower one on a tie."""
     counts = df.groupBy(target).agg(F.count("*").alias("n"))
@@ -159,7 +169,7 @@ def fit_model(name: str, train: DataFrame, roles: Roles, params: dict | None = N
         base = prep.transform(train).select(F.col(row_key).alias("id"), vector_to_array("features").alias("v"), F.col("y").cast("double").alias("y"))
         return KnnModel(prep, written(base, "knn_base"), params, row_key)
     n_rows = train.count()
-    prepared = spread(prep.transform(train).select("y", "features"), n_rows)
+    prepared = spread(prep.transform(train).select(row_key, "y", "features"), row_key)
     prepared.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fitted = _fit_on_features(name, params, prepared, n_rows, seed)
@@ -207,8 +217,8 @@ def _fold_scores(name: str, settings: list[dict], train: DataFrame, valid: DataF
                     parts.append(valid.select(row_key, "y").join(votes, row_key).select(F.lit(i).alias("draw"), "y", "score"))
     else:
         n_rows = train.count()
-        fit_rows = spread(prep.transform(train).select("y", "features"), n_rows).persist(StorageLevel.MEMORY_AND_DISK)
-        held = spread(prep.transform(valid).select("y", "features"), valid.count()).persist(StorageLevel.MEMORY_AND_DISK)
+        fit_rows = spread(prep.transform(train).select(row_key, "y", "features"), row_key).persist(StorageLevel.MEMORY_AND_DISK)
+        held = prep.transform(valid).select("y", "features").persist(StorageLevel.MEMORY_AND_DISK)
         with ThreadPoolExecutor(parallelism) as pool:
             fitted = list(pool.map(lambda p: _fit_on_features(name, p, fit_rows, n_rows, seed), settings))
         parts = [

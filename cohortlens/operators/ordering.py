@@ -18,29 +18,25 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from cohortlens.functions.seeded import seeded_tag, unit_interval
 from cohortlens.session import written
 
-ONE_TASK_ROWS = 200_000  # tables up to this size are ordered in one task
-RANGE_ROWS = 1_000_000  # rows aimed at per value range beyond it
-RANGES = (64, 4_096)  # the fewest and the most value ranges, over all strata
+RANGE_ROWS = 1_000_000  # rows aimed at per value range
+FEWEST = 8  # value ranges, over all strata; their number grows with the rows
 RANGE_STEP = 65_536  # room between two ranges for the pieces of a heavy tie
 
 
-def _cuts(df: DataFrame, value: str, by: Sequence[str], one_task_rows: int) -> list[float] | None:
-    """Sorted cut values for all strata together, or None when the table is small enough for one window.
+def _cuts(df: DataFrame, value: str, by: Sequence[str], range_rows: int) -> list[float]:
+    """Sorted cut values for all strata together.
 
     One small row per stratum comes to the driver; strata are columns, variants or folds, never data keys.
     """
     rows = df.count()
-    if rows <= one_task_rows:
-        return None
-    fewest, most = RANGES
-    wanted = min(most, max(fewest, rows // RANGE_ROWS))
+    wanted = max(FEWEST, rows // range_rows)
     found = (
         df.groupBy((F.struct(*by) if by else F.lit(0)).alias("_s"))
         .agg(F.percentile_approx(F.col(value).cast("double"), [i / wanted for i in range(1, wanted)], 20 * wanted).alias("_cuts"))
         .collect()
     )
     # each stratum gives its share of the cuts, and at least 8 of them
-    step = max(1, wanted // max(8, wanted // len(found)))
+    step = max(1, wanted // max(8, wanted // max(1, len(found))))
     return sorted(c for r in found for c in (r["_cuts"] or [])[step - 1 :: step])
 
 
@@ -52,12 +48,12 @@ def _in_ranges(df: DataFrame, value: str, spread: Column | None, cuts: list[floa
     edges = sorted({c for c in cuts if math.isfinite(c)})
     splits = [float("-inf"), *edges, float("inf")]
     if len(edges) == 0:
-        return df.withColumn("_range", F.lit(0))
+        return df.withColumn("_range", F.lit(0).cast("long"))
     # binary search on the JVM; value NULL or NaN does not occur here
     cut = Bucketizer(splits=splits, inputCol="_bv", outputCol="_bucket", handleInvalid="keep")
     placed = cut.transform(df.withColumn("_bv", F.col(value).cast("double")))
     place = F.col("_bucket").cast("int")
-    number = place * RANGE_STEP
+    number = place.cast("long") * RANGE_STEP
     times = Counter(cuts)
     if spread is not None and max(times.values()) > 1:
         at = F.try_element_at(F.array(*[F.lit(e) for e in edges]), place)
@@ -74,7 +70,7 @@ def running_totals(
     by: Sequence[str] = (),
     descending: bool = False,
     prefix: str = "cum_",
-    one_task_rows: int = ONE_TASK_ROWS,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Add ``cum_<s>``: the sum of ``s`` over all rows up to and including this one in ``value`` order.
 
@@ -84,21 +80,18 @@ def running_totals(
     # read for the cuts and for the totals: written once, so that what lies before it runs once
     df = written(df, "to_total")
     order = F.desc(value) if descending else F.asc(value)
-    cuts = _cuts(df, value, by, one_task_rows)
-    if cuts is None:
-        w = W.partitionBy(*by).orderBy(order)
-        return df.select("*", *[F.sum(s).over(w).alias(prefix + s) for s in sums])
+    cuts = _cuts(df, value, by, range_rows)
     parts = _in_ranges(df, value, None, cuts)
     totals = parts.groupBy(*by, "_range").agg(*[F.sum(s).alias("_t_" + s) for s in sums])
     step = F.desc("_range") if descending else F.asc("_range")
     before = W.partitionBy(*by).orderBy(step).rowsBetween(W.unboundedPreceding, -1)
-    # One row per range and stratum: a fixed number of ranges bounds this window and the broadcast.
+    # one row per range and stratum, a millionth of the rows; Spark sends it around if it is small
     offsets = totals.select(
         *by, "_range", *[F.coalesce(F.sum("_t_" + s).over(before), F.lit(0)).alias("_o_" + s) for s in sums]
     )
     w = W.partitionBy(*by, "_range").orderBy(order)
     local = parts.select("*", *[F.sum(s).over(w).alias("_l_" + s) for s in sums])
-    return local.join(F.broadcast(offsets), [*by, "_range"]).select(
+    return local.join(offsets, [*by, "_range"]).select(
         *df.columns, *[(F.col("_l_" + s) + F.col("_o_" + s)).alias(prefix + s) for s in sums]
     )
 
@@ -110,7 +103,7 @@ def global_rank(
     name: str = "rank",
     descending: bool = False,
     seed: int | str = 42,
-    one_task_rows: int = ONE_TASK_ROWS,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """Ranks 1..n by ``value``, missing values last, ties by the seeded tag of the unique ``key``.
 
@@ -119,26 +112,28 @@ def global_rank(
     v = F.col(value).cast("double")
     tag = F.concat(seeded_tag(seed, key), F.col(key).cast("string"))
     df = written(df, "to_rank")
-    keyed = df.withColumn("_v", F.coalesce(-v if descending else v, F.lit(float("inf")))).withColumn("_tie", tag)
-    cuts = _cuts(keyed, "_v", (), one_task_rows)
-    if cuts is None:
-        w = W.orderBy("_v", "_tie")
-        return keyed.withColumn(name, F.row_number().over(w).cast("long")).drop("_v", "_tie")
-    parts = _in_ranges(keyed, "_v", unit_interval(F.col("_tie")), cuts)
+    keyed = df.withColumn("_v", -v if descending else v).withColumn("_tie", tag)
+    valued = keyed.where("_v is not null")
+    parts = _in_ranges(valued, "_v", unit_interval(F.col("_tie")), _cuts(valued, "_v", (), range_rows))
+    # missing values: ranges of their own behind all others, by the tag, as many as their number takes
+    missing = keyed.where("_v is null")
+    n = max(FEWEST, missing.count() // range_rows)
+    behind = F.floor(unit_interval(F.col("_tie")) * n).cast("long") + F.lit(1 << 50)
+    parts = parts.withColumn("_range", F.col("_range").cast("long")).unionByName(missing.withColumn("_range", behind))
     sizes = parts.groupBy("_range").agg(F.count("*").alias("_n"))
     before = W.orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    # a fixed number of ranges bounds this window and the broadcast
+    # one row per range
     offsets = sizes.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
     w = W.partitionBy("_range").orderBy("_v", "_tie")
     return (
         parts.withColumn("_i", F.row_number().over(w))
-        .join(F.broadcast(offsets), "_range")
+        .join(offsets, "_range")
         .select(*df.columns, (F.col("_i") + F.col("_o")).cast("long").alias(name))
     )
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], one_task_rows: int = ONE_TASK_ROWS
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], range_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """``column, prob, value``: linear-interpolated quantiles over the non-missing values.
 
@@ -151,7 +146,7 @@ def exact_quantiles(
     counted = long.where("value is not null and not isnan(value)").groupBy("column", "value").agg(
         F.count("*").alias("n")
     )
-    run = running_totals(counted, "value", ["n"], by=["column"], one_task_rows=one_task_rows)
+    run = running_totals(counted, "value", ["n"], by=["column"], range_rows=range_rows)
     total = run.groupBy("column").agg((F.sum("n") - 1).alias("last"))
     # `total` has one row per column
     at = (

@@ -11,9 +11,11 @@ from cohortlens.operators.ordering import global_rank
 
 def grouped_holdout(df: DataFrame, group: str = "group_id", share: float = 0.2, seed: int | str = 42) -> DataFrame:
     """Add ``is_test``: exactly ceil(share x groups) whole groups are test. The data rows are not shuffled."""
-    keys = df.select(group).distinct()
-    mask = lowest_mask(keys, seed, group, F.ceil(F.lit(float(share)) * F.col("total")))
-    return df.withColumn("is_test", mask)
+    # rows without a group are one group
+    named = df.withColumn("_group", F.coalesce(F.col(group).cast("string"), F.lit("")))
+    keys = named.select("_group").distinct()
+    mask = lowest_mask(keys, seed, "_group", F.ceil(F.lit(float(share)) * F.col("total")))
+    return named.withColumn("is_test", mask).drop("_group")
 
 
 def grouped_holdout_approx(df: DataFrame, group: str = "group_id", share: float = 0.2, seed: int | str = 42) -> DataFrame:
@@ -38,7 +40,8 @@ def group_folds(
     Neighbours in that order are alike, so each round of k groups gives every fold one of the kind.
     """
     per_group = df.groupBy(group).agg(F.count("*").alias("n"), F.sum(F.col(target).cast("long")).alias("n_pos"))
-    # increasing in n, then in the number of positives: the order "size desc, rate desc"
+    # increasing in n, then in the number of positives: the order "size desc, rate desc"; groups of one size above 2**26 rows
+    # may tie, and then go by their tags
     sized = per_group.withColumn("_w", F.col("n") + (F.col("n_pos") + 1.0) / (F.col("n") + 2.0))
     ranked = global_rank(sized, "_w", group, name="_i", descending=True, seed=seed)
     place = F.pmod(F.col("_i") - 1, F.lit(2 * k))

@@ -8,8 +8,6 @@ from cohortlens.operators import frame, profile
 from cohortlens.sources import sinks
 from cohortlens.sources.tables import Lake, modeling_table
 
-HISTOGRAMS = 6
-
 
 def feature_summary(df: DataFrame, schema: frame.Schema = frame.Schema(), grain_column: str = "lag1_rate") -> DataFrame:
     """One row on what a model may use: constant columns, features per role, cardinalities, grain, lags, goals."""
@@ -52,7 +50,7 @@ def run(
     df = modeling_table(tables, lake)
     numeric, categorical = frame.split_by_type(df, frame.eda_features(df, schema))
     found = {
-        "overview": profile.overview({n: t for n, t in tables.items() if n not in lake.facts} or tables),
+        "overview": profile.overview(tables),
         "profile": profile.profile(df),
         "target_balance": profile.target_balance(df, schema.target),
         "correlation_with_target": profile.correlation_with_target(df, schema.target, numeric),
@@ -64,7 +62,7 @@ def run(
         "feature_summary": feature_summary(df, schema),
         "null_cells": profile.null_cells(df),
     }
-    for c in numeric[:HISTOGRAMS]:
+    for c in numeric:
         found[f"histogram_{c}"] = profile.histogram(df, c)
     for c in schema.categorical:
         if c in df.columns:

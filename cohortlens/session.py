@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import math
 import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 
 def local_session(cores: str | int = 8, app: str = "cohortlens", **conf: str) -> SparkSession:
@@ -33,10 +32,12 @@ def shared_folder(spark: SparkSession) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, which every executor can reach.
 
     All folders of one application lie below one folder, which may be deleted when the application ends.
-    Only where the cluster names no such folder (local tests) a temporary one is made and set.
+    Only a local session that names none (tests) gets a temporary one; on a cluster a missing setting is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="cohortlens-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/cohortlens-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
@@ -51,16 +52,14 @@ def written(df, label: str = "step", partition_by: str | None = None):
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-SMALL_TASK_ROWS = 2_000
-FULL_TASK_ROWS = 50_000
+SPREAD_PARTS = 64  # the same on every cluster: partitions decide what seeded fits draw
 
 
-def spread(df, n_rows: int, rows_per_task: int = SMALL_TASK_ROWS):
-    """Deal a small frame to all cores before work that is long per row; a large one has tasks enough.
+def spread(df, key: str | None = None, parts: int = SPREAD_PARTS):
+    """Deal rows to ``parts`` partitions by a hash of ``key`` (all columns without one), in key order within each.
 
-    A frame of a few files or one coalesced partition would otherwise train a model in one task.
+    Fits that draw per partition then depend on the data and ``parts`` alone, not on files, cores or the number of rows.
+    Raise ``parts`` where a partition would not fit an executor.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if n_rows >= cores * FULL_TASK_ROWS:
-        return df
-    return df.repartition(max(1, min(cores, math.ceil(n_rows / rows_per_task))))
+    by = [key] if key else df.columns
+    return df.repartition(parts, F.xxhash64(*by)).sortWithinPartitions(F.xxhash64(*by), *([key] if key else []))

@@ -21,8 +21,8 @@ def _missing(error: AnalysisException) -> bool:
 
 
 def _version(kind: str):
-    # commit and checkpoint files are named by a 20-digit version
-    return F.regexp_extract(F.col("_metadata.file_path"), rf"(\d{{20}})\.{kind}", 1).cast("long")
+    # commit and checkpoint files are named by a 20-digit version; other names give no version
+    return F.regexp_extract(F.col("_metadata.file_path"), rf"/(\d{{20}})\.{kind}[^/]*(?:/[^/]*)?$", 1).try_cast("long")
 
 
 def log_actions(spark: SparkSession, path: str) -> DataFrame | None:
@@ -30,7 +30,9 @@ def log_actions(spark: SparkSession, path: str) -> DataFrame | None:
     log = f"{path.rstrip('/')}/{LOG}"
     commits = checkpoint = None
     try:
+        # compacted files repeat what the commits say, under names of two versions
         commits = spark.read.schema(ACTIONS).json(f"{log}/*.json").select(_version("json").alias("version"), "add", "remove")
+        commits = commits.where("version is not null")
     except AnalysisException as e:
         if not _missing(e):
             raise
@@ -83,7 +85,7 @@ def active_files(
 
 
 def file_listing(spark: SparkSession, path: str, suffix: str = ".parquet") -> DataFrame:
-    """``file, modified`` of the data files below ``path``, newest first; no file content is read."""
+    """``file, modified`` of the data files below ``path``, newest first, equal times by name; no file content is read."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -91,7 +93,7 @@ def file_listing(spark: SparkSession, path: str, suffix: str = ".parquet") -> Da
         .load(path)
         .select(F.col("path").alias("file"), F.col("modificationTime").alias("modified"))
     )
-    return files.where(~F.col("file").contains(f"/{LOG}/")).orderBy(F.desc("modified"), "file")
+    return files.where(~F.col("file").contains(f"/{LOG}/")).orderBy(F.desc("modified"), F.desc("file"))
 
 
 def recent_files(spark: SparkSession, path: str, year: str | int | None = None, partition: str = "year") -> list[str]:

@@ -14,7 +14,6 @@ from cohortlens.operators.profile import column_stats
 from cohortlens.sources.snapshot import active_files, recent_files
 
 YEAR_VARIABLE = "COHORTLENS_YEAR"
-DEFAULT_YEAR = "2024"
 
 
 @dataclass(frozen=True)
@@ -40,8 +39,8 @@ class Lake:
 
 
 def default_year() -> str | None:
-    """The year read when none is given; an empty variable means all years."""
-    return os.environ.get(YEAR_VARIABLE, DEFAULT_YEAR).strip() or None
+    """The year that the environment names for calls without one; all years otherwise."""
+    return os.environ.get(YEAR_VARIABLE, "").strip() or None
 
 
 def read_partition(
@@ -92,7 +91,7 @@ def union_by_name(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
-def peek(spark: SparkSession, lake: Lake, table: str, n: int = 5000, seed: int = 42, **how) -> DataFrame:
+def peek(spark: SparkSession, lake: Lake, table: str, n: int, seed: int = 42, **how) -> DataFrame:
     return take_lowest(load(spark, lake, table, **how), n, lake.row_key, seed)
 
 
@@ -100,7 +99,7 @@ def load_for_profiling(
     spark: SparkSession,
     lake: Lake,
     table: str,
-    n: int | None = 5000,
+    n: int | None = None,
     year: str | int | None = None,
     seed: int = 42,
     folder: str | None = None,
@@ -119,7 +118,7 @@ def load_for_profiling(
 
 
 def load_tables(
-    spark: SparkSession, lake: Lake, n: int | None = 5000, year: str | int | None = None, folder: str | None = None
+    spark: SparkSession, lake: Lake, n: int | None = None, year: str | int | None = None, folder: str | None = None
 ) -> dict[str, DataFrame]:
     return {t: load_for_profiling(spark, lake, t, n, year, folder=folder) for t in lake.tables}
 

@@ -29,9 +29,9 @@ def brute_ap(data):
     return out
 
 
-@pytest.mark.parametrize("one_task_rows", [10**6, 0])
-def test_auc_and_average_precision_with_ties(ties, one_task_rows):
-    got = m.classification_metrics(ties, one_task_rows=one_task_rows).first()
+@pytest.mark.parametrize("range_rows", [10**6, 7])
+def test_auc_and_average_precision_with_ties(ties, range_rows):
+    got = m.classification_metrics(ties, range_rows=range_rows).first()
     assert got["roc_auc"] == pytest.approx(brute_auc(TIES))
     assert got["pr_auc"] == pytest.approx(brute_ap(TIES))
     assert got["brier"] == pytest.approx(np.mean([(s - y) ** 2 for _, y, s in TIES]))
@@ -91,7 +91,7 @@ def test_calibration_bins_follow_quantiles(spark):
     df = spark.createDataFrame([(int(y), float(s)) for y, s in zip(ys, values)], "y int, score double")
     edges = np.quantile(values, np.linspace(0.1, 0.9, 9))
     place = np.searchsorted(edges, values)
-    got = {r["bin"]: r for r in m.calibration(df, one_task_rows=0).collect()}
+    got = {r["bin"]: r for r in m.calibration(df, range_rows=7).collect()}
     assert set(got) == set(place)
     for b in set(place):
         assert got[b]["n"] == (place == b).sum()

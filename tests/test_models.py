@@ -300,3 +300,15 @@ def test_profiling_end_to_end(spark, learnable):
 
 def test_row_cap_is_optional(learnable):
     assert splits.row_cap(learnable, None).count() == 1200 and splits.row_cap(learnable, 10).count() == 10
+
+
+def test_a_forest_does_not_depend_on_how_its_rows_are_dealt(learnable):
+    from cohortlens.operators import frame, models
+
+    roles = frame.Roles(["a"], [])
+    params = {"n_trees": 5, "max_depth": 4, "min_samples_leaf": 5}
+    totals = set()
+    for parts in (1, 3, 7):
+        model = models.fit_model("random_forest", learnable.repartition(parts), roles, params)
+        totals.add(models.score(model, learnable).selectExpr("sum(score)").first()[0].__round__(9))
+    assert len(totals) == 1

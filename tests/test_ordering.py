@@ -9,11 +9,11 @@ from .conftest import rows
 
 
 @pytest.mark.parametrize("descending", [False, True])
-@pytest.mark.parametrize("one_task_rows", [10**6, 0])
-def test_running_totals_match_a_plain_sum(spark, descending, one_task_rows):
+@pytest.mark.parametrize("range_rows", [10**6, 7])
+def test_running_totals_match_a_plain_sum(spark, descending, range_rows):
     values = np.random.default_rng(1).permutation(3000) / 7.0
     df = spark.createDataFrame([(float(v), i % 5) for i, v in enumerate(values)], "v double, n long")
-    got = {r["v"]: r["cum_n"] for r in running_totals(df, "v", ["n"], descending=descending, one_task_rows=one_task_rows).collect()}
+    got = {r["v"]: r["cum_n"] for r in running_totals(df, "v", ["n"], descending=descending, range_rows=range_rows).collect()}
     order = sorted(((float(v), i % 5) for i, v in enumerate(values)), reverse=descending)
     total = 0
     for v, n in order:
@@ -23,19 +23,19 @@ def test_running_totals_match_a_plain_sum(spark, descending, one_task_rows):
 
 def test_running_totals_per_stratum(spark):
     df = spark.range(4000).select((F.col("id") % 4).cast("int").alias("g"), (F.col("id") * 1.5).alias("v"), F.lit(1).alias("n"))
-    out = running_totals(df, "v", ["n"], by=["g"], one_task_rows=0)
+    out = running_totals(df, "v", ["n"], by=["g"], range_rows=7)
     bad = out.where(F.col("cum_n") != F.floor(F.col("v") / 6) + 1)
     assert out.count() == 4000 and bad.count() == 0
 
 
-@pytest.mark.parametrize("one_task_rows", [10**6, 0])
-def test_rank_with_a_heavy_tie(spark, one_task_rows):
+@pytest.mark.parametrize("range_rows", [10**6, 7])
+def test_rank_with_a_heavy_tie(spark, range_rows):
     # 60% of the rows share one value, some have none
     df = spark.range(5000).select(
         F.col("id").cast("string").alias("k"),
         F.when(F.col("id") % 97 == 0, None).when(F.col("id") % 5 < 3, F.lit(0.25)).otherwise(F.col("id") / 5000).alias("v"),
     )
-    got = global_rank(df, "v", "k", descending=True, one_task_rows=one_task_rows).withColumn("tag", F.concat(seeded_tag(42, "k"), "k")).collect()
+    got = global_rank(df, "v", "k", descending=True, range_rows=range_rows).withColumn("tag", F.concat(seeded_tag(42, "k"), "k")).collect()
     expected = sorted(got, key=lambda r: (r["v"] is None, -(r["v"] or 0), r["tag"]))
     assert [r["rank"] for r in expected] == list(range(1, 5001))
 
@@ -45,7 +45,7 @@ def test_quantiles_equal_numpy_and_skip_missing(spark):
     data = [(float(v), float(i) if i % 3 else None) for i, v in enumerate(values)] + [(float("nan"), None)]
     df = spark.createDataFrame(data, "a double, b double")
     probs = [0.0, 0.1, 0.5, 0.9, 1.0]
-    got = {(r["column"], r["prob"]): r["value"] for r in exact_quantiles(df, ["a", "b"], probs, one_task_rows=0).collect()}
+    got = {(r["column"], r["prob"]): r["value"] for r in exact_quantiles(df, ["a", "b"], probs, range_rows=7).collect()}
     b = [i for i in range(501) if i % 3]
     for p in probs:
         assert got["a", p] == pytest.approx(np.quantile(values, p))

@@ -46,7 +46,7 @@ def test_snapshot_by_year_and_columns(spark, lake):
     assert df.columns == ["row_id", "year"] and df.count() == 10
     assert {r[0] for r in df.select("year").collect()} == {2024}
     assert tables.load(spark, lake, year=2024, max_files=1).count() == 7
-    assert tables.load(spark, lake).count() == 10  # the default year
+    assert tables.load(spark, lake).count() == 15  # all years
 
 
 def test_snapshot_with_a_checkpoint(spark, lake):
@@ -58,6 +58,10 @@ def test_snapshot_with_a_checkpoint(spark, lake):
         spark.createDataFrame([(line,)], "value string").coalesce(1).write.text(f"{path}/{snapshot.LOG}/{version:020d}.json")
     assert snapshot.active_files(spark, path) == [f"{path}/k1", f"{path}/k3"]
     assert snapshot.active_files(spark, path, 2024) == [f"{path}/k1"]
+    # a compacted file repeats its commits, and must neither stop the reading nor bring back what later ones removed
+    compacted = f"{path}/{snapshot.LOG}/{3:020d}.{6:020d}.compacted.json"
+    spark.createDataFrame([('{"add":{"path":"k2","partitionValues":{"year":"2024"}}}',)], "value string").coalesce(1).write.text(compacted)
+    assert snapshot.active_files(spark, path) == [f"{path}/k1", f"{path}/k3"]
 
 
 def test_without_a_log_files_are_listed_newest_first(spark):
@@ -82,7 +86,7 @@ def test_guards(spark, lake):
 
 def test_default_year(monkeypatch):
     monkeypatch.delenv(tables.YEAR_VARIABLE, raising=False)
-    assert tables.default_year() == "2024"
+    assert tables.default_year() is None
     monkeypatch.setenv(tables.YEAR_VARIABLE, "")
     assert tables.default_year() is None
 
@@ -93,7 +97,11 @@ def test_policy_and_stored_sample(spark, lake):
     folder = shared_folder(spark)
     first = samples.stored_sample(spark, lake, folder, n=9, year="", balance_on="y")
     assert rows(first) == rows(samples.stored_sample(spark, lake, folder, n=9, year="", balance_on="y"))
-    assert samples.sample_path("f/", "t", None, 5, 42) == "f/sample_t_yearall_n5_seed42.parquet"
+    # other arguments, other sample: all that decides the rows is in the name
+    plain = samples.stored_sample(spark, lake, folder, n=9, year="", balance_on=None)
+    assert rows(plain) == rows(samples.take_lowest(tables.load(spark, lake, year=""), 9, lake.row_key))
+    names = {samples.sample_path("f/", "t", None, 5, 42, source=s, balance_on=b) for s in ("a", "b") for b in ("y", None)}
+    assert len(names) == 4
 
 
 def test_partition_filter_reaches_the_scan(spark, lake, capsys):

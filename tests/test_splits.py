@@ -82,3 +82,17 @@ def test_balanced_sample_only_acts_when_classes_differ(spark):
     assert splits.class_balanced_sample(even, 500, max_gap=0.2).count() == 500
     # fewer rows than asked for: nothing is balanced
     assert splits.class_balanced_sample(uneven, 5000).count() == 1000
+
+
+def test_a_missing_group_is_a_group_and_a_missing_key_an_error(spark):
+    df = spark.createDataFrame([(i, None if i % 10 == 0 else str(i % 10)) for i in range(200)], "row_id int, group_id string")
+    out = splits.grouped_holdout(df, share=0.2)
+    sides = {(r["group_id"], r["is_test"]) for r in out.collect()}
+    assert len(sides) == 10 and sum(t for _, t in sides) == 2
+    for seed in range(30):  # some seed holds the missing group out
+        if splits.grouped_holdout(df, share=0.2, seed=seed).where("group_id is null and is_test").count():
+            break
+    else:
+        raise AssertionError("the missing group was never held out")
+    with pytest.raises(Exception, match="missing in some rows"):
+        splits.row_cap(df.withColumn("row_id", F.when(F.col("row_id") > 5, F.col("row_id"))), 3).collect()
