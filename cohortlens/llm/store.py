@@ -55,8 +55,8 @@ def worker_state(name: str, make: Callable[[], Any]) -> Any:
 
 
 BLOCK = 1 << 16
-SLOTS = 256
-BLOCKS = "block int, slot int, sums binary"
+BLOCKS = "block int, slot long, sums binary"
+TOGETHER = 64  # rows that one step adds up, so many tasks need a few steps, and no step a large group
 
 
 def in_blocks(total: np.ndarray) -> pa.RecordBatch:
@@ -64,24 +64,26 @@ def in_blocks(total: np.ndarray) -> pa.RecordBatch:
     from pyspark import TaskContext
 
     blocks = [total[a : a + BLOCK].tobytes() for a in range(0, len(total), BLOCK)]
-    slots = [TaskContext.get().partitionId() % SLOTS] * len(blocks)
+    slots = [TaskContext.get().partitionId()] * len(blocks)
     return pa.RecordBatch.from_arrays(
-        [pa.array(range(len(blocks)), pa.int32()), pa.array(slots, pa.int32()), pa.array(blocks, pa.binary())], names=["block", "slot", "sums"]
+        [pa.array(range(len(blocks)), pa.int32()), pa.array(slots, pa.int64()), pa.array(blocks, pa.binary())], names=["block", "slot", "sums"]
     )
 
 
 def added(parts: DataFrame, size: int, kind: str) -> np.ndarray:
-    """Sums over all tasks: those of up to ``SLOTS`` groups of tasks first, then of all groups. A fixed number of rows is collected."""
+    """Sums of ``kind`` over all tasks, ``TOGETHER`` rows at a time. A fixed number of rows is collected."""
+    width = np.dtype(kind).itemsize
 
     def add(table: pa.Table) -> pa.Table:
-        total = np.zeros(len(table["sums"][0].as_py()) // 8, kind)
+        total = np.zeros(len(table["sums"][0].as_buffer()) // width, "f8" if kind[0] == "f" else "i8")
         for x in table["sums"]:
             total += np.frombuffer(x.as_buffer(), kind)
-        return pa.table({"block": table["block"].slice(0, 1), "slot": table["slot"].slice(0, 1), "sums": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"block": table["block"].slice(0, 1), "slot": table["slot"].slice(0, 1), "sums": pa.array([total.astype(kind).tobytes()], pa.binary())})
 
-    for keys in (["block", "slot"], ["block"]):
-        parts = parts.groupBy(*keys).applyInArrow(add, BLOCKS)
-    out = np.zeros(size, kind)
+    # task numbers are below 2**24; the last step meets at most as many rows as the others
+    for step in (TOGETHER, TOGETHER**2, TOGETHER**4):
+        parts = parts.groupBy("block", F.floor(F.col("slot") / step).alias("_s")).applyInArrow(add, BLOCKS)
+    out = np.zeros(size, "f8" if kind[0] == "f" else "i8")
     for r in parts.collect():
-        out[r["block"] * BLOCK : r["block"] * BLOCK + len(r["sums"]) // 8] = np.frombuffer(r["sums"], kind)
+        out[r["block"] * BLOCK : r["block"] * BLOCK + len(r["sums"]) // width] += np.frombuffer(r["sums"], kind)
     return out
