@@ -142,7 +142,7 @@ class Field:
                     f = word_features(w)
                     known[w] = (self.own[f].sum(0), self.before[f].sum(0), self.after[f].sum(0))
             table = np.array([known[w][0] for w in chain])
-            table[1:] += [known[w][1] for w in chain[:-1]]
+            table[1:] += np.array([known[w][1] for w in chain[:-1]]).reshape(-1, len(TAGS))
             table[:-1] += np.array([known[w][2] for w in chain[1:]]).reshape(-1, len(TAGS))
             out.append(table)
         return out
