@@ -16,6 +16,7 @@ from cohortlens.plans.bindings import (
     unit,
     unit_base,
 )
+from cohortlens.session import written
 
 UNIT_COLUMNS = (
     "row_id group_id state region network y year weight acctbal segment is_even_nation grade lag1_empty score "
@@ -45,7 +46,7 @@ def b1(spark, sf):
     ),
 )
 def b2(spark, sf):
-    return frame.surviving_columns(unit(spark, sf))
+    return frame.surviving_columns(written(unit(spark, sf), "unit"))
 
 
 @query(
@@ -62,7 +63,7 @@ def b2(spark, sf):
     ),
 )
 def b3(spark, sf):
-    return frame.constant_column_rows(unit(spark, sf))
+    return frame.constant_column_rows(written(unit(spark, sf), "unit"))
 
 
 @query(
@@ -77,14 +78,31 @@ FROM unit""",
     ),
 )
 def b5(spark, sf):
-    out = frame.build_model_frame(unit(spark, sf))
+    out = frame.build_model_frame(written(unit(spark, sf), "unit"))
     rounded = ("lag1_rate", "lag1_state_rate", "goal_t", "goal_t1", "goal_gap")
     return out.select(*[r9(c) if c in rounded else c for c in out.columns])
 
 
-@query("b6_feature_roles")
+# candidates in the order of the schema, then of the columns; constant columns and texts of more than 30 levels drop out
+ROLE_CANDIDATES = (
+    *((c, "numeric") for c in "lag1_rate lag1_state_rate goal_t acctbal goal_gap year is_even_nation grade score lag1_empty".split()),
+    *((c, "categorical") for c in "network region state segment".split()),
+)
+
+
+@query(
+    "b6_feature_roles",
+    with_(
+        UNIT_SQL,
+        ", u AS (SELECT *, goal_t - lag1_rate AS goal_gap FROM unit), c AS ("
+        + _union(
+            f"SELECT {i} AS i, '{c}' AS feature, '{role}' AS role, count(DISTINCT {c}) AS n FROM u" for i, (c, role) in enumerate(ROLE_CANDIDATES)
+        )
+        + ") SELECT CAST(row_number() OVER (ORDER BY i) - 1 AS INTEGER) AS position, feature, role FROM c WHERE n > 1 AND (role = 'numeric' OR n <= 30)",
+    ),
+)
 def b6(spark, sf):
-    roles = frame.feature_roles(frame.build_model_frame(unit(spark, sf)))
+    roles = frame.feature_roles(frame.build_model_frame(written(unit(spark, sf), "unit")))
     rows = [(i, c, "numeric") for i, c in enumerate(roles.numeric)]
     rows += [(i + len(rows), c, "categorical") for i, c in enumerate(roles.categorical)]
     return spark.createDataFrame(rows, "position int, feature string, role string")
@@ -100,7 +118,7 @@ SELECT row_id, coalesce(group_id, '__NULL__') AS group_id, CAST(y AS INTEGER) AS
     ),
 )
 def b7(spark, sf):
-    rows = frame.model_rows(unit(spark, sf), frame.Roles(["lag1_rate", "acctbal"], ["network", "region"]))
+    rows = frame.model_rows(written(unit(spark, sf), "unit"), frame.Roles(["lag1_rate", "acctbal"], ["network", "region"]))
     return rows.withColumn("lag1_rate", F.round("lag1_rate", 9))
 
 

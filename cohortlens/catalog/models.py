@@ -32,7 +32,7 @@ def _union(lines):
     with_(UNIT_SQL, _union(f"SELECT '{c}' AS \"column\", round(quantile_cont({c}, 0.5), 6) AS median FROM unit" for c in NUMBERS)),
 )
 def h1(spark, sf):
-    return prep.medians(unit(spark, sf), NUMBERS).withColumn("median", F.round("median", 6))
+    return prep.medians(written(unit(spark, sf), "unit"), NUMBERS).withColumn("median", F.round("median", 6))
 
 
 @query(
@@ -117,7 +117,7 @@ def model_input(spark, sf):
 )
 def h5(spark, sf):
     """Names and mean values of the encoded features."""
-    rows = unit(spark, sf).transform(frame.add_goal_gap)
+    rows = written(unit(spark, sf), "unit").transform(frame.add_goal_gap)
     fitted = prep.fit_prep(rows, ROLES)
     names = F.array(*[F.lit(n) for n in prep.feature_names(fitted)])
     long = fitted.transform(rows).select(F.posexplode(vector_to_array("features")).alias("i", "value"))

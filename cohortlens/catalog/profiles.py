@@ -31,7 +31,7 @@ round_even(100.0 * (count(*) - count({c})) / count(*)::DOUBLE, 2) AS pct_missing
     ),
 )
 def d1(spark, sf):
-    return profile.profile(unit(spark, sf).select(*WIDE)).drop("dtype")
+    return profile.profile(written(unit(spark, sf), "unit").select(*WIDE)).drop("dtype")
 
 
 @query(
@@ -92,7 +92,7 @@ SELECT * FROM m WHERE col_a IN (SELECT c FROM t) AND col_b IN (SELECT c FROM t)"
     ),
 )
 def d4_heatmap(spark, sf):
-    return profile.heatmap(unit(spark, sf), "y", 3, SHOWN).withColumn("r", F.round("r", 6))
+    return profile.heatmap(written(unit(spark, sf), "unit"), "y", 3, SHOWN).withColumn("r", F.round("r", 6))
 
 
 @query(
@@ -152,7 +152,7 @@ round_even(quantile_cont({c}, 0.75), 2) AS q75, round_even(max({c}), 2) AS max F
     ),
 )
 def d8(spark, sf):
-    return profile.describe(unit(spark, sf), DESCRIBED)
+    return profile.describe(written(unit(spark, sf), "unit"), DESCRIBED)
 
 
 LINE = ("l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_returnflag", "l_shipdate")
