@@ -9,9 +9,12 @@ in the stream are running totals over hash ranges and blocks of rounds, each of
 
 from __future__ import annotations
 
+import json
 import math
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
@@ -23,8 +26,9 @@ from cohortlens.llm.store import stored, worker_state
 TOKENIZER = "word_bpe_49k.json"
 WINDOW = 4096
 END = 2
-CACHED_WORDS = 300_000
-WORDS_AT_ONCE = 4 << 20  # bytes of text whose words are looked up together
+CACHED_WORDS = 400_000
+_LAST = re.compile(rb"(?<=[a-z0-9])([.,;:!?])(?=[\x20\x09-\x0D]|\Z)")
+WORDS_AT_ONCE = 8 << 20  # bytes of text whose words are looked up together
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -33,10 +37,19 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _byte_letters() -> dict[int, str]:
+    """The characters that stand for bytes in byte-level vocabularies: printable ones themselves, others in turn from U+0100."""
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return {b: chr(b) if b in plain else chr(next(rest)) for b in range(256)}
+
+
 class WordIds:
-    """Ids of texts by a tokenizer whose pieces never cross white space: each distinct word is encoded once.
+    """Ids of texts by a tokenizer whose pieces never cross white space, and which folds case: each word is encoded rarely.
 
-    Space and U+0009 to U+000D only separate in the vocabularies used here (a test compares with encoding whole texts).
+    What splits off in any case is split before words are looked up, so that fewer are different: A-Z become a-z, and one
+    sign after a letter or digit that ends a word stands alone. A test compares with encoding whole texts. Words that come again
+    are kept, up to ``CACHED_WORDS``; those that came once are not, so rare words do not push out the others.
     """
 
     def __init__(self, path: str) -> None:
@@ -44,27 +57,68 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        # without the steps that leave plain lower-case letters as they are; bytes of others are mapped here instead
+        self.bare = Tokenizer.from_file(path)
+        steps = json.loads(self.bare.to_str())
+        folds = "Lowercase" in json.dumps(steps["normalizer"])
+        self.short_cut = folds and '"ByteLevel"' in json.dumps(steps["pre_tokenizer"])
+        if self.short_cut:
+            self.bare.normalizer, self.bare.pre_tokenizer = None, None
+        self.letters = _byte_letters()
+        self.fold = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123))) if folds else bytes(range(256))
+        self.special = [str(t).encode() for t in (x.content for x in self.tokenizer.get_added_tokens_decoder().values())]
         self.known: dict[bytes, bytes] = {}
+        self.once = bytearray(1 << 21)
         # ids that fit two bytes are kept in two
-        self.kind = np.uint16 if self.tokenizer.get_vocab_size() < 1 << 16 else np.uint32
+        self.code = "H" if self.tokenizer.get_vocab_size() < 1 << 16 else "I"
+        self.width = 2 if self.code == "H" else 4
+
+    def _words(self, text: bytes) -> list[bytes]:
+        if any(s.split(b"|")[0] in text and s.lower() in text.lower() for s in self.special):
+            return text.split()  # special tokens are found as they stand
+        return _LAST.sub(rb" \1", text.translate(self.fold)).split()
+
+    def _plain(self, word: bytes) -> str | None:
+        """A word of Latin lower-case letters as the model sees it; none if other steps could change it."""
+        if not self.short_cut:
+            return None
+        text = word.decode()
+        if not text.isalpha() or max(text) > "\u024f" or text.lower() != text:
+            return None
+        return text if text.isascii() else word.decode("latin-1").translate(self.letters)
+
+    def _encoded(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        plain, other = [], []
+        for w in words:
+            x = self._plain(w)
+            plain.append((w, x)) if x is not None else other.append((w, w.decode()))
+        for tokenizer, part in ((self.bare, plain), (self.tokenizer, other)):
+            for at in range(0, len(part), 10_000):
+                found = tokenizer.encode_batch_fast([x for _, x in part[at : at + 10_000]], add_special_tokens=False)
+                for (w, _), e in zip(part[at : at + 10_000], found):
+                    yield w, array(self.code, e.ids).tobytes()
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
-        split = [t.split() for t in texts]
-        new = list(set().union(*split).difference(self.known))
-        if len(self.known) + len(new) > CACHED_WORDS:
-            self.known, new = {}, list(set().union(*split))
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, self.kind).tobytes()) for w, e in zip(part, found))
-        get = self.known.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+        split = [self._words(t) for t in texts]
+        known = self.known
+        table = {w: known.get(w) for w in set().union(*split)}
+        here = dict(self._encoded([w for w, x in table.items() if x is None]))
+        table.update(here)
+        get = table.__getitem__
+        out = [b"".join(map(get, words)) for words in split]
+        for w, x in here.items():
+            at = zlib.crc32(w) & 0xFFFFFF
+            if not self.once[at >> 3] >> (at & 7) & 1:
+                self.once[at >> 3] |= 1 << (at & 7)
+            elif len(known) < CACHED_WORDS:
+                known[w] = x
+        return out
 
 
 def _encode(path: str, end: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = worker_state("ids_" + path, lambda: WordIds(path))
-        last = np.array([end], ids.kind).tobytes()
+        last = array(ids.code, [end]).tobytes()
         for batch in batches:
             texts = batch["text"].cast(pa.binary()).fill_null(b"").to_pylist()
             at = 0
@@ -75,9 +129,8 @@ def _encode(path: str, end: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
                     to += 1
                 found = [x + last for x in ids(texts[at:to])]
                 part = batch.slice(at, to - at)
-                width = ids.kind().itemsize
                 yield pa.RecordBatch.from_arrays(
-                    [part["row_id"], part["id"], part["source"], pa.array([len(x) // width for x in found], pa.int64()), pa.array(found, pa.binary())],
+                    [part["row_id"], part["id"], part["source"], pa.array([len(x) // ids.width for x in found], pa.int64()), pa.array(found, pa.binary())],
                     names=["row_id", "id", "source", "n", "ids"],
                 )
                 at = to
