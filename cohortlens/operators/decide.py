@@ -108,7 +108,9 @@ def region_cluster_crosstab(df: DataFrame, clusters: Sequence[int] | None = None
     """Row shares of each cluster within a region, columns ``cluster_<k>``."""
     rows = df.dropna(subset=["cluster", "region"])
     if clusters is None:
-        clusters = sorted(r[0] for r in rows.select("cluster").distinct().collect())  # a handful of labels
+        # labels count from 0; one number is collected
+        top = rows.agg(F.max("cluster")).first()[0]
+        clusters = range(0 if top is None else int(top) + 1)
     total = F.count("*")
     cells = [
         F.bround(F.count_if(F.col("cluster") == k) / total, 4).alias(f"cluster_{int(k)}") for k in clusters

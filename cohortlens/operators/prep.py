@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from cohortlens.operators.frame import Roles
 from cohortlens.operators.ordering import exact_quantiles
@@ -108,6 +108,6 @@ def levels(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """``column, level, position``: the encoded levels of each category, in alphabetical order."""
     seen = text_stage(columns).transform(df).select(*[F.col(f"text__{c}").alias(c) for c in columns])
     pairs = seen.unpivot([], list(columns), "column", "level").distinct()
-    # categories have few levels, so the sorted list of one column is small
-    listed = pairs.groupBy("column").agg(F.sort_array(F.collect_set("level")).alias("levels"))
-    return listed.select("column", F.posexplode("levels").alias("position", "level"))
+    # one row per column and level
+    place = F.row_number().over(W.partitionBy("column").orderBy("level")) - 1
+    return pairs.where("level is not null").select("column", place.cast("int").alias("position"), "level")

@@ -6,6 +6,7 @@ import os
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlens.functions.columns import clean_floats
@@ -46,10 +47,17 @@ def default_year() -> str | None:
 def read_partition(
     spark: SparkSession, path: str, year: str | int | None = None, partition: str = "year"
 ) -> DataFrame:
-    """A table partitioned by year; the filter reaches the listing as a partition filter."""
+    """A table partitioned by year. With a year only that partition's files are listed and their footers read."""
     year = default_year() if year is None else year
-    df = spark.read.option("mergeSchema", "true").parquet(path)
-    return df.where(F.col(partition) == F.lit(int(year))) if year else df
+    if not year:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    only = F.col(partition) == F.lit(int(year))
+    try:
+        return spark.read.option("mergeSchema", "true").option("basePath", path).parquet(f"{path.rstrip('/')}/{partition}={int(year)}").where(only)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.read.parquet(path).where(only)
 
 
 def list_files(spark: SparkSession, path: str, year: str | int | None = None, partition: str = "year") -> list[str]:
