@@ -52,14 +52,15 @@ def written(df, label: str = "step", partition_by: str | None = None):
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-SPREAD_PARTS = 64  # the same on every cluster: partitions decide what seeded fits draw
+FIT_PARTITIONS = "cohortlens.fit.partitions"  # session setting; a job on a large cluster sets it once and for all its runs
 
 
-def spread(df, key: str | None = None, parts: int = SPREAD_PARTS):
+def spread(df, key: str | None = None, parts: int | None = None):
     """Deal rows to ``parts`` partitions by a hash of ``key`` (all columns without one), in key order within each.
 
-    Fits that draw per partition then depend on the data and ``parts`` alone, not on files, cores or the number of rows.
-    Raise ``parts`` where a partition would not fit an executor.
+    Fits that draw per partition then depend on the data and this number alone, not on files, cores or the number of rows.
+    Without ``parts`` it is the session's setting, 16 where there is none.
     """
+    parts = parts or int(df.sparkSession.conf.get(FIT_PARTITIONS, "16"))
     by = [key] if key else df.columns
     return df.repartition(parts, F.xxhash64(*by)).sortWithinPartitions(F.xxhash64(*by), *([key] if key else []))
