@@ -85,8 +85,11 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[Slice]:
     """The documents of a string column (null: empty), some whole ones at a time."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = column.cast(pa.large_string()).fill_null("")
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+    if column.null_count:
+        column = column.fill_null("")
+    # no copy of the column: its bytes are read where they lie
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     raw = column.buffers()[2]
     data = np.frombuffer(raw, np.uint8) if raw is not None else np.zeros(0, np.uint8)
     at = 0
