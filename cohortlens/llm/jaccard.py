@@ -1,15 +1,16 @@
 """N-gram Jaccard join: a token-group matrix over groups of similar documents, exact for the given similarity.
 
 A text's set holds the hashes of its distinct word n-grams. Equal sets are one class, whatever their number. Tokens are put
-in one global order, rare ones first (by a count sketch of fixed size; any order is exact); two sets that link share one of the
-first ``n - need + 1`` tokens of each, so only those are shuffled.
+in one global order, rare ones first (by a count sketch of fixed size; any order is exact); two sets that link share ``more(n)`` of
+the first ``n - need(n) + more(n)`` tokens of each, so only those are shuffled, and only classes are compared that share so many.
 
-* Groups: classes that share a token with a leader (first the smallest, then the largest class that has the token) are compared
-  with it; linked ones form a group. Dense families of copies collapse here with one comparison for each copy and leader.
-* Matrix: the tokens that still lie in two groups or more, and the groups that have them, in blocks of bounded size.
-* Bound: a class outside is compared with a block only as a whole, by its overlap with the block's token union; a set of n
-  tokens that links to any member has at least ``need`` of them in the union.
-* Open: only blocks that reach the bound are compared member by member, up to the first link.
+* Groups: each token is led by the class that shares the most tokens of all, the middle of its family; each class is compared
+  with the leader that it shares the most with, and linked ones form a group. Dense families of copies collapse here.
+  Classes without a link stay beside the group of the class that they share most with.
+* Matrix: the tokens that still lie in two groups or more, and the blocks of at most ``MEMBERS`` neighbours that have them.
+* Bound: a class meets a block if it shares as many leading tokens with it as a link takes, and is compared with
+  the block's token union first; a set of n tokens that links to any member has at least ``need(n)`` of them in it.
+* Open: only blocks that reach the bound are opened; one look-up counts what each member shares.
 
 Components of all links, not pairs, leave the operator: a group of m copies costs m rows.
 """
@@ -21,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortlens.llm.store import BLOCKS, added, in_blocks, numbered, stored, without
 from cohortlens.llm.text import Hasher, Slice, slices, windows, words
@@ -38,13 +39,38 @@ def need(n: np.ndarray, percent: int = PERCENT) -> np.ndarray:
     return (percent * n + 99) // 100
 
 
-def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
-    """Whether two sorted sets link."""
-    if min(len(a), len(b)) < need(np.int64(max(len(a), len(b))), percent):
-        return False
-    at = np.searchsorted(b, a)
-    both = int((b[np.minimum(at, len(b) - 1)] == a).sum())
-    return 100 * both >= percent * (len(a) + len(b) - both)
+def more(n: np.ndarray) -> np.ndarray:
+    """Leading tokens that a set of ``n`` shares with any set of its size that it links to. Grows with ``n``."""
+    return 1 + n // 20
+
+
+def least_shared(n: Column, percent: int) -> Column:
+    """``more`` of the smallest set that a set of ``n`` can link to."""
+    smallest = F.floor((percent * n + 99) / 100)
+    return 1 + F.floor(smallest / 20)
+
+
+class Block:
+    """Token union of some sets, and which of them has each token."""
+
+    def __init__(self, sets: list[np.ndarray]) -> None:
+        tokens = np.concatenate(sets)
+        owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = np.argsort(tokens, kind="stable")
+        self.owner, self.sizes = owner[order], np.array([len(s) for s in sets])
+        self.union, first = np.unique(tokens[order], return_index=True)
+        self.edges = np.append(first, len(tokens))
+
+    def links(self, tokens: np.ndarray, percent: int) -> np.ndarray:
+        """Numbers of the sets that ``tokens`` links to; none unless the union holds as many of them as a link takes."""
+        at = np.minimum(np.searchsorted(self.union, tokens), len(self.union) - 1)
+        at = at[self.union[at] == tokens]
+        if len(at) < need(np.int64(len(tokens)), percent):
+            return np.zeros(0, np.int64)
+        lengths = self.edges[at + 1] - self.edges[at]
+        places = np.repeat(self.edges[at] - np.concatenate([[0], np.cumsum(lengths)[:-1]]), lengths) + np.arange(lengths.sum())
+        both = np.bincount(self.owner[places], minlength=len(self.sizes))
+        return np.flatnonzero((100 * both >= percent * (len(tokens) + self.sizes - both)) & (both > 0))
 
 
 def token_sets(part: Slice, hasher: Hasher, ngram: int = NGRAM) -> tuple[np.ndarray, np.ndarray]:
@@ -97,7 +123,7 @@ def _prefixes(broadcast, ngram: int, percent: int):
                 signs = [_signature(keys[first[d] : first[d + 1]]) if n[d] else (0, 0) for d in range(part.n)]
                 order = np.lexsort((keys, sketch[(keys % np.uint64(SKETCH)).astype(np.int64)], doc))
                 place = np.arange(len(doc)) - first[doc]
-                length = np.where(n > 0, n - need(n, percent) + 1, 0)
+                length = np.where(n > 0, np.minimum(n, n - need(n, percent) + more(n)), 0)
                 taken = keys[order][place < length[doc]]
                 edges = pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32())
                 own = batch.slice(part.first, part.n)
@@ -116,59 +142,69 @@ def _prefixes(broadcast, ngram: int, percent: int):
     return run
 
 
-def _sets(ngram: int):
-    """Complete sets of the classes that are compared; rows with the id of a class but another text are left out."""
+def _marks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = np.zeros(SKETCH, np.int64)
+    for batch in batches:
+        total += np.bincount(batch["mark"].to_numpy().view(np.uint64) % np.uint64(SKETCH), minlength=SKETCH)
+    yield in_blocks(total)
+
+
+def _sets(broadcast, ngram: int):
+    """Complete sets of the rows that may be the classes to compare, by a filter of fixed size; later joins take what they need."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher(lower=True)
+        hasher, marked, sent = Hasher(lower=True), broadcast.value, set()
         for batch in batches:
-            rows, out = [], []
-            wanted = list(zip(batch["high"].to_pylist(), batch["low"].to_pylist()))
+            by_id = batch["mark"].to_numpy().view(np.uint64)
             for part in slices(batch["text"]):
                 doc, keys = token_sets(part, hasher, ngram)
                 edges = np.searchsorted(doc, np.arange(part.n + 1))
-                for d in range(part.n):
+                signs, out = [], []
+                for d in np.flatnonzero(np.diff(edges)):
                     tokens = keys[edges[d] : edges[d + 1]]
-                    if len(tokens) and _signature(tokens) == wanted[part.first + d]:
-                        rows.append(part.first + d)
+                    sign = _signature(tokens)
+                    if sign not in sent and marked[int(by_id[part.first + d] ^ np.uint64(sign[0] & 0xFFFFFFFFFFFFFFFF)) % SKETCH]:
+                        sent.add(sign)
+                        signs.append(sign)
                         out.append(tokens.tobytes())
-            yield pa.RecordBatch.from_arrays([batch["cid"].take(pa.array(rows, pa.int64())), pa.array(out, pa.binary())], names=["cid", "tokens"])
+                lists = [pa.array([x[i] for x in signs], pa.int64()) for i in (0, 1)]
+                yield pa.RecordBatch.from_arrays([*lists, pa.array(out, pa.binary())], names=["high", "low", "tokens"])
 
     return run
 
 
 def _open(percent: int):
-    """Links between the members (role 0) of one block and the queries (role 1) that came to it."""
+    """Links between the members (role 0) of one block and the queries (role 1) that came to it, one for each other component."""
 
     def run(table: pa.Table) -> pa.Table:
         sets: tuple[dict, dict] = ({}, {})
-        for role, cid, tokens in zip(table["role"].to_pylist(), table["cid"].to_pylist(), table["tokens"]):
-            sets[role][cid] = np.frombuffer(tokens.as_buffer(), np.uint64)
+        for role, cid, comp, tokens in zip(table["role"].to_pylist(), table["cid"].to_pylist(), table["comp"].to_pylist(), table["tokens"]):
+            sets[role][cid] = (comp, np.frombuffer(tokens.as_buffer(), np.uint64))
         found = []
         if sets[0]:
-            union = np.unique(np.concatenate(list(sets[0].values())))
-            for cid, tokens in sets[1].items():
-                at = np.minimum(np.searchsorted(union, tokens), len(union) - 1)
-                if (union[at] == tokens).sum() < need(np.int64(len(tokens)), percent):
-                    continue
-                other = next((m for m, own in sets[0].items() if m != cid and linked(tokens, own, percent)), None)
-                if other is not None:
-                    found.append((cid, other))
+            names, block = list(sets[0]), Block([t for _, t in sets[0].values()])
+            for cid, (comp, tokens) in sets[1].items():
+                done = {comp}
+                for i in block.links(tokens, percent):
+                    other = sets[0][names[i]][0]
+                    if other not in done:
+                        done.add(other)
+                        found.append((cid, names[i]))
         return pa.table({"a": pa.array([x[0] for x in found], pa.int64()), "b": pa.array([x[1] for x in found], pa.int64())})
 
     return run
 
 
-def open_groups(sets: DataFrame, members: DataFrame, queries: DataFrame, percent: int) -> DataFrame:
-    """Links ``a, b`` between the ``cid`` of ``queries`` and of ``members`` with the same ``gid``, at most one for each query and gid.
+def open_groups(sets: DataFrame, classes: DataFrame, members: DataFrame, queries: DataFrame, percent: int) -> DataFrame:
+    """Links ``a, b`` between the ``cid`` of ``queries`` and of ``members`` with the same ``gid``.
 
-    A block that many queries meet is repeated for each ``QUERIES`` of them.
+    ``classes`` has ``cid, comp, high, low``. A block that many queries meet is repeated for each ``QUERIES`` of them.
     """
     parts = queries.groupBy("gid").agg(F.ceil(F.count("*") / QUERIES).cast("int").alias("parts"))
     asked = queries.join(parts, "gid").select("gid", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int").alias("part"), F.lit(1).alias("role"), "cid")
     there = members.join(parts, "gid").select("gid", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("role"), "cid")
-    rows = asked.unionByName(there).join(sets, "cid").select("gid", "part", "role", "cid", "tokens")
-    return rows.groupBy("gid", "part").applyInArrow(_open(percent), "a long, b long")
+    rows = asked.unionByName(there).join(classes.select("cid", "comp", "high", "low"), "cid").join(sets, ["high", "low"])
+    return rows.select("gid", "part", "role", "cid", "comp", "tokens").groupBy("gid", "part").applyInArrow(_open(percent), "a long, b long")
 
 
 def contracted(labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
@@ -213,35 +249,53 @@ def components(
     schema = f"row_id long, id {id_type}, n long, high long, low long, prefix array<long>"
     rows = stored(base.mapInArrow(_prefixes(sketch, ngram, percent), schema), "prefixes")
     full = rows.where("n > 0")
-    classes = stored(full.groupBy("high", "low").agg(F.min("row_id").alias("cid"), F.min("id").alias("least")), "classes")
-    reps = full.join(classes.select(F.col("cid").alias("row_id")), "row_id").withColumnRenamed("row_id", "cid")
+    classes = stored(full.groupBy("high", "low").agg(F.min("row_id").alias("cid"), F.min("id").alias("least"), F.count("*").alias("rows")), "classes")
+    # rows that repeat a class go, not their prefixes through a shuffle
+    several = classes.where("rows > 1").select("high", "low", "cid")
+    copies = full.select("row_id", "high", "low").join(several, ["high", "low"]).where("row_id <> cid").select(F.col("row_id").alias("_copy"))
+    reps = full.join(copies, full["row_id"] == copies["_copy"], "left_anti").withColumnRenamed("row_id", "cid")
     each = reps.select("cid", F.explode("prefix").alias("token"))
-    shared = each.groupBy("token").agg(F.min("cid").alias("lo"), F.max("cid").alias("hi")).where("lo < hi").select("token")
-    postings = stored(each.join(shared, "token"), "postings")
-    compared = stored(postings.select("cid").distinct(), "compared")
-    wanted = reps.join(compared, "cid").select("cid", "id", "high", "low")
-    sets = stored(wanted.join(texts, wanted["id"].eqNullSafe(texts["id"])).select("cid", "high", "low", "text").mapInArrow(_sets(ngram), "cid long, tokens binary"), "sets")
-    labels = compared.withColumn("comp", F.col("cid"))
-    for name, leader in (("least", F.min("cid")), ("largest", F.max("cid"))):
-        known = postings.join(labels, "cid")
-        open_ = known.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), leader.alias("gid")).where("lo < hi").select("token", "gid")
-        asked = known.join(open_, "token").join(labels.select(F.col("cid").alias("gid"), F.col("comp").alias("own")), "gid")
-        queries = stored(asked.where("comp <> own").select("gid", "cid").distinct(), f"{name}_queries")
-        leaders = queries.select("gid").distinct().withColumn("cid", F.col("gid"))
-        links = stored(open_groups(sets, leaders, queries, percent), f"{name}_links")
-        labels = stored(contracted(labels, links, name), f"{name}_labels")
-    # the matrix: tokens that lie in several groups, and the blocks that have them
-    known = postings.join(labels, "cid")
+    shared = each.groupBy("token").count().where("count > 1").select("token")
+    enough = least_shared(F.col("n"), percent)
+    common = stored(each.join(shared, "token"), "shared")
+    many = common.groupBy("cid").count().join(reps.select("cid", "n", F.size("prefix").alias("leading"), "id", "high", "low"), "cid")
+    wanted = stored(many.where(F.col("count") >= enough).drop("count"), "active")
+    mark = F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")))
+    marks = added(wanted.select(mark.bitwiseXOR(F.col("high")).alias("mark")).mapInArrow(_marks, BLOCKS), SKETCH, "i8") > 0
+    sets = stored(texts.select("text", mark.alias("mark")).mapInArrow(_sets(spark.sparkContext.broadcast(marks), ngram), "high long, low long, tokens binary"), "sets")
+    postings = common.join(wanted.select("cid", "n", "leading"), "cid")
+    # the class whose tokens are shared the most is the middle of its family
+    held = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    middle = postings.join(held, "token").groupBy("cid").agg(F.sum("df").alias("weight"))
+    postings = stored(postings.join(held.select("token"), "token").join(middle, "cid"), "postings")
+    leads = postings.groupBy("token").agg(F.max(F.struct("weight", "cid"))["cid"].alias("gid"))
+    asked = postings.join(leads, "token").where("cid <> gid").groupBy("cid", "leading", "gid").count()
+    best = asked.groupBy("cid", "leading").agg(F.max(F.struct("count", "gid")).alias("best")).select("cid", "leading", "best.gid", "best.count")
+    best = stored(best, "best")
+    classes_ = wanted.select("cid", "high", "low", F.col("cid").alias("comp"))
+    # linked sets share most of what leads them; what this misses is left to the matrix
+    queries = best.where(2 * F.col("count") >= F.col("leading")).select("gid", "cid")
+    leaders = queries.select("gid").distinct().withColumn("cid", F.col("gid"))
+    links = stored(open_groups(sets, classes_, leaders, queries, percent), "group_links")
+    labels = contracted(classes_.select("cid", "comp"), links, "group")
+    near = classes_.drop("comp").join(best.select("cid", F.col("gid").alias("near")), "cid", "left")
+    classes_ = stored(near.withColumn("near", F.coalesce("near", "cid")).join(labels, "cid"), "groups")
+    # the matrix: tokens that lie in several groups, and the blocks of neighbours that have them
+    sizes = classes_.groupBy("comp").agg(F.count("*").alias("size"))
+    families = classes_.select(F.col("cid").alias("near"), F.col("comp").alias("family"))
+    near = classes_.join(families, "near").join(sizes, "comp").withColumn("family", F.when(F.col("size") > 1, F.col("comp")).otherwise(F.col("family")))
+    wide = near.groupBy("family").agg(F.ceil(F.count("*") / MEMBERS).alias("blocks"))
+    blocks = near.join(wide, "family").withColumn("block", F.pmod(F.xxhash64("cid"), F.col("blocks")))
+    blocks = stored(blocks.select("cid", "comp", "size", F.xxhash64("family", "block").alias("gid")), "blocks")
+    known = postings.join(blocks, "cid")
     open_ = known.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
-    left = stored(known.join(open_, "token"), "left")
-    sizes = labels.groupBy("comp").agg(F.ceil(F.count("*") / MEMBERS).alias("blocks"))
-    blocks = stored(
-        labels.join(left.select("comp").distinct(), "comp").join(sizes, "comp").select("cid", "comp", F.xxhash64("comp", F.pmod(F.xxhash64("cid"), F.col("blocks"))).alias("gid")), "blocks"
-    )
-    matrix = left.select("token", "cid").join(blocks, "cid").select("token", "gid", F.col("comp").alias("other")).distinct()
-    queries = stored(left.join(matrix, "token").where("comp < other").select("gid", "cid").distinct(), "matrix_queries")
-    links = stored(open_groups(sets, blocks.select("gid", "cid"), queries, percent), "matrix_links")
-    labels = stored(contracted(labels, links, "matrix"), "matrix_labels")
+    left = stored(known.join(open_, "token").select("token", "cid", "n", F.struct("size", "comp").alias("own"), "gid"), "left")
+    matrix = left.groupBy("token", "gid").agg(F.max("own").alias("most"))
+    # of two groups, the smaller asks the larger
+    shares = left.drop("gid").join(matrix, "token").where(F.col("own") < F.col("most")).groupBy("gid", "cid", "n").count()
+    queries = stored(shares.where(F.col("count") >= enough).select("gid", "cid"), "matrix_queries")
+    links = stored(open_groups(sets, classes_, blocks.select("gid", "cid"), queries, percent), "matrix_links")
+    labels = stored(contracted(classes_.select("cid", "comp"), links, "matrix"), "matrix_labels")
     named = classes.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     by_class = named.join(least, "comp").select("high", "low", "component_id", F.col("comp").alias("component"))
