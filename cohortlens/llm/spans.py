@@ -1,7 +1,7 @@
 """Substring dedup: sliding spans of sentences.
 
-Sentences end at a line break, after a word that ends in . ! ? , ; or :, and after a word whose hash says so, which cuts text
-without any punctuation at the same words wherever it is repeated. From each sentence on, the run of at least three
+Sentences end at a line break and after a word that ends in . ! ? , ; or :. After ``BARE`` words without either, a word whose
+hash says so ends one, so text without punctuation is cut at the same words wherever it is repeated; and so does every ``LONGEST``-th. From each sentence on, the run of at least three
 sentences that reaches ``LEAST_WORDS`` words is hashed. Runs are counted globally; of a repeated run, every occurrence but
 the first (by id, row and place) marks its sentences, and marked sentences are removed from the text.
 """
@@ -19,7 +19,9 @@ from cohortlens.llm.text import Hasher, Slice, code_points, mixed, slices, words
 
 RUN = 3
 LEAST_WORDS = 16
-CUT = 24  # of words without punctuation, one in so many ends a sentence
+BARE = 7  # words without an end, after which
+CUT = 2  # one word in so many ends a sentence
+LONGEST = 12  # words of a sentence; one word over and over may have no other end
 ENDS = b".!?,;:"
 
 
@@ -32,9 +34,15 @@ def sentences(part: Slice, hasher: Hasher) -> tuple[np.ndarray, ...]:
     mark = np.zeros(256, bool)
     mark[list(ENDS)] = True
     lines = np.concatenate([[0], np.cumsum(part.data == 10)])
-    last = mark[part.data[found.end - 1]] | (mixed(hashes) % np.uint64(CUT) == 0)
+    last = mark[part.data[found.end - 1]]
     last[:-1] |= (lines[found.start[1:]] > lines[found.end[:-1]]) | (found.doc[1:] != found.doc[:-1])
     last[-1] = True
+    # only words near by decide, so a repeated passage is cut alike but for its first few words
+    ends = np.concatenate([np.zeros(BARE + 1, np.int64), np.cumsum(last)])
+    last |= (ends[BARE + 1 :] == ends[: -BARE - 1]) & (mixed(hashes) % np.uint64(CUT) == 0)
+    at = np.arange(len(last))
+    begin = np.maximum.accumulate(np.where(np.concatenate([[True], last[:-1]]), at, 0))
+    last |= (at - begin) % LONGEST == LONGEST - 1
     to = np.flatnonzero(last) + 1
     start = np.concatenate([[0], to[:-1]])
     return found.doc[start], start, to, found.start, hashes
@@ -131,9 +139,10 @@ def remove_repeats(
     each = rows.select("row_id", "id", F.posexplode(F.arrays_zip("hashes", "lengths")).alias("at", "x"))
     each = each.select("row_id", "id", "at", F.col("x.hashes").alias("hash"), F.col("x.lengths").alias("length")).where("length > 0")
     # counts only: a run that a third of all rows hold is summed in each task before anything moves
-    repeated = each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash")
+    # written, so that the joins read both sides anew and adaptive skew handling can split a hot run
+    repeated = stored(each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "repeated")
     occurrences = stored(each.join(repeated, "hash"), "occurrences")
-    first = occurrences.groupBy("hash").agg(F.min(F.struct("id", "row_id", "at")).alias("first"))
+    first = stored(occurrences.groupBy("hash").agg(F.min(F.struct("id", "row_id", "at")).alias("first")), "first")
     marked = occurrences.join(first, "hash").where(
         ~((F.col("first.row_id") == F.col("row_id")) & (F.col("first.at") == F.col("at")))
     )
