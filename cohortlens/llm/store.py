@@ -4,19 +4,43 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from cohortlens.session import shared_folder
 
 
+_noted: list[list[str]] = []  # paths of open scopes
+
+
+@contextmanager
+def noting(paths: list[str]) -> Iterator[None]:
+    """Add the paths of the tables that are written inside to ``paths``."""
+    _noted.append(paths)
+    try:
+        yield
+    finally:
+        _noted.remove(paths)
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Delete tables that no reader needs any more."""
+    jvm = spark.sparkContext._jvm
+    while paths:
+        path = jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later reads survive a lost executor and see the same rows."""
     path = f"{shared_folder(df.sparkSession)}/{label}"
+    for paths in _noted:
+        paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

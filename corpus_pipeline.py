@@ -7,10 +7,12 @@ the operators state; extra columns are carried along.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlens.llm import compression, exact, jaccard, mixing, packing
-from cohortlens.llm.store import stored
+from cohortlens.llm.store import noting, release, stored
 
 QUALITY_FLOOR = 0.3
 
@@ -42,7 +44,25 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
-STAGES = [("quality", quality), ("exact_copies", exact_copies), ("near_copies", near_copies), ("mixture", mixture), ("packing", packed)]
+_left: list[str] = []
+
+
+def _stage(fn: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """Tables that the stage before wrote on its way go first: its result is written by then, as ``docs``."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        release(spark, _left)
+        with noting(_left):
+            return fn(spark, docs, sf_dir)
+
+    run_stage.__doc__ = fn.__doc__
+    return run_stage
+
+
+STAGES = [
+    (name, _stage(fn))
+    for name, fn in (("quality", quality), ("exact_copies", exact_copies), ("near_copies", near_copies), ("mixture", mixture), ("packing", packed))
+]
 #: The classifier and the tokenizer cannot be written in SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
