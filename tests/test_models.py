@@ -293,7 +293,7 @@ def test_experiment_end_to_end(spark, learnable):
 
 def test_profiling_end_to_end(spark, learnable):
     found = profiling.run({"unit_analytic": learnable, "group_context": learnable.limit(3)}, out=shared_folder(spark))
-    assert found["profile"].count() == 7 and found["overview"].count() == 5
+    assert found["profile"].count() == 7 and found["overview"].count() == 10  # both tables
     assert found["feature_summary"].first()["constant_columns"] == ["flat"]
     assert found["histogram_a"].count() == 15
 
