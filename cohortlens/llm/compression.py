@@ -2,7 +2,8 @@
 
 A text that is like the good ones gets smaller with the good dictionary. The normalised difference of the two compressed
 sizes, and how well the text compresses at all, become a probability by a small logistic calibration that is fitted on
-labelled rows which the dictionaries have not seen.
+labelled rows which the dictionaries have not seen. Where only some rows of a class are taken, each counts for all it stands
+for, so the probability goes by the share of labels in the table, whatever its size.
 """
 
 from __future__ import annotations
@@ -58,32 +59,33 @@ def _dictionary(texts: list[bytes], size: int) -> bytes:
     return b"\n".join(t[max(0, (len(t) - each) // 2) :][:each] for t in texts)[:size].ljust(8)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Weights, means and scales by Newton steps; the intercept is the last weight."""
-    mean, scale = x.mean(0), np.maximum(x.std(0), 1e-9)
+def _logistic(x: np.ndarray, y: np.ndarray, counts: np.ndarray, penalty: float = 1e-3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights, means and scales by Newton steps, each row as often as it counts; the intercept is the last weight."""
+    mean = np.average(x, axis=0, weights=counts)
+    scale = np.maximum(np.sqrt(np.average((x - mean) ** 2, axis=0, weights=counts)), 1e-9)
     z = np.c_[(x - mean) / scale, np.ones(len(x))]
     w = np.zeros(z.shape[1])
-    ridge = penalty * len(x) * np.diag(np.r_[np.ones(x.shape[1]), 0.0]) + 1e-9 * np.eye(z.shape[1])
+    ridge = penalty * counts.sum() * np.diag(np.r_[np.ones(x.shape[1]), 0.0]) + 1e-9 * np.eye(z.shape[1])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        w = w + np.linalg.solve(z.T @ (z * np.maximum(p * (1 - p), 1e-6)[:, None]) + ridge, z.T @ (y - p) - ridge @ w)
+        w = w + np.linalg.solve(z.T @ (z * (counts * np.maximum(p * (1 - p), 1e-6))[:, None]) + ridge, z.T @ (counts * (y - p)) - ridge @ w)
     return w, mean, scale
 
 
-def fit(rows: list[tuple[bytes, int, bool]], level: int = LEVEL, dict_bytes: int = DICT_BYTES) -> dict:
-    """A model from ``(text, label, for the dictionaries)``; with one class or no rows, the rate of label 1."""
-    labels = np.array([y for _, y, _ in rows], float)
-    rate = float((labels.sum() + 1) / (len(rows) + 2))
+def fit(rows: list[tuple[bytes, int, bool, float]], level: int = LEVEL, dict_bytes: int = DICT_BYTES) -> dict:
+    """A model from ``(text, label, for the dictionaries, labelled rows it stands for)``; with one class or no rows, the rate of label 1."""
+    labels, counts = np.array([y for _, y, _, _ in rows], float), np.array([k for *_, k in rows], float)
+    rate = float(((labels * counts).sum() + 1) / (counts.sum() + 2))
     if len(set(labels.tolist())) < 2:
         return {"rate": rate}
-    parts = [[t for t, y, d in rows if d and y == wanted and t] for wanted in (1, 0)]
-    rest = [(t, y) for t, y, d in rows if not d]
-    if not all(parts) or len({y for _, y in rest}) < 2:
-        parts, rest = [[t for t, y, _ in rows if y == wanted and t] for wanted in (1, 0)], [(t, y) for t, y, _ in rows]
+    parts = [[t for t, y, d, _ in rows if d and y == wanted and t] for wanted in (1, 0)]
+    rest = [(t, y, k) for t, y, d, k in rows if not d]
+    if not all(parts) or len({y for _, y, _ in rest}) < 2:
+        parts, rest = [[t for t, y, _, _ in rows if y == wanted and t] for wanted in (1, 0)], [(t, y, k) for t, y, _, k in rows]
     model = {"rate": rate, "good": _dictionary(parts[0], dict_bytes), "bad": _dictionary(parts[1], dict_bytes), "level": level}
     sizes = Sizes(model["good"], model["bad"], level)
-    used = [(sizes(t), y) for t, y in rest if t]
-    w, mean, scale = _logistic(np.array([x for x, _ in used]), np.array([y for _, y in used], float)) if used else (None, None, None)
+    used = [(sizes(t), y, k) for t, y, k in rest if t]
+    w, mean, scale = _logistic(*(np.array(x, float) for x in zip(*used))) if used else (None, None, None)
     return {**model, "w": w, "mean": mean, "scale": scale}
 
 
@@ -114,12 +116,16 @@ def _score(broadcast):
     return run
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int) -> list[tuple[bytes, int, bool]]:
-    """At most ``most`` rows of each class and use, those with the lowest hashes of their ids; never a held-out one."""
+def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, most: int) -> list[tuple[bytes, int, bool, float]]:
+    """At most ``most`` rows of each class and use, those with the lowest hashes of their ids; never a held-out one.
+
+    The last value of a row is how many labelled rows of its class and use it stands for.
+    """
     labelled = labels.where(~in_fold(id_col, FOLDS) & F.col(label_col).isin(0, 1)).select(
         F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"), F.xxhash64(F.col(id_col).cast("string")).alias("tag")
     )
     labelled = labelled.where(F.col("id").isNotNull()).dropDuplicates(["id"]).withColumn("for_dict", F.pmod("tag", F.lit(2)) == 0)
+    counts = {(r["label"], r["for_dict"]): r["count"] for r in labelled.groupBy("label", "for_dict").count().collect()}
     picked = None
     for label in (0, 1):
         for for_dict in (True, False):
@@ -128,7 +134,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     # the ids are at most 4 x most; documents that share an id all come along
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(~in_fold("id", FOLDS))
     rows = texts.join(F.broadcast(picked), "id").orderBy("tag", "id", "text").select("text", "label", "for_dict").collect()
-    return [((r["text"] or "").encode(), r["label"], r["for_dict"]) for r in rows]
+    return [((r["text"] or "").encode(), r["label"], r["for_dict"], max(1.0, counts[r["label"], r["for_dict"]] / most)) for r in rows]
 
 
 def classify(
@@ -143,7 +149,7 @@ def classify(
     """``id, held_out, score, predicted``, one row per row of ``docs``.
 
     Labels of rows in the held-out fold are never read. The model comes from at most ``most`` labelled rows of each class for the
-    dictionaries and as many for the calibration. A null or empty text gets the rate of label 1, and so does every text when
+    dictionaries and as many for the calibration, each weighted by the labelled rows it stands for. A null or empty text gets the rate of label 1, and so does every text when
     the labels have one class or none. Repeated rows get equal scores; extra columns are not read. Empty table: no rows.
     """
     spark = docs.sparkSession

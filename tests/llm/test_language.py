@@ -178,3 +178,22 @@ def test_the_classifier_tells_held_out_rows_apart(spark, none, docs, rows):
     no_labels = compression.classify(docs, labels.limit(0))
     assert {r["score"] for r in no_labels.collect()} == {0.5} and compression.classify(none, labels).count() == 0
     assert compression.kept(docs, labels.limit(0)).count() == len(rows)
+
+
+def test_a_capped_sample_scores_by_the_share_of_all_labels(spark):
+    import random
+
+    rng = random.Random(5)
+    words = ["river", "stone", "walks", "slowly", "under", "green", "BUY", "click!!", "$$$"]
+    # texts tell nothing, so a score is the share of label 1: 9 in 10
+    df = spark.createDataFrame([(i, " ".join(rng.choices(words, k=60))) for i in range(2000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(rng.random() < 0.9)) for i in range(2000)], "doc_id long, quality int")
+    means = {}
+    for most in (2000, 60):
+        means[most] = np.mean([r["score"] for r in compression.classify(df, labels, most=most).collect()])
+    assert abs(means[2000] - 0.9) < 0.05 and abs(means[60] - 0.9) < 0.05
+    # one class is rated by all its labels too
+    rows = compression.training_rows(df, labels, "doc_id", "text", "quality", 60)
+    trained = labels.where("crc32(cast(cast(doc_id AS string) AS binary)) % 5 <> 0")
+    assert len(rows) < 300 and abs(sum(k for *_, k in rows) - trained.count()) < 1e-6
+    assert abs(compression.fit(rows)["rate"] - (trained.where("quality = 1").count() + 1) / (trained.count() + 2)) < 1e-9
