@@ -37,8 +37,8 @@ def sentences(part: Slice, hasher: Hasher) -> tuple[np.ndarray, ...]:
     last = mark[part.data[found.end - 1]]
     last[:-1] |= (lines[found.start[1:]] > lines[found.end[:-1]]) | (found.doc[1:] != found.doc[:-1])
     last[-1] = True
-    # only words near by decide, so a repeated passage is cut alike but for its first few words
-    ends = np.concatenate([np.zeros(BARE + 1, np.int64), np.cumsum(last)])
+    # only words near by decide, so a repeated passage is cut alike but for its first few words; before a slice as before a document is an end
+    ends = np.concatenate([np.full(BARE, -1), [0], np.cumsum(last)])
     last |= (ends[BARE + 1 :] == ends[: -BARE - 1]) & (mixed(hashes) % np.uint64(CUT) == 0)
     at = np.arange(len(last))
     begin = np.maximum.accumulate(np.where(np.concatenate([[True], last[:-1]]), at, 0))

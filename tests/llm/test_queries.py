@@ -27,6 +27,15 @@ def test_query_equals_its_sql(spark, data, name):
     assert Counter(tuple(r) for r in got.select(*names).collect()) == Counter(want.fetchall())
 
 
+def test_op4_returns_every_document(spark, docs, rows, tmp_path):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = queries.QUERIES["op4_remove_repeats"](spark, str(tmp_path)).collect()
+    assert Counter(r["doc_id"] for r in out) == Counter(r[0] for r in rows)
+    kept = [r for r in out if not r["n_removed"]]
+    assert kept and all(r["removed"] == [] and r["n_sentences"] is not None for r in kept)
+    assert not Counter((r["doc_id"], r["text"]) for r in kept) - Counter((r[0], r[1] or "") for r in rows)
+
+
 def test_stages_keep_the_columns_and_take_effect(spark, data):
     docs = spark.read.parquet(f"{data}/documents.parquet")
     before = docs

@@ -3,9 +3,11 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cohortlens.llm import jaccard, links, rules, spans
+from cohortlens.llm.text import Hasher, slices
 from tests.llm.conftest import frame, invented
 
 
@@ -223,3 +225,13 @@ def test_links_in_pages_carry_distrust_back(spark):
     df = spark.createDataFrame(pages, "page_id long, url string, html string")
     got = {r["id"]: (r["verdict"], r["distrust"] > 0) for r in links.judge(df).collect()}
     assert got == {0: ("block", True), 1: ("block", True), 2: ("block", True)}
+
+
+def test_a_text_is_cut_alike_wherever_it_lies_in_a_slice():
+    rng = random.Random(2)
+    texts = ["one two.", *(" ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(50)) for _ in range(20))]
+    lengths = lambda parts: [
+        (to - start)[doc == d].tolist() for part in parts for doc, start, to, *_ in [spans.sentences(part, Hasher(lower=False))] for d in range(part.n)
+    ]
+    together = lengths(slices(pa.array(texts)))
+    assert together == [x for t in texts for x in lengths(slices(pa.array([t])))]
