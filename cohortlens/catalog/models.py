@@ -313,16 +313,14 @@ def _customer_profiles(spark, sf):
 @query("h22_clusters")
 def h22(spark, sf):
     """Profile of the chosen clusters of customers."""
-    found = cluster.cluster_groups(_customer_profiles(spark, sf), ["predicted_rate", "acctbal", "n_units"], restarts=2)
+    found = cluster.cluster_groups(_customer_profiles(spark, sf), ["predicted_rate", "acctbal", "n_units"])
     return found.profile
 
 
 @query("h22_cluster_choice")
 def h22_choice(spark, sf):
     """Silhouette of each number of clusters and the chosen one."""
-    return cluster.cluster_groups(
-        _customer_profiles(spark, sf), ["predicted_rate", "acctbal", "n_units"], restarts=1, k_range=(3, 4)
-    ).diagnostics
+    return cluster.cluster_groups(_customer_profiles(spark, sf), ["predicted_rate", "acctbal", "n_units"]).diagnostics
 
 
 @query(
@@ -343,7 +341,7 @@ def h22_vectors(spark, sf):
 @query("a15_search_report")
 def a15_search(spark, sf):
     """A search report as written to JSON and read back."""
-    found = models.search("logistic", model_input(spark, sf), ROLES, n_draws=2, k=3)
+    found = models.search("logistic", model_input(spark, sf), ROLES)
     path = sinks.save_search_report(spark, [found], shared_folder(spark) + "/search")
     out = spark.read.json(path)
     return out.select("name", "cv_roc_auc", "cv_std", "n_train", F.to_json("best_params").alias("best_params"))

@@ -1,3 +1,4 @@
+import inspect
 import itertools
 import math
 
@@ -6,6 +7,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from cohortlens.operators import cluster, explain, metrics, models, pairs, prep, splits
 from cohortlens.operators.frame import Roles
 from cohortlens.plans import experiment, profiling
@@ -312,3 +314,29 @@ def test_a_forest_does_not_depend_on_how_its_rows_are_dealt(learnable):
         model = models.fit_model("random_forest", learnable.repartition(parts), roles, params)
         totals.add(models.score(model, learnable).selectExpr("sum(score)").first()[0].__round__(9))
     assert len(totals) == 1
+
+
+@pytest.mark.parametrize(
+    "name, home, operator, given",
+    [
+        ("h25_experiment", experiment, "run", {"raw", "out"}),
+        ("a15_search_report", models, "search", {"name", "train", "roles"}),
+        ("h22_clusters", cluster, "cluster_groups", {"risk", "features"}),
+        ("h22_cluster_choice", cluster, "cluster_groups", {"risk", "features"}),
+    ],
+)
+def test_queries_run_the_whole_search(spark, data, monkeypatch, name, home, operator, given):
+    """Nothing but the input is handed over, so draws, folds, candidates, restarts and tables are the operator's own."""
+    whole, calls = inspect.signature(getattr(home, operator)), []
+
+    class Called(Exception):
+        pass
+
+    def called(*args, **options):
+        calls.append(whole.bind(*args, **options).arguments)
+        raise Called
+
+    monkeypatch.setattr(home, operator, called)
+    with pytest.raises(Called):
+        entry.queries()[name](spark, data)
+    assert set(calls[0]) == given
