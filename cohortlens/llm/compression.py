@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 from cohortlens.llm.store import in_fold
 
 ROWS = 3_000  # labelled rows of each class at most for the dictionaries, and as many for the calibration
-DICT_BYTES = 400_000  # of text in a dictionary
+PIECE = 512  # bytes of each text in a dictionary, for either class and any number of rows: 1.5 MB at most with ROWS
 LEVEL = 3
 FOLDS = 5
 CHUNK = 1 << 10  # texts are compressed in chunks, so that a dictionary counts as much in a long text as in a short one
@@ -53,10 +53,9 @@ class Sizes:
         return d, s, s * s, d * s, least
 
 
-def _dictionary(texts: list[bytes], size: int) -> bytes:
-    """Pieces of equal length from the middle of all texts: as many kinds of text as the size holds."""
-    each = max(64, size // len(texts))
-    return b"\n".join(t[max(0, (len(t) - each) // 2) :][:each] for t in texts)[:size].ljust(8)
+def _dictionary(texts: list[bytes], piece: int) -> bytes:
+    """The middle of every text, ``piece`` bytes at most."""
+    return b"\n".join(t[max(0, (len(t) - piece) // 2) :][:piece] for t in texts).ljust(8)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, counts: np.ndarray, penalty: float = 1e-3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -72,7 +71,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, counts: np.ndarray, penalty: float =
     return w, mean, scale
 
 
-def fit(rows: list[tuple[bytes, int, bool, float]], level: int = LEVEL, dict_bytes: int = DICT_BYTES) -> dict:
+def fit(rows: list[tuple[bytes, int, bool, float]], level: int = LEVEL, piece: int = PIECE) -> dict:
     """A model from ``(text, label, for the dictionaries, labelled rows it stands for)``; with one class or no rows, the rate of label 1."""
     labels, counts = np.array([y for _, y, _, _ in rows], float), np.array([k for *_, k in rows], float)
     rate = float(((labels * counts).sum() + 1) / (counts.sum() + 2))
@@ -82,7 +81,7 @@ def fit(rows: list[tuple[bytes, int, bool, float]], level: int = LEVEL, dict_byt
     rest = [(t, y, k) for t, y, d, k in rows if not d]
     if not all(parts) or len({y for _, y, _ in rest}) < 2:
         parts, rest = [[t for t, y, _, _ in rows if y == wanted and t] for wanted in (1, 0)], [(t, y, k) for t, y, _, k in rows]
-    model = {"rate": rate, "good": _dictionary(parts[0], dict_bytes), "bad": _dictionary(parts[1], dict_bytes), "level": level}
+    model = {"rate": rate, "good": _dictionary(parts[0], piece), "bad": _dictionary(parts[1], piece), "level": level}
     sizes = Sizes(model["good"], model["bad"], level)
     used = [(sizes(t), y, k) for t, y, k in rest if t]
     w, mean, scale = _logistic(*(np.array(x, float) for x in zip(*used))) if used else (None, None, None)
@@ -131,9 +130,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
         for for_dict in (True, False):
             part = labelled.where((F.col("label") == label) & (F.col("for_dict") == for_dict)).orderBy("tag", "id").limit(most)
             picked = part if picked is None else picked.unionByName(part)
-    # the ids are at most 4 x most; documents that share an id all come along
+    # the ids are at most 4 x most; of documents that share an id the least text comes along
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).where(~in_fold("id", FOLDS))
-    rows = texts.join(F.broadcast(picked), "id").orderBy("tag", "id", "text").select("text", "label", "for_dict").collect()
+    found = texts.join(F.broadcast(picked), "id").groupBy("id", "tag", "label", "for_dict").agg(F.min("text").alias("text"))
+    rows = found.orderBy("tag", "id").select("text", "label", "for_dict").collect()
     return [((r["text"] or "").encode(), r["label"], r["for_dict"], max(1.0, counts[r["label"], r["for_dict"]] / most)) for r in rows]
 
 
@@ -145,25 +145,26 @@ def classify(
     label_col: str = "quality",
     threshold: float = 0.3,
     most: int = ROWS,
+    piece: int = PIECE,
 ) -> DataFrame:
     """``id, held_out, score, predicted``, one row per row of ``docs``.
 
     Labels of rows in the held-out fold are never read. The model comes from at most ``most`` labelled rows of each class for the
-    dictionaries and as many for the calibration, each weighted by the labelled rows it stands for. A null or empty text gets the rate of label 1, and so does every text when
+    dictionaries, ``piece`` bytes from the middle of each, and as many for the calibration, each weighted by the labelled rows it stands for. A null or empty text gets the rate of label 1, and so does every text when
     the labels have one class or none. Repeated rows get equal scores; extra columns are not read. Empty table: no rows.
     """
     spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(fit(training_rows(docs, labels, id_col, text_col, label_col, most)))
+    model = spark.sparkContext.broadcast(fit(training_rows(docs, labels, id_col, text_col, label_col, most), piece=piece))
     base = docs.select(F.col(id_col).alias("id"), in_fold(id_col, FOLDS).alias("held_out"), F.col(text_col).cast("string").alias("text"))
     id_type = base.schema["id"].dataType.simpleString()
     scored = base.mapInArrow(_score(model), f"id {id_type}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def kept(docs: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = 0.3, id_col: str = "doc_id", **options) -> DataFrame:
+def kept(docs: DataFrame, labels: DataFrame, text_col: str = "text", threshold: float = 0.3, id_col: str = "doc_id", piece: int = PIECE, **options) -> DataFrame:
     """The rows of ``docs`` whose score reaches ``threshold``, with all their columns; texts do not move."""
     options = {"label_col": "quality", "most": ROWS} | options
-    model = docs.sparkSession.sparkContext.broadcast(fit(training_rows(docs, labels, id_col, text_col, **options)))
+    model = docs.sparkSession.sparkContext.broadcast(fit(training_rows(docs, labels, id_col, text_col, **options), piece=piece))
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

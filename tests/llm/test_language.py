@@ -197,3 +197,16 @@ def test_a_capped_sample_scores_by_the_share_of_all_labels(spark):
     trained = labels.where("crc32(cast(cast(doc_id AS string) AS binary)) % 5 <> 0")
     assert len(rows) < 300 and abs(sum(k for *_, k in rows) - trained.count()) < 1e-6
     assert abs(compression.fit(rows)["rate"] - (trained.where("quality = 1").count() + 1) / (trained.count() + 2)) < 1e-9
+
+
+def test_dictionaries_take_the_same_of_each_text_and_one_text_of_an_id(spark):
+    text = lambda i, n: (f"{i:07d}," * n).encode()
+    for few, many in ((2, 40), (40, 900)):
+        rows = [(text(i, 200), int(i < few), use, 1.0) for i in range(few + many) for use in (True, False)]
+        model = compression.fit(rows)
+        each = [{len(p) for p in model[k].split(b"\n")} for k in ("good", "bad")]
+        assert each == [{compression.PIECE}] * 2 and model["bad"].count(b"\n") == many - 1
+    df = spark.createDataFrame([(i % 40 if i < 80 else 1, f"text {i}") for i in range(600)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    found = compression.training_rows(df, labels, "doc_id", "text", "quality", 100)
+    assert len(found) == labels.where("crc32(cast(cast(doc_id AS string) AS binary)) % 5 <> 0").count()
