@@ -7,7 +7,8 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import compression, exact, jaccard, links, maxent, mixing, packing, pii, rules, spans
+from cohortlens.llm import compression, exact, jaccard, links, maxent, mixing, packing, periodic, pii, rules, spans, vector_trie
+from cohortlens.llm.store import whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -92,6 +93,43 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(table(spark, sf_dir, "documents")).drop("row_id", "component").withColumnRenamed("id", "doc_id")
 
 
+@query("op12_vector_trie")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out, books = vector_trie.compress(table(spark, sf_dir, "embeddings"))
+    return out.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(vector_trie.digest(books)).alias("codebooks_sha256"))
+
+
+def repeating(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``; in one text of ten, by its id, the words from some place on repeat a stretch of them."""
+    h = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.filter(F.split(whole_text(), "[ \\x09-\\x0D]+"), lambda w: w != "")
+    own = docs.select("doc_id", whole_text().alias("text"), h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
+    n, g = F.size("words"), F.floor(F.col("h") / 10)
+    own = own.withColumn("a", F.when(n > 0, g % n).cast("int")).withColumn("p", (F.lit(1) + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int"))
+    times = F.ceil((n - F.col("a")) / F.col("p")).cast("int")
+    rest = F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), times)), F.lit(1), n - F.col("a"))
+    text = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), rest), " ")
+    return own.select("doc_id", F.when(F.col("a").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+@query("op13_periodic_runs")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = periodic.collapse_runs(repeating(table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    out = out.select(F.col("id").alias("doc_id"), F.size("runs").cast("long").alias("n_runs"), best.alias("best"), lines.alias("lines"), "text")
+    return out.select(
+        "doc_id",
+        "n_runs",
+        (-F.col("best.start")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.period")).alias("period"),
+        F.expr("1000 * best.length div -best.period").alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
