@@ -7,7 +7,7 @@ from collections.abc import Callable
 import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.llm import compression, exact, jaccard, links, maxent, mixing, packing, periodic, pii, rules, spans, vector_trie
+from cohortlens.llm import compression, exact, jaccard, links, maxent, mixing, packing, periodic, pii, rules, spans, substrings, vector_trie
 from cohortlens.llm.store import whole_text
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,6 +93,14 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.components(table(spark, sf_dir, "documents")).drop("row_id", "component").withColumnRenamed("id", "doc_id")
 
 
+@query("op11_lyndon_substrings")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substrings.remove_repeated_bytes(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    spans_of = F.size("removed").cast("long")
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", removed.alias("n_removed"), spans_of.alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query("op12_vector_trie")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     out, books = vector_trie.compress(table(spark, sf_dir, "embeddings"))

@@ -8,7 +8,7 @@ import corpus_pipeline
 from cohortlens.llm import compression, exact, jaccard, mixing, packing, queries
 
 duckdb = pytest.importorskip("duckdb")
-OPERATORS = range(1, 11)
+OPERATORS = range(1, 14)
 
 
 def test_every_operator_has_one_query():
