@@ -1,8 +1,10 @@
 import math
+import os
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow
 import pytest
 
 from cohortlens.llm import compression, maxent, pii
@@ -193,20 +195,54 @@ def test_a_capped_sample_scores_by_the_share_of_all_labels(spark):
         means[most] = np.mean([r["score"] for r in compression.classify(df, labels, most=most).collect()])
     assert abs(means[2000] - 0.9) < 0.05 and abs(means[60] - 0.9) < 0.05
     # one class is rated by all its labels too
-    rows = compression.training_rows(df, labels, "doc_id", "text", "quality", 60)
     trained = labels.where("crc32(cast(cast(doc_id AS string) AS binary)) % 5 <> 0")
-    assert len(rows) < 300 and abs(sum(k for *_, k in rows) - trained.count()) < 1e-6
-    assert abs(compression.fit(rows)["rate"] - (trained.where("quality = 1").count() + 1) / (trained.count() + 2)) < 1e-9
-
-
-def test_dictionaries_take_the_same_of_each_text_and_one_text_of_an_id(spark):
-    text = lambda i, n: (f"{i:07d}," * n).encode()
-    for few, many in ((2, 40), (40, 900)):
-        rows = [(text(i, 200), int(i < few), use, 1.0) for i in range(few + many) for use in (True, False)]
-        model = compression.fit(rows)
-        each = [{len(p) for p in model[k].split(b"\n")} for k in ("good", "bad")]
-        assert each == [{compression.PIECE}] * 2 and model["bad"].count(b"\n") == many - 1
+    rows, counts = compression.picked_rows(df, labels, "doc_id", "text", "quality", 60)
+    assert rows.count() == 4 * 60 and sum(counts.values()) == trained.count()
+    rate = (trained.where("quality = 1").count() + 1) / (trained.count() + 2)
+    assert abs(compression.fit(df, labels, "doc_id", "text", "quality", 60, 1 << 12)["rate"] - rate) < 1e-9
+
+
+def test_dictionaries_hold_whole_texts_and_one_text_of_an_id(spark):
+    assert compression.chosen([5, 9, 4, 1], 10) == [0, 2, 3] and compression.chosen([9, 7, 8], 3) == [1] and compression.chosen([], 3) == []
+    # whole texts up to the bound, whatever the number of rows
+    for n in (60, 900):
+        df = spark.createDataFrame([(i, f"{i:07d}," * (50 + i % 7)) for i in range(n)], "doc_id long, text string")
+        labels = spark.createDataFrame([(i, i % 2) for i in range(n)], "doc_id long, quality int")
+        model = compression.fit(df, labels, "doc_id", "text", "quality", 3_000, 4_000)
+        texts = {r["text"] for r in df.collect()}
+        for k in ("good", "bad"):
+            parts = model[k].decode().split("\n")
+            assert set(parts) <= texts and 3_000 < sum(map(len, parts)) <= 4_000
     df = spark.createDataFrame([(i % 40 if i < 80 else 1, f"text {i}") for i in range(600)], "doc_id long, text string")
     labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
-    found = compression.training_rows(df, labels, "doc_id", "text", "quality", 100)
-    assert len(found) == labels.where("crc32(cast(cast(doc_id AS string) AS binary)) % 5 <> 0").count()
+    rows, _ = compression.picked_rows(df, labels, "doc_id", "text", "quality", 100)
+    assert rows.count() == labels.where("crc32(cast(cast(doc_id AS string) AS binary)) % 5 <> 0").count()
+
+
+def test_conflicting_labels_count_as_none(spark):
+    df = spark.createDataFrame([(i, ("good river stone " if i % 2 else "BUY $$$ now ") * (5 + i % 9)) for i in range(200)], "doc_id long, text string")
+    rows = [(i, i % 2) for i in range(200)] + [(i, 1 - i % 2) for i in range(0, 200, 7)]
+    scores = []
+    for order in (rows, rows[::-1], [r for r in rows if r[0] % 7]):
+        labels = spark.createDataFrame(order, "doc_id long, quality int")
+        scores.append(sorted((r["id"], r["score"]) for r in compression.classify(df, labels).collect()))
+    assert scores[0] == scores[1] == scores[2]
+
+
+def test_the_difference_alone_ranks_held_out_rows(spark):
+    """Area under the curve of held-out labelled rows, and scores that rise with the difference."""
+    folder = "/root/testdata/sf0.1"
+    if not os.path.isdir(folder):
+        pytest.skip("test tables are not here")
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    out = compression.classify(docs, labels).where("held_out").join(labels.withColumnRenamed("doc_id", "id"), "id").select("id", "score", "quality").collect()
+    ranks = {s: i for i, s in enumerate(sorted({r["score"] for r in out}))}
+    good, bad = ([ranks[r["score"]] for r in out if r["quality"] == y] for y in (1, 0))
+    area = np.mean([(np.array(bad) < g).mean() + 0.5 * (np.array(bad) == g).mean() for g in good])
+    assert len(out) > 500 and area >= 0.95
+    model = compression.fit(docs, labels, "doc_id", "text", "quality", compression.ROWS, compression.DICTIONARY_BYTES)
+    scorer = compression.Scorer(model)
+    texts = [r["text"] for r in docs.where("length(text) > 0").limit(60).collect()]
+    differences = [scorer.difference(t.encode()) for t in texts]
+    by = np.argsort(differences)
+    assert model["slope"] > 0 and (np.diff(scorer(pyarrow.array(texts))[by]) >= 0).all()
