@@ -1,8 +1,9 @@
 """PII: fixed patterns, and a linear-chain conditional random field over word shapes that adds what they miss.
 
-The field is trained on a small labelled table by gradient steps on its likelihood and decoded by Viterbi, many chains at
-a time. A chain is a stretch of words around those that hold a digit or an at sign, with ``REACH`` words on both sides; any
-other word is O by definition. All texts are read whole, straight from Arrow's bytes.
+The field is trained on a small labelled table by gradient steps on its likelihood. The chain is the whole text, decoded by
+Viterbi: where the words near by say O so clearly that no tag before or after could change it, the chain is cut, which leaves
+the best path as it is; what lies between the cuts is decoded side by side. Words that differ only in their letters have the
+same features, so the weights of most words are looked up, not worked out. All texts are read whole, straight from Arrow's bytes.
 """
 
 from __future__ import annotations
@@ -16,13 +17,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cohortlens.llm.pii_table import LABELLED
-from cohortlens.llm.text import code_points, slices, words
+from cohortlens.llm.text import Hasher, Powers, Ranges, Slice, Words, byte_hashes, code_points, mixed, slices, words
 
 KINDS = ("email", "ip", "card", "phone")
 TAGS = ("O", *KINDS)
-REACH = 2
 FEATURES = 1 << 13
-CHAIN = 256  # words of a chain at most; a longer stretch is decoded in pieces
+KNOWN = 1 << 17  # kinds of words whose weights a worker remembers; it starts anew beyond
 STEPS = 250
 # fixed patterns
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -89,7 +89,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 def shape(word: str) -> str:
     """Letters and digits as classes; runs of one class with their length up to 4, longer ones by doubling."""
     out = []
-    for m in re.finditer(r"[A-Z]+|[a-z]+|[0-9]+|[^\W\d_A-Za-z]+|[\W_]", word[:64]):
+    for m in re.finditer(r"[A-Z]+|[a-z]+|[0-9]+|[^\W\d_A-Za-z]+|[\W_]", word):
         c, n = m[0][0], len(m[0])
         kind = "X" if "A" <= c <= "Z" else "9" if c.isascii() and c.isdigit() else "x" if c.isalpha() else c
         out.append(kind if kind not in "9" else f"9{n if n <= 4 else 1 << n.bit_length()}")
@@ -148,28 +148,41 @@ class Field:
         return out
 
     def decode(self, chains: list[list[str]]) -> list[list[int]]:
-        """Viterbi over all chains at once, one step for each place; short chains are padded and stay as they end."""
-        if not chains:
-            return []
-        tables = self.emissions(chains)
-        longest, n, k = max(map(len, tables)), len(tables), len(TAGS)
-        lengths = np.array([len(t) for t in tables])
-        padded = np.zeros((longest, n, k))
-        for i, t in enumerate(tables):
-            padded[: len(t), i] = t
-        best, back = self.start + padded[0], np.zeros((longest, n, k), np.int8)
+        """The best tags of each chain."""
+        tables = [t for t in self.emissions(chains)]
+        for t in tables:
+            t[0] += self.start
+        paths = best_paths(np.concatenate(tables) if tables else np.zeros((0, len(TAGS))), np.array([len(t) for t in tables], np.int64), self.steps)
+        return [p.tolist() for p in np.split(paths, np.cumsum([len(t) for t in tables])[:-1])] if tables else []
+
+
+def best_paths(scores: np.ndarray, lengths: np.ndarray, steps: np.ndarray) -> np.ndarray:
+    """Viterbi over chains that follow each other in ``scores`` (words x tags), one step for each place; ties go to the lower tag.
+
+    Chains of like length go together, so that a long one does not widen the tables of the short ones.
+    """
+    path = np.zeros(len(scores), np.int8)
+    first = np.cumsum(lengths) - lengths
+    for size in np.unique(np.frexp(lengths)[1]):
+        own = np.flatnonzero(np.frexp(lengths)[1] == size)
+        own = own[np.argsort(-lengths[own], kind="stable")]
+        begin, n = first[own], lengths[own]
+        longest = int(n[0]) if len(n) else 0
+        # how many chains, the longer ones first, reach each place
+        alive = np.searchsorted(-n, -np.arange(longest), side="left")
+        best, back = scores[begin], np.zeros((longest, len(own), len(TAGS)), np.int8)
         for at in range(1, longest):
-            reached = best[:, :, None] + self.steps
-            back[at] = reached.argmax(1)
-            best = np.where((at < lengths)[:, None], reached.max(1) + padded[at], best)
+            k = alive[at]
+            reached = best[:k, :, None] + steps
+            back[at, :k] = reached.argmax(1)
+            best[:k] = reached.max(1) + scores[begin[:k] + at]
         tag = best.argmax(1)
-        path = np.zeros((longest, n), np.int8)
         for at in range(longest - 1, -1, -1):
-            inside = at < lengths
-            path[at] = np.where(inside, tag, 0)
+            k = alive[at]
+            path[begin[:k] + at] = tag[:k]
             if at:
-                tag = np.where(inside, back[at][np.arange(n), tag], tag)
-        return [path[:length, i].tolist() for i, length in enumerate(lengths)]
+                tag[:k] = back[at, np.arange(k), tag[:k]]
+    return path
 
 
 def train(rows: list[tuple[list[str], list[int]]] | None = None, steps: int = STEPS, rate: float = 0.3, penalty: float = 0.01) -> Field:
@@ -228,22 +241,91 @@ def _fits(kind: str, text: str) -> bool:
     return 12 <= digits <= 19 if kind == "card" else 7 <= digits <= 15
 
 
-def _stretches(active: np.ndarray, doc: np.ndarray, reach: int, most: int) -> list[tuple[int, int]]:
-    """First word and word after the last of each chain, around the active words, inside their documents."""
-    hot = np.flatnonzero(active)
-    if len(hot) == 0:
-        return []
-    first = np.searchsorted(doc, doc[hot], side="left")
-    last = np.searchsorted(doc, doc[hot], side="right")
-    lo, hi = np.maximum(hot - reach, first), np.minimum(hot + reach + 1, last)
-    new = np.r_[True, (lo[1:] > hi[:-1]) | (doc[hot][1:] != doc[hot][:-1])]
-    begin, end = lo[new], hi[np.r_[np.flatnonzero(new)[1:] - 1, len(hot) - 1]]
-    return [(a, min(a + most, int(z))) for s, z in zip(begin, end) for a in range(int(s), int(z), most)]
-
-
-def _find(broadcast):
+def alike() -> tuple[np.ndarray, np.ndarray]:
+    """Which letters count as one: all small ones of ASCII, all large ones; and the second bytes of Latin letters with accents."""
+    table = np.arange(256, dtype=np.uint8)
+    table[97:123], table[65:91] = 120, 88
+    accents = np.zeros(256, bool)
+    accents[128:192] = True
+    accents[[0x97, 0xB7]] = False  # signs of multiplication and division
+    return table, accents
+
+
+class Lookup:
+    """Weights of the words of a slice: own, as the word before and as the word after."""
+
+    def __init__(self, field: Field) -> None:
+        self.field, self.known = field, {}
+        self.letters, self.accents = alike()
+        self.lower, self.plain, self.powers = Hasher(lower=True).values, byte_hashes(), Powers()
+        cues = [c.encode() for c in CUES]
+        joined, edges = np.frombuffer(b"".join(cues), np.uint8), np.cumsum([0, *map(len, cues)])
+        self.cues = np.sort(Ranges(joined, self.lower, self.powers)(edges[:-1], edges[1:]))
+        self.trimmed = np.zeros(256, bool)
+        self.trimmed[list(b"\"'<>()[],.;:!?")] = True
+
+    def __call__(self, part: Slice, found: Words) -> tuple[np.ndarray, np.ndarray]:
+        """The table of weights, and each word's row in it."""
+        data = self.letters[part.data]
+        accented = np.flatnonzero((part.data[:-1] == 0xC3) & self.accents[part.data[1:]]) + 1
+        data[accented] = 0xA9
+        kind = Ranges(data, self.plain, self.powers)(found.start, found.end)
+        # the word without marks around it, if it is a cue
+        start, end = found.start.copy(), found.end.copy()
+        more = np.arange(len(start))
+        while len(more := more[(start[more] < end[more])]) and len(more := more[self.trimmed[part.data[start[more]]]]):
+            start[more] += 1
+        more = np.arange(len(start))
+        while len(more := more[(start[more] < end[more])]) and len(more := more[self.trimmed[part.data[end[more] - 1]]]):
+            end[more] -= 1
+        core = Ranges(part.data, self.lower, self.powers)(start, end)
+        at = np.minimum(np.searchsorted(self.cues, core), len(self.cues) - 1)
+        cue = np.where(self.cues[at] == core, at + 1, 0).astype(np.uint64)
+        with np.errstate(over="ignore"):
+            kinds, first, row = np.unique(mixed(kind + cue), return_index=True, return_inverse=True)
+        if len(self.known) > KNOWN:
+            self.known = {}
+        rows = []
+        for name, i in zip(kinds.tolist(), first.tolist()):
+            if name not in self.known:
+                f = word_features(part.data[found.start[i] : found.end[i]].tobytes().decode())
+                self.known[name] = np.stack([x[f].sum(0) for x in (self.field.own, self.field.before, self.field.after)])
+            rows.append(self.known[name])
+        return np.array(rows).reshape(-1, 3, len(TAGS)), row
+
+
+def tags_of(part: Slice, found: Words, lookup: Lookup) -> np.ndarray:
+    """The best tag of each word, each text one chain."""
+    if not len(found.start):
+        return np.zeros(0, np.int8)
+    field = lookup.field
+    table, row = lookup(part, found)
+    scores = table[row, 0]
+    inner = found.doc[1:] == found.doc[:-1]
+    scores[1:][inner] += table[row[:-1][inner], 1]
+    scores[:-1][inner] += table[row[1:][inner], 2]
+    opens, closes = np.concatenate([[True], ~inner]), np.concatenate([~inner, [True]])
+    scores[opens] += field.start
+    # the most that the tags on both sides can speak for another tag than O
+    most = np.maximum((field.steps - field.steps[:, :1]).max(0), 0) + np.maximum((field.steps - field.steps[:1]).max(1), 0)
+    open_ = ~((scores[:, :1] - scores[:, 1:]) > most[1:]).all(1)
+    at = np.flatnonzero(open_)
+    tags = np.zeros(len(found.start), np.int8)
+    if not len(at):
+        return tags
+    new = np.concatenate([[True], (np.diff(at) > 1) | opens[at[1:]]])
+    last = np.concatenate([new[1:], [True]])
+    # an O before and behind, where the chain was cut
+    scores[at[new & ~opens[at]]] += field.steps[0]
+    scores[at[last & ~closes[at]]] += field.steps[:, 0]
+    first = np.flatnonzero(new)
+    tags[at] = best_paths(scores[at], np.diff(np.append(first, len(at))), field.steps)
+    return tags
+
+
+def _find(weights):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        field = broadcast.value
+        lookup = Lookup(Field(*weights.value))
         trigger = np.zeros(256, bool)
         trigger[[64, *range(48, 58)]] = True
         for batch in batches:
@@ -251,32 +333,27 @@ def _find(broadcast):
             for part in slices(batch["text"]):
                 found = words(part)
                 marks = np.concatenate([[0], np.cumsum(trigger[part.data])])
-                active = marks[found.end] > marks[found.start]
+                # every kind of span holds a digit or an at sign
                 per_text = marks[part.offsets[1:]] > marks[part.offsets[:-1]]
                 texts = [part.data[a:b].tobytes().decode() if t else "" for a, b, t in zip(part.offsets[:-1], part.offsets[1:], per_text)]
                 base = [base_spans(t) if t else [] for t in texts]
                 every = [list(b) for b in base]
-                chains = _stretches(active, found.doc, REACH, CHAIN)
-                tokens = [[part.data[s:e].tobytes().decode() for s, e in zip(found.start[a:z], found.end[a:z])] for a, z in chains]
+                tags = tags_of(part, found, lookup)
                 points = np.concatenate([[0], np.cumsum(code_points(part.data))])
-                for (a, _), path in zip(chains, field.decode(tokens)):
-                    i = 0
-                    while i < len(path):
-                        j = i + 1
-                        while j < len(path) and path[j] == path[i]:
-                            j += 1
-                        if path[i]:
-                            d = int(found.doc[a + i])
-                            shift = points[part.offsets[d]]
-                            s, e = int(points[found.start[a + i]] - shift), int(points[found.end[a + j - 1]] - shift)
-                            text = texts[d]
-                            while s < e and text[s] in "\"'<([{,.;:!?" and not (path[i] == 4 and text[s] == "("):
-                                s += 1
-                            while s < e and text[e - 1] in "\"'>)]},.;:!?":
-                                e -= 1
-                            if _fits(TAGS[path[i]], text[s:e]) and all(e <= x or s >= y for x, y, _ in base[d]):
-                                every[d].append((s, e, TAGS[path[i]]))
-                        i = j
+                turn = np.flatnonzero(np.concatenate([[True], (tags[1:] != tags[:-1]) | (found.doc[1:] != found.doc[:-1])])) if len(tags) else np.zeros(0, np.int64)
+                ends = np.append(turn[1:], len(tags))
+                marked = (tags[turn] > 0) & per_text[found.doc[turn]]
+                for i, j in zip(turn[marked].tolist(), ends[marked].tolist()):
+                    d, tag = int(found.doc[i]), int(tags[i])
+                    shift = points[part.offsets[d]]
+                    s, e = int(points[found.start[i]] - shift), int(points[found.end[j - 1]] - shift)
+                    text = texts[d]
+                    while s < e and text[s] in "\"'<([{,.;:!?" and not (tag == 4 and text[s] == "("):
+                        s += 1
+                    while s < e and text[e - 1] in "\"'>)]},.;:!?":
+                        e -= 1
+                    if _fits(TAGS[tag], text[s:e]) and all(e <= x or s >= y for x, y, _ in base[d]):
+                        every[d].append((s, e, TAGS[tag]))
                 base_all += base
                 spans_all += [sorted(set(x), key=lambda x: (x[0], KINDS.index(x[2]), x[1])) for x in every]
             joined = [",".join(f"{k}:{s}:{e}" for s, e, k in x) for x in base_all]
@@ -294,9 +371,12 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", fi
 
     ``base`` are the spans of the fixed patterns as ``kind:start:end``, comma-joined by start, then kind; offsets count code
     points, the end is exclusive; the numbers count them. ``spans`` has those and the ones that the field adds, which
-    overlap no base span. Null or empty text: none. Repeated rows get equal spans. Empty table: no rows.
+    overlap no base span; equally good tags go to the lower one. Null or empty text: none. Long texts are one chain, read and
+    decoded whole. Repeated rows get equal spans. Extra columns are not read. Empty table: no rows.
     """
-    model = docs.sparkSession.sparkContext.broadcast(field or train())
+    field = field or train()
+    # plain arrays: executors need not have this package
+    model = docs.sparkSession.sparkContext.broadcast((field.own, field.before, field.after, field.steps, field.start))
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     id_type = base.schema["id"].dataType.simpleString()
     counts = ", ".join(f"n_{k} long" for k in KINDS)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from cohortlens.llm import lyndon
 from cohortlens.llm.store import stored, whole_text
-from cohortlens.llm.text import Powers, mixed, slices
+from cohortlens.llm.text import Powers, Ranges, byte_hashes, mixed, slices
 
 LEAST = 200
 GRAM = 16
@@ -32,29 +32,6 @@ SALTS = 32
 BITS = 12  # of a number of windows, or a place in one
 
 
-def _running(data: np.ndarray, values: np.ndarray, up: np.ndarray) -> np.ndarray:
-    out = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(values[data] * up[: len(data)], out=out[1:])
-    return out
-
-
-class Ranges:
-    """Hashes of any ranges of the same bytes."""
-
-    def __init__(self, data: np.ndarray, values: np.ndarray, powers: Powers) -> None:
-        up, self.down = powers.to(len(data) + 1)
-        with np.errstate(over="ignore"):
-            self.upto = _running(data, values, up)
-
-    def __call__(self, start: np.ndarray, end: np.ndarray, salt: int) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            return mixed((self.upto[end] - self.upto[start]) * self.down[start] + np.uint64(salt * 0x9E3779B97F4A7C15 % (1 << 64)))
-
-
-def byte_values() -> np.ndarray:
-    return mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-
 def bounds(places: int, cuts: int) -> np.ndarray:
     """Edges of the classes into which the places of an anchor are cut."""
     cuts = min(cuts, places)
@@ -107,7 +84,7 @@ def _pack(start: np.ndarray, count: np.ndarray, place: np.ndarray) -> np.ndarray
 
 def _anchored(least: int):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, values, edges = Powers(), byte_values(), bounds(least - GRAM + 1, CUTS[0])
+        powers, values, edges = Powers(), byte_hashes(), bounds(least - GRAM + 1, CUTS[0])
         for batch in batches:
             for part in slices(batch["text"], CHUNK):
                 docs, key, place = [], [], []
@@ -168,7 +145,7 @@ def _pieces(least: int):
     """Of each text the pieces whose keys occur more than once."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, values, sent = Powers(), byte_values(), Sent()
+        powers, values, sent = Powers(), byte_hashes(), Sent()
         for batch in batches:
             for i in range(batch.num_rows):
                 text = batch["text"][i].as_buffer()
@@ -201,7 +178,7 @@ def _split(least: int, cuts: int):
     """Cut pieces further; ``content`` holds the bytes of each."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, values, sent, edges = Powers(), byte_values(), Sent(), bounds(least - GRAM + 1, cuts)
+        powers, values, sent, edges = Powers(), byte_hashes(), Sent(), bounds(least - GRAM + 1, cuts)
         for batch in batches:
             for part in slices(batch["content"], CHUNK):
                 own = batch.slice(part.first, part.n)

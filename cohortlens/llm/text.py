@@ -27,9 +27,14 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def byte_hashes() -> np.ndarray:
+    """A 64-bit number for each byte."""
+    return mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_STEP))
+
+
 def _byte_values(lower: bool) -> np.ndarray:
     """A 64-bit number for each byte, 0 for white space; with ``lower``, A-Z have those of a-z."""
-    values = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(_STEP))
+    values = byte_hashes()
     if lower:
         values[65:91] = values[97:123]
     values[is_space()] = 0
@@ -128,6 +133,20 @@ class Hasher:
             return mixed(sums * down[found.start])
 
 
+class Ranges:
+    """Hashes of any ranges of the same bytes, each byte counted by its number in ``values``."""
+
+    def __init__(self, data: np.ndarray, values: np.ndarray, powers: Powers) -> None:
+        up, self.down = powers.to(len(data) + 1)
+        self.upto = np.zeros(len(data) + 1, np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum(values[data] * up[: len(data)], out=self.upto[1:])
+
+    def __call__(self, start: np.ndarray, end: np.ndarray, salt: int = 0) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            return mixed((self.upto[end] - self.upto[start]) * self.down[start] + np.uint64(salt * _STEP % (1 << 64)))
+
+
 def windows(hashes: np.ndarray, k: int) -> np.ndarray:
     """Hashes of all runs of ``k`` neighbours, whether or not they lie in one document."""
     n = len(hashes) - k + 1

@@ -1,5 +1,6 @@
 import math
 import os
+import re
 import zlib
 from collections import Counter
 
@@ -8,6 +9,7 @@ import pyarrow
 import pytest
 
 from cohortlens.llm import compression, maxent, pii
+from cohortlens.llm.text import slices, words
 
 
 def tokens(text):
@@ -246,3 +248,32 @@ def test_the_difference_alone_ranks_held_out_rows(spark):
     differences = [scorer.difference(t.encode()) for t in texts]
     by = np.argsort(differences)
     assert model["slope"] > 0 and (np.diff(scorer(pyarrow.array(texts))[by]) >= 0).all()
+
+
+def test_a_number_in_a_long_list_is_found_wherever_it_stands(spark, field):
+    texts = [" ".join(["7"] * n) + " call (415) 555-0188 now " + "8 " * 300 for n in (0, 10, 252, 253, 254, 255, 256, 700)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in pii.find_pii(df, field=field).collect():
+        start = texts[r["id"]].index("(415)")
+        assert f"phone:{start}:{start + 14}" in r["spans"].split(",")
+
+
+def test_the_shape_of_a_long_word_has_its_end():
+    assert pii.shape("a" * 70) != pii.shape("a" * 70 + "9@x")
+    assert pii.word_features("a" * 70) != pii.word_features("a" * 70 + "9@x")
+
+
+def test_tags_of_slices_are_those_of_whole_chains(field):
+    """Cut chains and looked-up weights give what Viterbi gives on each text as it is."""
+    import random
+
+    rng = random.Random(8)
+    cues = ["call", "Phone:", "(tel", "E-MAIL", "x@host", "212-555-0133", "(415)", "555", "0188.", "10.0.0.1", "a.b@c.de", "4111", "1111", "é9", "Ünder", "café,", "über", "×", "server", "the", "of", "River", "\x1c", "!!", "..call.."]
+    texts = [" ".join(rng.choices(cues, k=rng.randint(0, 40))) for _ in range(60)] + [" ".join(rng.choices(["the", "stone", "call", "12"], weights=[9, 9, 1, 1], k=3_000)), ""]
+    for part in slices(pyarrow.array(texts)):
+        found = words(part)
+        tags = pii.tags_of(part, found, pii.Lookup(field))
+        for d in range(part.n):
+            chain = [w for w in re.split("[\x20\x09-\x0d]+", texts[part.first + d]) if w]
+            if chain:
+                assert tags[found.doc == d].tolist() == field.decode([chain])[0]
