@@ -1,9 +1,11 @@
 """Substring dedup: sliding spans of sentences.
 
-Sentences end at a line break and after a word that ends in . ! ? , ; or :. After ``BARE`` words without either, a word whose
-hash says so ends one, so text without punctuation is cut at the same words wherever it is repeated; and so does every ``LONGEST``-th. From each sentence on, the run of at least three
-sentences that reaches ``LEAST_WORDS`` words is hashed. Runs are counted globally; of a repeated run, every occurrence but
-the first (by id, row and place) marks its sentences, and marked sentences are removed from the text.
+Sentences end at a line break and after a word that ends in . ! or ?. After ``BARE`` words without either, a word whose
+hash says so ends one, so text without punctuation is cut at the same words wherever it is repeated; and so does every ``LONGEST``-th.
+From each sentence on, two runs are hashed: the next ``RUN`` sentences, whatever their words, and the fewest of at least ``LONG_RUN``
+sentences that have ``LONG_WORDS`` words. So every run of four sentences counts, its last sentence too, and three if they are not short.
+Runs are counted globally; of a repeated run, every occurrence but the first (by id, row and place) marks its sentences, and marked
+sentences are removed from the text.
 """
 
 from __future__ import annotations
@@ -17,12 +19,13 @@ from pyspark.sql import DataFrame, functions as F
 from cohortlens.llm.store import stored
 from cohortlens.llm.text import Hasher, Slice, code_points, mixed, slices, words
 
-RUN = 3
-LEAST_WORDS = 16
+RUN = 4  # sentences, of any length
+LONG_RUN = 3  # sentences that have at least
+LONG_WORDS = 16
 BARE = 7  # words without an end, after which
-CUT = 2  # one word in so many ends a sentence
-LONGEST = 12  # words of a sentence; one word over and over may have no other end
-ENDS = b".!?,;:"
+CUT = 8  # one word in so many ends a sentence
+LONGEST = 24  # words of a sentence; one word over and over may have no other end
+ENDS = b".!?"
 
 
 def sentences(part: Slice, hasher: Hasher) -> tuple[np.ndarray, ...]:
@@ -48,43 +51,46 @@ def sentences(part: Slice, hasher: Hasher) -> tuple[np.ndarray, ...]:
     return found.doc[start], start, to, found.start, hashes
 
 
-def runs(doc: np.ndarray, start: np.ndarray, to: np.ndarray, hashes: np.ndarray, run: int, least_words: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each sentence the number of sentences of the run that starts there (0: its document ends before), and its hash."""
+def runs(doc: np.ndarray, start: np.ndarray, to: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First sentence, number of sentences and hash of each run, in the order of the first sentences."""
     n = len(doc)
     if n == 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
     at = np.arange(n)
-    end = np.maximum(np.searchsorted(to, start + least_words, side="left"), at + run - 1)
+    any_words, long_words = at + RUN - 1, np.maximum(np.searchsorted(to, start + LONG_WORDS, side="left"), at + LONG_RUN - 1)
+    end = np.stack([any_words, long_words], axis=1)
     fits = end < n
-    fits[fits] &= doc[end[fits]] == doc[at[fits]]
+    fits &= doc[np.minimum(end, n - 1)] == doc[:, None]
+    fits[:, 1] &= long_words != any_words
+    first, end = np.repeat(at, 2)[fits.ravel()], end.ravel()[fits.ravel()]
     step = np.uint64(0xD6E8FEB86659FD93)
     with np.errstate(over="ignore"):
         # hash of any range of words: differences of running sums, brought to the same power
         up = np.concatenate([[np.uint64(1)], np.cumprod(np.full(len(hashes), step), dtype=np.uint64)])
         down = np.concatenate([[np.uint64(1)], np.cumprod(np.full(len(hashes), np.uint64(pow(int(step), -1, 1 << 64))), dtype=np.uint64)])
         upto = np.concatenate([[np.uint64(0)], np.cumsum(hashes * up[:-1], dtype=np.uint64)])
-        last = to[np.minimum(end, n - 1)]
-        found = mixed((upto[last] - upto[start]) * down[start] + (last - start).astype(np.uint64))
-    return np.where(fits, end - at + 1, 0), found
+        last = to[end]
+        found = mixed((upto[last] - upto[start[first]]) * down[start[first]] + (last - start[first]).astype(np.uint64))
+    return first, end - first + 1, found
 
 
-def _hashed(run: int, least_words: int):
-    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = Hasher(lower=False)
-        for batch in batches:
-            for part in slices(batch["text"]):
-                doc, start, to, _, hashes = sentences(part, hasher)
-                length, found = runs(doc, start, to, hashes, run, least_words)
-                edges = pa.array(np.searchsorted(doc, np.arange(part.n + 1)), pa.int32())
-                own = batch.slice(part.first, part.n)
-                lists = [pa.ListArray.from_arrays(edges, x) for x in (pa.array(found.view(np.int64)), pa.array(length, pa.int32()))]
-                yield pa.RecordBatch.from_arrays([own["row_id"], own["id"], own["text"], *lists], names=["row_id", "id", "text", "hashes", "lengths"])
-
-    return go
+def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    hasher = Hasher(lower=False)
+    for batch in batches:
+        for part in slices(batch["text"]):
+            doc, start, to, _, hashes = sentences(part, hasher)
+            first, length, found = runs(doc, start, to, hashes)
+            edges = np.searchsorted(doc, np.arange(part.n + 1))
+            lists = pa.array(np.searchsorted(doc[first], np.arange(part.n + 1)), pa.int32())
+            own = batch.slice(part.first, part.n)
+            # place and length of a run in one number
+            place = (first - edges[doc[first]]) << 16 | length
+            columns = [pa.ListArray.from_arrays(lists, pa.array(x.view(np.int64))) for x in (found, place)]
+            yield pa.RecordBatch.from_arrays([own["row_id"], own["id"], own["text"], *columns], names=["row_id", "id", "text", "hashes", "places"])
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cut the marked sentences out; ``runs`` lists the first sentence and the length of each marked run."""
+    """Cut the marked sentences out; ``runs`` lists the places of the marked runs."""
     hasher = Hasher(lower=False)
     for batch in batches:
         marked = batch["runs"].to_pylist()
@@ -97,9 +103,9 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 lo, hi = part.offsets[d], part.offsets[d + 1]
                 n = edges[d + 1] - edges[d]
                 hit = np.zeros(n + 1, np.int64)
-                for r in marked[part.first + d] or []:
-                    hit[r["at"]] += 1
-                    hit[r["at"] + r["length"]] -= 1
+                for place in marked[part.first + d] or []:
+                    hit[place >> 16] += 1
+                    hit[(place >> 16) + (place & 0xFFFF)] -= 1
                 hit = np.cumsum(hit[:-1]) > 0
                 # a sentence reaches to the next one's first word
                 begin = np.append(word_start[start[edges[d] : edges[d + 1]]], hi)
@@ -121,34 +127,32 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def remove_repeats(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = RUN, least_words: int = LEAST_WORDS, touched_only: bool = False
-) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", touched_only: bool = False) -> DataFrame:
     """``row_id, id, n_sentences, n_removed, removed`` (spans in code points, end exclusive) ``, text`` (what is left).
 
     One row per row of ``docs``, or only those that lose sentences. The first occurrence of a run, by id (null first), row and
     place, stays; a repeated row loses all runs, a run repeated inside one text all but its first. Null text: empty. Texts
-    shorter than a run lose nothing. Empty table: no rows. Extra columns are not read.
+    of fewer sentences than a run lose nothing: three with 16 words, or four. Long texts are taken whole, one at a time. Empty table: no
+    rows. Extra columns are not read.
     """
     base = docs.select(
         F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text")
     )
     id_type = base.schema["id"].dataType.simpleString()
-    schema = f"row_id long, id {id_type}, text string, hashes array<long>, lengths array<int>"
-    rows = stored(base.mapInArrow(_hashed(run, least_words), schema), "sentences")
-    each = rows.select("row_id", "id", F.posexplode(F.arrays_zip("hashes", "lengths")).alias("at", "x"))
-    each = each.select("row_id", "id", "at", F.col("x.hashes").alias("hash"), F.col("x.lengths").alias("length")).where("length > 0")
+    schema = f"row_id long, id {id_type}, text string, hashes array<long>, places array<long>"
+    rows = stored(base.mapInArrow(_hashed, schema), "sentences")
+    each = rows.select("row_id", "id", F.explode(F.arrays_zip("hashes", "places")).alias("x"))
+    each = each.select("row_id", "id", F.col("x.hashes").alias("hash"), F.col("x.places").alias("place"))
     # counts only: a run that a third of all rows hold is summed in each task before anything moves
     # written, so that the joins read both sides anew and adaptive skew handling can split a hot run
     repeated = stored(each.groupBy("hash").agg(F.count("*").alias("n")).where("n > 1").select("hash"), "repeated")
     occurrences = stored(each.join(repeated, "hash"), "occurrences")
-    first = stored(occurrences.groupBy("hash").agg(F.min(F.struct("id", "row_id", "at")).alias("first")), "first")
+    first = stored(occurrences.groupBy("hash").agg(F.min(F.struct("id", "row_id", "place")).alias("first")), "first")
     marked = occurrences.join(first, "hash").where(
-        ~((F.col("first.row_id") == F.col("row_id")) & (F.col("first.at") == F.col("at")))
+        ~((F.col("first.row_id") == F.col("row_id")) & (F.col("first.place") == F.col("place")))
     )
-    # at most as many as the text has sentences
-    by_row = marked.groupBy("row_id").agg(F.collect_list(F.struct("at", "length")).alias("runs"))
+    # at most as many as the text has runs
+    by_row = marked.groupBy("row_id").agg(F.collect_list("place").alias("runs"))
     out = rows.select("row_id", "id", "text").join(by_row, "row_id", "inner" if touched_only else "left")
     names = f"row_id long, id {id_type}, n_sentences long, n_removed long, removed array<struct<start:long,end:long>>, text string"
     return out.select("row_id", "id", "text", "runs").mapInArrow(_removed, names)
-

@@ -126,6 +126,56 @@ def test_a_passage_without_any_signs_is_found(spark):
     assert hit >= 2
 
 
+def brute_repeats(rows):
+    """Per row the spans that go: all runs of four sentences, and the shortest of three or more with 16 words, by comparing their words."""
+    parts = []
+    for _, text in rows:
+        for part in slices(pa.array([text or ""])):
+            _, start, to, word_start, _ = spans.sentences(part, Hasher(lower=False))
+        parts.append(([text_words[a:b] for text_words in [(text or "").encode().split()] for a, b in zip(start, to)], word_start[start].tolist()))
+    seen = defaultdict(list)
+    for i in sorted(range(len(rows)), key=lambda i: (rows[i][0], i)):
+        cut, _ = parts[i]
+        for a in range(len(cut)):
+            ends = {a + 4}
+            for b in range(a + 3, len(cut) + 1):
+                if sum(map(len, cut[a:b])) >= 16:
+                    ends.add(b)
+                    break
+            for b in ends:
+                if b <= len(cut):
+                    seen[tuple(w for s in cut[a:b] for w in s)].append((i, a, b))
+    gone = [set() for _ in rows]
+    for places in seen.values():
+        for i, a, b in places[1:]:
+            gone[i].update(range(a, b))
+    out = []
+    for (_, text), (cut, begin), lost in zip(rows, parts, gone):
+        data, begin = (text or "").encode(), [*begin, len((text or "").encode())]
+        kept = data[: begin[0]] + b"".join(data[begin[k] : begin[k + 1]] for k in range(len(cut)) if k not in lost)
+        out.append((len(cut), len(lost), kept.decode()))
+    return out
+
+
+def test_repeats_are_those_of_brute_force(spark):
+    rng = random.Random(21)
+    sentence = lambda: " ".join(rng.choice("red blue old sly fox hen cat owl runs é".split()) for _ in range(rng.randint(1, 7))) + rng.choice(".!?.\n")
+    shared = [" ".join(sentence() for _ in range(rng.randint(2, 9))) for _ in range(12)]
+    texts = [" ".join([sentence() for _ in range(rng.randint(0, 4))] + rng.sample(shared, rng.randint(0, 3)) + [sentence()]) for _ in range(120)]
+    texts += [shared[0], shared[0] + " " + shared[0], "", "Red fox. Blue hen. Old cat. Sly owl.", "Red fox. Blue hen. Old cat. Sly owl.", "no end at all " * 60]
+    rows = list(enumerate(texts))
+    got = {r["id"]: (r["n_sentences"], r["n_removed"], r["text"]) for r in spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert [got[i] for i, _ in rows] == brute_repeats(rows)
+
+
+def test_short_runs_and_the_end_of_a_passage_go(spark):
+    four = "Alpha beta gamma delta epsilon zeta. Eta theta iota kappa lambda mu. Nu xi omicron pi rho sigma. Tau upsilon."
+    rows = [(0, "Red fox. Blue hen. Old cat. Sly owl."), (1, "Red fox. Blue hen. Old cat. Sly owl."), (2, four), (3, "One before it. " + four + " And one behind.")]
+    got = {r["id"]: r["text"].split() for r in spans.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[0] == rows[0][1].split() and got[1] == [] and got[2] == four.split()
+    assert got[3] == "One before it. And one behind.".split()
+
+
 def brute_figures(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     at = defaultdict(list)
