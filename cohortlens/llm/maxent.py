@@ -3,15 +3,17 @@
 A word is predicted in three steps: its class from the words before it, its symbol within the class from the same and the
 class, and, for symbols that many words share, the word from its count. The most frequent words are symbols of their own,
 all others share the symbols of their last two bytes. Features (the word before, the word before that one, both) are hashed
-into tables of fixed size, so the model is as large for any corpus.
+into tables whose number of rows grows with the square root of the counted vocabulary.
 
-Training: one pass counts words, one sums the observed features, and each further pass sums the expected ones under the
-model so far; the tables move by their difference. Every pass covers all training rows, tasks send sums of fixed size, and these are
-added in two steps. Counts of words that are not among the most frequent stay in Spark: texts meet them in a join.
+Training: one pass counts words; one writes each token's symbol and a hash of its word, three bytes, so that texts are cut into words
+twice and no more; one sums the observed features, and each further pass sums the expected ones under the model so far; the tables
+move by their difference. Every pass covers all training rows, tasks send sums of one size, and these are added in steps.
+Counts of words that are not among the most frequent stay in Spark: texts meet them in a join.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,8 +27,9 @@ from cohortlens.llm.text import Hasher, Slice, mixed, slices, words
 FOLDS = 10
 OWN, TAIL = 192, 64  # symbols that are one word, and those that many share
 SIDE = 16  # classes, and symbols of a class
-CONTEXTS = 1 << 12  # rows of a feature's table for classes
-MEMBERS = 1 << 15  # rows of the table for symbols within classes
+LEAST_CONTEXTS, MOST_CONTEXTS = 1 << 8, 1 << 16  # rows of a feature's table for classes: twice the root of the vocabulary
+MEMBERS = 8  # times as many rows has the table for symbols within classes
+CODES = 1 << 16  # hashes of a word that features are made of
 FEATURES = 3
 ROUNDS = 2
 HOT_WORDS = 1 << 20  # whose counts are sent to all tasks: 16 MB at most
@@ -34,9 +37,38 @@ TOKENS_AT_ONCE = 1 << 15
 END_HASH = np.uint64(0x1D8E4E27C47D124F)
 DAMP = 4.0
 RATE = 0.4
-CLASS_ROWS = FEATURES * CONTEXTS + 1
-MEMBER_ROWS = MEMBERS + SIDE
-SIZE = (CLASS_ROWS + MEMBER_ROWS) * SIDE
+
+
+@dataclass
+class Tables:
+    """How large the tables of weights are: ``contexts`` rows for each feature and one without; rows for members and one a class."""
+
+    contexts: int
+
+    @classmethod
+    def of(cls, vocabulary: int) -> Tables:
+        rows = 1 << math.ceil(math.log2(2 * math.sqrt(max(vocabulary, 1))))
+        return cls(min(max(rows, LEAST_CONTEXTS), MOST_CONTEXTS))
+
+    @property
+    def members(self) -> int:
+        return MEMBERS * self.contexts
+
+    @property
+    def class_rows(self) -> int:
+        return FEATURES * self.contexts + 1
+
+    @property
+    def member_rows(self) -> int:
+        return self.members + SIDE
+
+    @property
+    def size(self) -> int:
+        return (self.class_rows + self.member_rows) * SIDE
+
+    def split(self, theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        edge = self.class_rows * SIDE
+        return theta[:edge].reshape(self.class_rows, SIDE), theta[edge:].reshape(self.member_rows, SIDE)
 
 
 @dataclass
@@ -46,7 +78,6 @@ class Tokens:
     hash: np.ndarray
     tail: np.ndarray
     doc: np.ndarray
-    place: np.ndarray
 
 
 def tokens_of(part: Slice, hasher: Hasher) -> Tokens:
@@ -59,9 +90,7 @@ def tokens_of(part: Slice, hasher: Hasher) -> Tokens:
     counts = np.bincount(found.doc, minlength=part.n)
     ends = np.cumsum(counts)
     hashes, tail = np.insert(hashes, ends, END_HASH), np.insert(tail, ends, 0)
-    doc = np.repeat(np.arange(part.n), counts + 1)
-    first = np.concatenate([[0], np.cumsum(counts + 1)[:-1]])
-    return Tokens(hashes, tail, doc, np.arange(len(hashes)) - first[doc])
+    return Tokens(hashes, tail, np.repeat(np.arange(part.n), counts + 1))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -97,7 +126,7 @@ def _counted(x: tuple[np.ndarray, ...]) -> pa.RecordBatch:
 
 @dataclass
 class Vocabulary:
-    """What tasks need of the counts: of fixed size for any corpus."""
+    """What tasks need of the counts: of bounded size for any corpus. Travels as a dict, so that executors need not have this package."""
 
     own: np.ndarray  # hashes of words that are symbols, sorted
     own_symbol: np.ndarray
@@ -154,140 +183,166 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     return Vocabulary(hashes[by_hash], symbol[by_hash], hot_hash[order], hot["n"][order], int(n or 0), int(v), tail_n, tail_v)
 
 
-def contexts(t: Tokens) -> np.ndarray:
-    """Hashes of the features of each token, one row for each feature."""
-    none = np.uint64(0x9E3779B97F4A7C15)
-    one = np.where(t.place > 0, np.roll(t.hash, 1), none)
-    two = np.where(t.place > 1, np.roll(t.hash, 2), none)
-    return np.stack([mixed(one), mixed(two ^ np.uint64(0xA5A5A5A5A5A5A5A5)), mixed(one * np.uint64(3) + two)])
+def _encode(vocabulary_: dict):
+    """Figures of the base score and, for each token, its symbol and a hash of its word; words without a frequent count go into lists."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocab, hasher = Vocabulary(**vocabulary_.value), Hasher(lower=True)
+        for batch in batches:
+            for part in slices(batch["text"]):
+                t = tokens_of(part, hasher)
+                symbols = vocab.symbols(t)
+                count = vocab.counts(t.hash)
+                hot = count >= 0
+                base = np.where(hot, np.log10((np.maximum(count, 0) + 0.1) / (vocab.n + 0.1 * (vocab.v + 1))), 0.0)
+                shared = symbols >= OWN
+                s = np.where(shared, symbols - OWN, 0)
+                within = np.log10((np.maximum(count, 0) + 0.1) / (vocab.tail_n[s] + 0.1 * (vocab.tail_v[s] + 1)))
+                rare = np.flatnonzero(~hot)
+                edges = pa.array(np.searchsorted(t.doc[rare], np.arange(part.n + 1)), pa.int32())
+                lists = [pa.ListArray.from_arrays(edges, x) for x in (pa.array(t.hash[rare].view(np.int64)), pa.array(s[rare], pa.int32()))]
+                own, n = batch.slice(part.first, part.n), np.bincount(t.doc, minlength=part.n)
+                figures = [
+                    pa.array(n, pa.int64()),
+                    pa.array(np.bincount(t.doc[hot], minlength=part.n), pa.int64()),
+                    pa.array(np.bincount(t.doc, base, minlength=part.n)),
+                    pa.array(np.bincount(t.doc, np.where(shared & hot, within, 0.0), minlength=part.n)),
+                ]
+                ends = np.concatenate([[0], np.cumsum(n)])
+                codes = _binary((t.hash % np.uint64(CODES)).astype("<u2"), ends)
+                names = ["row_id", "id", "held_out", "n_tokens", "n_known", "base_score", "within", "rare", "rare_symbols", "codes", "symbols"]
+                columns = [own["row_id"], own["id"], own["held_out"], *figures, *lists, codes, _binary(symbols.astype(np.uint8), ends)]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
 
+    return run
 
-def _chunks(t: Tokens, symbols: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
-    """Class rows and member rows of the tables for each feature, and the class and member that came."""
-    features = contexts(t)
-    for a in range(0, len(symbols), TOKENS_AT_ONCE):
-        f, s = features[:, a : a + TOKENS_AT_ONCE], symbols[a : a + TOKENS_AT_ONCE]
-        c = s // SIDE
-        shift = np.arange(FEATURES)[:, None] * CONTEXTS
-        rows = (f % np.uint64(CONTEXTS)).astype(np.int64) + shift
-        members = (mixed(f + c.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) % np.uint64(MEMBERS)).astype(np.int64)
-        yield rows, members, c, s % SIDE
 
+def _binary(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    offsets = (ends * values.itemsize).astype(np.int32)
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
 
-def _tables(theta: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    edge = CLASS_ROWS * SIDE
-    return theta[:edge].reshape(CLASS_ROWS, SIDE), theta[edge:].reshape(MEMBER_ROWS, SIDE)
+
+def _values(column: pa.Array, kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """All values of a binary column, and where each row starts and the last one ends."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    raw = column.buffers()[2]
+    data = np.frombuffer(raw, np.uint8)[offsets[0] : offsets[-1]] if raw is not None else np.zeros(0, np.uint8)
+    return np.frombuffer(data.tobytes(), kind), (offsets - offsets[0]) // np.dtype(kind).itemsize
+
+
+def _chunks(batch: pa.RecordBatch, sizes: Tables) -> Iterator[tuple[np.ndarray, ...]]:
+    """Class rows and member rows of the tables for each feature, and the class and member that came."""
+    codes, edges = _values(batch["codes"], "<u2")
+    symbols, _ = _values(batch["symbols"], "u1")
+    # a place before and two places before a text's first token there is no word
+    one, two = np.full(len(codes), CODES, np.uint64), np.full(len(codes), CODES, np.uint64)
+    one[1:], two[2:] = codes[:-1], codes[:-2]
+    first = edges[:-1][edges[:-1] < len(codes)]
+    one[first] = two[first] = CODES
+    second = first + 1
+    two[second[second < len(codes)]] = CODES
+    step, shift = np.uint64(0x9E3779B97F4A7C15), np.arange(FEATURES)[:, None] * sizes.contexts
+    for a in range(0, len(codes), TOKENS_AT_ONCE):
+        x, y, s = one[a : a + TOKENS_AT_ONCE], two[a : a + TOKENS_AT_ONCE], symbols[a : a + TOKENS_AT_ONCE]
+        f = np.stack([mixed(x + np.uint64(1)), mixed((y + np.uint64(1)) << np.uint64(20)), mixed((x << np.uint64(20)) + (y << np.uint64(40)) + np.uint64(1))])
+        c = (s // SIDE).astype(np.int64)
+        rows = (f % np.uint64(sizes.contexts)).astype(np.int64) + shift
+        members = (mixed(f + c.astype(np.uint64) * step) % np.uint64(sizes.members)).astype(np.int64)
+        yield rows, members, c, (s % SIDE).astype(np.int64)
 
 
 def _chances(table: np.ndarray, rows: np.ndarray, last: np.ndarray | int) -> np.ndarray:
-    out = table[rows[0]] + table[last]
+    out = table.take(rows[0], axis=0)
     for r in rows[1:]:
-        out += table[r]
+        out += table.take(r, axis=0)
+    out += table[last]
     np.exp(out, out=out)
     out /= out.sum(1, keepdims=True)
     return out
 
 
-def _sums(broadcast, expected: bool):
-    """Observed or expected feature sums over a task's rows, in blocks."""
+def _observed(contexts: int):
+    """Observed feature sums over a task's rows, in blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, theta = broadcast.value
-        hasher, total = Hasher(lower=True), np.zeros(SIZE)
-        by_class, by_member = _tables(total)
-        tables = _tables(theta) if expected else None
+        sizes = Tables(contexts)
+        total = np.zeros(sizes.size)
+        edge = sizes.class_rows * SIDE
         for batch in batches:
-            for part in slices(batch["text"]):
-                t = tokens_of(part, hasher)
-                for rows, members, c, m in _chunks(t, vocab.symbols(t)):
-                    if not expected:
-                        flat = np.concatenate([*(rows * SIDE + c), (CLASS_ROWS - 1) * SIDE + c])
-                        total[: CLASS_ROWS * SIDE] += np.bincount(flat, minlength=CLASS_ROWS * SIDE)
-                        flat = np.concatenate([*(members * SIDE + m), (MEMBERS + c) * SIDE + m])
-                        total[CLASS_ROWS * SIDE :] += np.bincount(flat, minlength=MEMBER_ROWS * SIDE)
-                        continue
-                    for table, out, index, last in ((tables[0], by_class, rows, CLASS_ROWS - 1), (tables[1], by_member, members, MEMBERS + c)):
-                        p = _chances(table, index, last).T.astype(np.float64)
-                        flat = np.concatenate([*index, np.broadcast_to(last, c.shape)])
-                        for j in range(SIDE):
-                            out[:, j] += np.bincount(flat, np.tile(p[j], FEATURES + 1), minlength=len(out))
+            for rows, members, c, m in _chunks(batch, sizes):
+                flat = np.concatenate([*(rows * SIDE + c), (sizes.class_rows - 1) * SIDE + c])
+                total[:edge] += np.bincount(flat, minlength=edge)
+                flat = np.concatenate([*(members * SIDE + m), (sizes.members + c) * SIDE + m])
+                total[edge:] += np.bincount(flat, minlength=len(total) - edge)
         yield in_blocks(total.astype(np.float32))
 
     return run
 
 
-def feature_sums(train: DataFrame, vocab: Vocabulary, theta: np.ndarray, expected: bool) -> np.ndarray:
-    """The sums over all rows."""
-    model = train.sparkSession.sparkContext.broadcast((vocab, theta.astype(np.float32)))
-    return added(train.mapInArrow(_sums(model, expected), BLOCKS), SIZE, "f4")
+def _expected(broadcast, contexts: int):
+    """Expected feature sums over a task's rows, in blocks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes = Tables(contexts)
+        tables, total, places = sizes.split(broadcast.value), np.zeros(sizes.size), np.arange(SIDE)
+        by_class, by_member = sizes.split(total)
+        for batch in batches:
+            for rows, members, c, _ in _chunks(batch, sizes):
+                p, q = _chances(tables[0], rows, sizes.class_rows - 1), _chances(tables[1], members, sizes.members + c)
+                by_class[-1] += p.sum(0, dtype=np.float64)
+                by_member[sizes.members :] += np.eye(SIDE, dtype=np.float32)[c].T @ q
+                for out, index, chance in ((by_class[:-1], rows, p), (by_member[: sizes.members], members, q)):
+                    weights, flat = chance.astype(np.float64).ravel(), out.reshape(-1)
+                    for r in index:
+                        flat += np.bincount(((r * SIDE)[:, None] + places).ravel(), weights, minlength=len(flat))
+        yield in_blocks(total.astype(np.float32))
+
+    return run
 
 
-def start(observed: np.ndarray) -> np.ndarray:
+def start(observed: np.ndarray, sizes: Tables) -> np.ndarray:
     """First weights: what each feature says by itself, shared among the features."""
-    out = np.zeros(SIZE)
-    (rows, bias), (_, member_bias) = _split(observed)
-    (w_rows, w_bias), (_, w_member_bias) = _split(out)
+    out = np.zeros(sizes.size)
+    (by_class, by_member), (w_class, w_member) = sizes.split(observed), sizes.split(out)
+    rows, bias, member_bias = by_class[:-1], by_class[-1:], by_member[sizes.members :]
     chance = (bias + 1) / (bias + 1).sum(1, keepdims=True)
-    w_bias[:] = np.log(chance)
-    w_member_bias[:] = np.log((member_bias + 1) / (member_bias + 1).sum(1, keepdims=True))
+    w_class[-1:] = np.log(chance)
+    w_member[sizes.members :] = np.log((member_bias + 1) / (member_bias + 1).sum(1, keepdims=True))
     seen = rows.sum(1, keepdims=True)
     # the rows for members do not know their class: they start at nothing, and the gradient fills them
-    w_rows[:] = np.log((rows + DAMP * SIDE * chance) / (seen + DAMP * SIDE) / chance) / FEATURES
+    w_class[:-1] = np.log((rows + DAMP * SIDE * chance) / (seen + DAMP * SIDE) / chance) / FEATURES
     return out
 
 
-def _split(theta: np.ndarray):
-    by_class, by_member = _tables(theta)
-    return (by_class[:-1], by_class[-1:]), (by_member[:MEMBERS], by_member[MEMBERS:])
-
-
-def train_model(train: DataFrame, vocab: Vocabulary, rounds: int = ROUNDS) -> np.ndarray:
-    observed = feature_sums(train, vocab, np.zeros(1), expected=False)
-    theta = start(observed)
+def train_model(tokens: DataFrame, sizes: Tables, rounds: int = ROUNDS) -> np.ndarray:
+    """Weights from ``codes, symbols`` of the training rows."""
+    observed = added(tokens.mapInArrow(_observed(sizes.contexts), BLOCKS), sizes.size, "f4")
+    theta = start(observed, sizes)
     for _ in range(rounds):
-        expected = feature_sums(train, vocab, theta, expected=True)
+        model = tokens.sparkSession.sparkContext.broadcast(theta.astype(np.float32))
+        expected = added(tokens.mapInArrow(_expected(model, sizes.contexts), BLOCKS), sizes.size, "f4")
+        model.unpersist()
         theta += RATE * (observed - expected) / ((observed + expected) / 2 + DAMP)
     return theta
 
 
-def _score(broadcast):
+def _score(broadcast, contexts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocab, theta = broadcast.value
-        hasher, tables = Hasher(lower=True), _tables(theta)
+        sizes = Tables(contexts)
+        tables = sizes.split(broadcast.value)
         for batch in batches:
-            for part in slices(batch["text"]):
-                t = tokens_of(part, hasher)
-                symbols = vocab.symbols(t)
-                logs = np.empty(len(symbols))
-                at = 0
-                for rows, members, c, m in _chunks(t, symbols):
-                    place = np.arange(len(c))
-                    p = _chances(tables[0], rows, CLASS_ROWS - 1)[place, c].astype(np.float64)
-                    p *= _chances(tables[1], members, MEMBERS + c)[place, m]
-                    logs[at : at + len(c)] = np.log10(np.maximum(p, 1e-300))
-                    at += len(c)
-                count = vocab.counts(t.hash)
-                hot = count >= 0
-                base = np.where(hot, np.log10((np.maximum(count, 0) + 0.1) / (vocab.n + 0.1 * (vocab.v + 1))), 0.0)
-                shared = symbols >= OWN
-                s = np.where(shared, symbols - OWN, 0)
-                within = np.log10((np.maximum(count, 0) + 0.1) / (vocab.tail_n[s] + 0.1 * (vocab.tail_v[s] + 1)))
-                logs += np.where(shared & hot, within, 0.0)
-                rare = np.flatnonzero(~hot)
-                edges = pa.array(np.searchsorted(t.doc[rare], np.arange(part.n + 1)), pa.int32())
-                lists = [
-                    pa.ListArray.from_arrays(edges, pa.array(t.hash[rare].view(np.int64))),
-                    pa.ListArray.from_arrays(edges, pa.array(s[rare], pa.int32())),
-                ]
-                own = batch.slice(part.first, part.n)
-                figures = [
-                    pa.array(np.bincount(t.doc, minlength=part.n), pa.int64()),
-                    pa.array(np.bincount(t.doc[hot], minlength=part.n), pa.int64()),
-                    pa.array(np.bincount(t.doc, base, minlength=part.n)),
-                    pa.array(np.bincount(t.doc, logs, minlength=part.n)),
-                ]
-                names = ["row_id", "id", "held_out", "n_tokens", "n_known", "base_score", "score", "rare", "symbols"]
-                yield pa.RecordBatch.from_arrays([own["row_id"], own["id"], own["held_out"], *figures, *lists], names=names)
+            _, edges = _values(batch["symbols"], "u1")
+            logs, at = np.zeros(int(edges[-1]) + 1), 0
+            for rows, members, c, m in _chunks(batch, sizes):
+                place = np.arange(len(c))
+                p = _chances(tables[0], rows, sizes.class_rows - 1)[place, c].astype(np.float64)
+                p *= _chances(tables[1], members, sizes.members + c)[place, m]
+                logs[at : at + len(c)] = np.log10(np.maximum(p, 1e-300))
+                at += len(c)
+            # every text has a token at least, its end
+            model = np.add.reduceat(logs, edges[:-1]) if batch.num_rows else np.zeros(0)
+            names = ["row_id", "id", "held_out", "n_tokens", "n_known", "base_score", "within"]
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in names), pa.array(model)], names=[*names, "model"])
 
     return run
 
@@ -297,21 +352,26 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
 
     Learns from the rows whose crc32 of the id as text is not 0 modulo 10 (null id: empty text), all of them whole. Tokens: words,
     A-Z as a-z, then one end. Null or empty text: the end alone. Without training rows every word is unknown. Repeated rows
-    get equal scores and count as often as they come. Empty table: no rows. Extra columns are not read.
+    get equal scores and count as often as they come; of equally frequent words, those with the lower hashes are symbols of their own.
+    Long texts are taken whole, in chunks of tokens. Empty table: no rows. Extra columns are not read.
     """
+    spark = docs.sparkSession
     base = docs.select(
         F.monotonically_increasing_id().alias("row_id"), F.col(id_col).alias("id"), in_fold(id_col, FOLDS).alias("held_out"), F.col(text_col).cast("string").alias("text")
     )
-    train = base.where(~F.col("held_out")).select("text")
-    counted = train.mapInArrow(_count, "hash long, tail int, n long")
+    counted = base.where(~F.col("held_out")).select("text").mapInArrow(_count, "hash long, tail int, n long")
     counts = stored(counted.groupBy("hash").agg(F.min("tail").alias("tail"), F.sum("n").alias("n")), "counts")
     vocab = vocabulary(counts)
-    theta = train_model(train, vocab, rounds)
-    model = docs.sparkSession.sparkContext.broadcast((vocab, theta.astype(np.float32)))
-    id_type = base.schema["id"].dataType.simpleString()
-    schema = f"row_id long, id {id_type}, held_out boolean, n_tokens long, n_known long, base_score double, score double, rare array<long>, symbols array<int>"
-    scored = stored(base.mapInArrow(_score(model), schema), "scored")
-    rare = scored.select("row_id", F.explode(F.arrays_zip("rare", "symbols")).alias("x")).select("row_id", F.col("x.rare").alias("hash"), F.col("x.symbols").alias("s"))
+    known = spark.sparkContext.broadcast(vars(vocab))
+    own = f"row_id long, id {base.schema['id'].dataType.simpleString()}, held_out boolean, n_tokens long, n_known long, base_score double, within double"
+    encoded = stored(base.mapInArrow(_encode(known), f"{own}, rare array<long>, rare_symbols array<int>, codes binary, symbols binary"), "tokens")
+    known.unpersist()
+    sizes = Tables.of(vocab.v)
+    theta = train_model(encoded.where(~F.col("held_out")).select("codes", "symbols"), sizes, rounds)
+    model = spark.sparkContext.broadcast(theta.astype(np.float32))
+    scored = encoded.drop("rare", "rare_symbols").mapInArrow(_score(model, sizes.contexts), f"{own}, model double")
+    rare = encoded.select("row_id", F.explode(F.arrays_zip("rare", "rare_symbols")).alias("x"))
+    rare = rare.select("row_id", F.col("x.rare").alias("hash"), F.col("x.rare_symbols").alias("s"))
     # many documents may hold one unknown word: each is joined once for a document and symbol
     rare = rare.groupBy("row_id", "hash").agg(F.count("*").alias("k"), F.min("s").alias("s"))
     found = rare.join(counts.select("hash", "n"), "hash", "left")
@@ -323,12 +383,12 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", round
         F.sum(F.col("k") * F.log10((n + 0.1) / F.element_at(shares, F.col("s") + 1))).alias("more_score"),
     )
     none = F.lit(0)
-    return scored.drop("rare", "symbols").join(terms, "row_id", "left").select(
+    return scored.join(terms, "row_id", "left").select(
         "id",
         "held_out",
         "n_tokens",
         (F.col("n_known") + F.coalesce("more_known", none)).alias("n_known"),
         F.lit(vocab.n).cast("long").alias("train_tokens"),
         (F.col("base_score") + F.coalesce("more_base", none)).alias("base_score"),
-        (F.col("score") + F.coalesce("more_score", none)).alias("score"),
+        (F.col("model") + F.col("within") + F.coalesce("more_score", none)).alias("score"),
     )

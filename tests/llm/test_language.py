@@ -277,3 +277,69 @@ def test_tags_of_slices_are_those_of_whole_chains(field):
             chain = [w for w in re.split("[\x20\x09-\x0d]+", texts[part.first + d]) if w]
             if chain:
                 assert tags[found.doc == d].tolist() == field.decode([chain])[0]
+
+
+def plain_score(words_, vocab, theta, sizes, hash_of):
+    """log10 of the chance of a text, token by token, from the weights as they are."""
+    by_class, by_member = sizes.split(theta.astype(np.float32).astype(float))
+    mask = (1 << 64) - 1
+
+    def spread(x):
+        return int(maxent.mixed(np.array([x & mask], np.uint64))[0])
+
+    def symbol_of(word):
+        h = hash_of(word)
+        if h in vocab.own.tolist():
+            return int(vocab.own_symbol[vocab.own.tolist().index(h)])
+        last = word.encode() if word is not None else b"\0"
+        return maxent.OWN + spread(last[-1] * 256 + (last[-2] if len(last) > 1 else 0) + 1) % maxent.TAIL
+
+    total = 0.0
+    for i, word in enumerate([*words_, None]):
+        before = [hash_of(words_[i - k]) % maxent.CODES if i >= k else maxent.CODES for k in (1, 2)]
+        features = [spread(before[0] + 1), spread((before[1] + 1) << 20), spread((before[0] << 20) + (before[1] << 40) + 1)]
+        s = symbol_of(word) if word is not None else end_symbol(vocab)
+        c, m = divmod(s, maxent.SIDE)
+        one = sum(by_class[k * sizes.contexts + f % sizes.contexts] for k, f in enumerate(features)) + by_class[-1]
+        two = sum(by_member[spread(f + c * 0x9E3779B97F4A7C15) % sizes.members] for f in features) + by_member[sizes.members + c]
+        total += math.log10(np.exp(one)[c] / np.exp(one).sum()) + math.log10(np.exp(two)[m] / np.exp(two).sum())
+        if s >= maxent.OWN:
+            n = int(vocab.hot_count[vocab.hot.tolist().index(hash_of(word))]) if hash_of(word) in vocab.hot.tolist() else 0
+            total += math.log10((n + 0.1) / (vocab.tail_n[s - maxent.OWN] + 0.1 * (vocab.tail_v[s - maxent.OWN] + 1)))
+    return total
+
+
+def end_symbol(vocab):
+    at = vocab.own.tolist().index(int(maxent.END_HASH))
+    return int(vocab.own_symbol[at])
+
+
+def test_scores_equal_brute_force(spark, monkeypatch):
+    import random
+
+    from cohortlens.llm.text import Hasher
+
+    rng = random.Random(6)
+    vocabulary = ["".join(rng.choice("abcde") for _ in range(rng.randint(1, 4))) for _ in range(400)]
+    rows = [(i, " ".join(rng.choices(vocabulary, weights=range(400, 0, -1), k=rng.randint(0, 40)))) for i in range(150)]
+    kept = {}
+    for name in ("vocabulary", "train_model"):
+        monkeypatch.setattr(maxent, name, lambda *a, f=getattr(maxent, name), n=name, **b: kept.setdefault(n, f(*a, **b)))
+    got = {r["id"]: r["score"] for r in maxent.score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    vocab, theta = kept["vocabulary"], kept["train_model"]
+    hasher, known = Hasher(lower=True), {}
+
+    def hash_of(word):
+        if word not in known:
+            part = next(slices(pyarrow.array([word])))
+            known[word] = int(hasher(part, words(part))[0])
+        return known[word]
+
+    sizes = maxent.Tables.of(vocab.v)
+    for i, text in rows:
+        assert got[i] == pytest.approx(plain_score(text.split(), vocab, theta, sizes, hash_of), abs=2e-3)
+
+
+def test_tables_grow_with_the_vocabulary():
+    sizes = [maxent.Tables.of(v).contexts for v in (0, 10_000, 400_000, 3_500_000, 10**8, 10**12)]
+    assert sizes == sorted(sizes) and sizes[0] == maxent.LEAST_CONTEXTS and sizes[-1] == maxent.MOST_CONTEXTS and sizes[2] < sizes[3] < sizes[4]
