@@ -18,8 +18,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortlens.llm.store import numbered, stored, whole_text, without
+from cohortlens.llm.text import slices
 
-BUCKET_BYTES = 64 << 20  # of text in one table
+BUCKET_BYTES = 32 << 20  # of one table: contents and what it holds beside each
+COMBINED_BYTES = 16 << 20  # of the table in which a task looks for copies before anything moves
+ENTRY_BYTES = 400  # beside the content: number, hash, digest, slots and the objects that hold them
+SLICE = 4 << 20  # bytes of texts that are out of their Arrow buffer at a time, or one text
 LISTED = 1_000  # buckets that a level deals anew by name; with more, it deals all
 
 
@@ -29,18 +33,18 @@ class ContentTable:
     def __init__(self) -> None:
         self.slots, self.hashes, self.contents, self.bytes = [-1] * 1024, [], [], 0
 
-    def place(self, h: int, content: bytes) -> tuple[int, bool]:
+    def place(self, h: int, content: bytes | memoryview) -> tuple[int, bool]:
         """Number of the entry with this content, and whether it is new."""
         mask = len(self.slots) - 1
         at = h & mask
         while (entry := self.slots[at]) >= 0:
-            if self.hashes[entry] == h and self.contents[entry] == content:
+            if self.hashes[entry] == h and len(self.contents[entry]) == len(content) and self.contents[entry] == bytes(content):
                 return entry, False
             at = (at + 1) & mask
         self.slots[at] = entry = len(self.hashes)
         self.hashes.append(h)
-        self.contents.append(content)
-        self.bytes += len(content)
+        self.contents.append(bytes(content))
+        self.bytes += len(content) + ENTRY_BYTES
         if 2 * len(self.hashes) > len(self.slots):
             self._grow()
         return entry, True
@@ -64,32 +68,36 @@ def _combine(table_bytes: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, rows, digests = ContentTable(), [], []
         for batch in batches:
-            rep, digest, hashes, texts, sizes = [], [], [], [], []
-            for row, text in zip(batch["row_id"].to_pylist(), batch["text"].cast(pa.binary()).to_pylist()):
-                if table.bytes > table_bytes:
-                    table, rows, digests = ContentTable(), [], []
-                h = xxhash.xxh3_64_intdigest(text)
-                entry, new = table.place(h, text)
-                if new:
-                    rows.append(row)
-                    digests.append(hashlib.sha256(text).hexdigest())
-                rep.append(rows[entry])
-                digest.append(digests[entry])
-                hashes.append(h - (1 << 64) if h >> 63 else h)
-                texts.append(text if new else None)
-                sizes.append(len(text))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch["row_id"],
-                    batch["id"],
-                    pa.array(rep, pa.int64()),
-                    pa.array(digest, pa.string()),
-                    pa.array(hashes, pa.int64()),
-                    pa.array(sizes, pa.int64()),
-                    pa.array(texts, pa.binary()),
-                ],
-                names=["row_id", "id", "rep", "sha256", "hash", "size", "content"],
-            )
+            for part in slices(batch["text"], SLICE):
+                own = batch.slice(part.first, part.n)
+                data, edges = memoryview(part.data), part.offsets.tolist()
+                rep, digest, hashes, texts = [], [], [], []
+                for row, a, b in zip(own["row_id"].to_pylist(), edges, edges[1:]):
+                    if table.bytes > table_bytes:
+                        table, rows, digests = ContentTable(), [], []
+                    h = xxhash.xxh3_64_intdigest(data[a:b])
+                    entry, new = table.place(h, data[a:b])
+                    if new:
+                        rows.append(row)
+                        digests.append(hashlib.sha256(data[a:b]).hexdigest())
+                    rep.append(rows[entry])
+                    digest.append(digests[entry])
+                    hashes.append(h - (1 << 64) if h >> 63 else h)
+                    texts.append(table.contents[entry] if new else None)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        own["row_id"],
+                        own["id"],
+                        pa.array(rep, pa.int64()),
+                        pa.array(digest, pa.string()),
+                        pa.array(hashes, pa.int64()),
+                        pa.array(part.offsets[1:] - part.offsets[:-1], pa.int64()),
+                        pa.array(texts, pa.binary()),
+                    ],
+                    names=["row_id", "id", "rep", "sha256", "hash", "size", "content"],
+                )
+        del table
+        pa.default_memory_pool().release_unused()
 
     return run
 
@@ -98,16 +106,20 @@ def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come bucket after bucket; each bucket has a table of its own."""
     table, bucket, first = ContentTable(), None, []
     for batch in batches:
-        group = []
-        columns = (batch[c].to_pylist() for c in ("bucket", "rep", "hash", "content"))
-        for b, rep, h, content in zip(*columns):
-            if b != bucket:
-                table, bucket, first = ContentTable(), b, []
-            entry, new = table.place(h & 0xFFFFFFFFFFFFFFFF, content)
-            if new:
-                first.append(rep)
-            group.append(first[entry])
-        yield pa.RecordBatch.from_arrays([batch["rep"], pa.array(group, pa.int64())], names=["rep", "group"])
+        for part in slices(batch["content"], SLICE):
+            own, group = batch.slice(part.first, part.n), []
+            data, edges = memoryview(part.data), part.offsets.tolist()
+            columns = (own[c].to_pylist() for c in ("bucket", "rep", "hash"))
+            for b, rep, h, start, end in zip(*columns, edges, edges[1:]):
+                if b != bucket:
+                    table, bucket, first = ContentTable(), b, []
+                entry, new = table.place(h & 0xFFFFFFFFFFFFFFFF, data[start:end])
+                if new:
+                    first.append(rep)
+                group.append(first[entry])
+            yield pa.RecordBatch.from_arrays([own["rep"], pa.array(group, pa.int64())], names=["rep", "group"])
+    del table
+    pa.default_memory_pool().release_unused()
 
 
 def _digit(level: int, fan: int) -> Column:
@@ -120,10 +132,11 @@ def _groups(records: DataFrame, bucket_bytes: int) -> DataFrame:
     done, todo, level = None, records, 0
     path = F.lit(0).cast("long")
     while True:
-        total = todo.agg(F.sum("size")).first()[0] or 0
+        held = F.sum(F.col("size") + ENTRY_BYTES)
+        total = todo.agg(held).first()[0] or 0
         fan = max(1, math.ceil(2 * total / bucket_bytes))
         todo = todo.withColumn("bucket", F.xxhash64(path, _digit(level, fan)))
-        sizes = todo.groupBy("bucket").agg(F.sum("size").alias("size"), F.min("hash").alias("lo"), F.max("hash").alias("hi"))
+        sizes = todo.groupBy("bucket").agg(held.alias("size"), F.min("hash").alias("lo"), F.max("hash").alias("hi"))
         # one hash cannot be dealt out further: its copies, at most one for each task, meet in one table entry
         large = [r[0] for r in sizes.where((F.col("size") > bucket_bytes) & (F.col("lo") != F.col("hi"))).select("bucket").limit(LISTED + 1).collect()]
         fits = todo if not large else todo.where(~F.col("bucket").isin(large)) if len(large) <= LISTED else None
@@ -155,7 +168,8 @@ def exact_dedup(
 
     Texts are equal when identical after ``normalised`` (none: no change). Of equal texts the row with the largest id stays;
     of rows that also share the id, one stays. A null text is empty, a null id the smallest. An empty table gives no rows.
-    Other columns are neither read nor in the way, but for ``row_col``, a unique number for each row, if given.
+    Other columns are neither read nor in the way, but for ``row_col``, a unique number for each row, if given. Long texts are taken whole:
+    a task holds one table of bounded bytes and one slice of texts, or the longest text.
     """
     text = whole_text(text_col)
     base = docs.select(
@@ -164,7 +178,7 @@ def exact_dedup(
     id_type = base.schema["id"].dataType.simpleString()
     schema = f"row_id long, id {id_type}, rep long, sha256 string, hash long, size long, content binary"
     # row numbers are fixed by this write, and every later step reads them from it
-    rows = stored(base.mapInArrow(_combine(bucket_bytes), schema), "records")
+    rows = stored(base.mapInArrow(_combine(min(bucket_bytes, COMBINED_BYTES)), schema), "records")
     records = rows.where(F.col("content").isNotNull()).select("rep", "hash", "size", "content")
     groups = stored(_groups(records, bucket_bytes), "groups")
     members = rows.select("row_id", "id", "rep", "sha256")
