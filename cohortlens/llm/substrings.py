@@ -1,10 +1,10 @@
 """Suffix-array dedup of byte strings, with suffix arrays made by grouping (``lyndon``).
 
-Every window of ``least`` bytes is dealt by its own content: the least hash of its 16-byte strings (ties: the first) is its anchor, and the
+Every window of ``least`` bytes is dealt by its own content: the least hash of its strings of a quarter of the length (ties: the first) is its anchor, and the
 bytes that all windows with the anchor at about the same place have in common are its key. Equal windows so have equal keys,
 wherever they are. Windows next to each other with one anchor make a piece of text; a key that occurs once repeats nothing.
-Equal pieces are counted once. The distinct pieces of a key make one short string, whose suffix array puts equal windows
-side by side. A key with more than ``MOST`` distinct pieces is dealt anew: its pieces are cut by the place of the anchor, so that the
+Equal pieces are counted once. The distinct pieces of a key, if there are several, make one short string, whose suffix array puts equal
+windows side by side. A key with more than ``MOST`` distinct pieces is dealt anew: its pieces are cut by the place of the anchor, so that the
 parts have more bytes in common, down to single windows, whose equal ones are one piece. So no key is ever too large.
 """
 
@@ -21,17 +21,21 @@ from cohortlens.llm.store import stored, whole_text
 from cohortlens.llm.text import Powers, Ranges, byte_hashes, mixed, slices
 
 LEAST = 200
-GRAM = 16
 CHUNK = 1 << 18  # window starts that are worked out together; longer texts go in several
 STRINGS = 1 << 22  # bytes of strings that are ordered side by side
 MOST = 64  # distinct pieces of a key
-CUTS = (2, 8, 32)  # so many places of the anchor are told apart, and at last all
+CUTS = (1, 4, 16)  # so many places of the anchor are told apart, and at last all
 SEEN = 1 << 20  # pieces whose bytes a task remembers to have sent
 HOT = 256  # a key with more than one in so many rows is dealt to several tasks
 SALTS = 32
 BITS = 12  # of a number of windows, or a place in one
 
 
+def gram(least: int) -> int:
+    """Bytes of an anchor: long ones repeat less by chance, short ones leave more windows to each."""
+    return max(16, least // 4)
+
+
 def bounds(places: int, cuts: int) -> np.ndarray:
     """Edges of the classes into which the places of an anchor are cut."""
     cuts = min(cuts, places)
@@ -40,10 +44,11 @@ def bounds(places: int, cuts: int) -> np.ndarray:
 
 def anchors(data: np.ndarray, valid: np.ndarray, ranges: Ranges, least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First start, number and place of the anchor in the first, of neighbouring windows with one anchor; only ``valid`` starts."""
-    places = least - GRAM + 1
+    size = gram(least)
+    places = least - size + 1
     n = len(valid)
     with np.errstate(over="ignore"):
-        grams = mixed((ranges.upto[GRAM:] - ranges.upto[:-GRAM]) * ranges.down[: len(data) + 1 - GRAM])
+        grams = mixed((ranges.upto[size:] - ranges.upto[:-size]) * ranges.down[: len(data) + 1 - size])
     # the lower bits hold the place, so that the first of equal hashes is the least; a chunk has fewer than 2**20 bytes
     least_hash = (grams & ~np.uint64((1 << 20) - 1)) | np.arange(len(grams), dtype=np.uint64)
     reach = 1
@@ -84,7 +89,7 @@ def _pack(start: np.ndarray, count: np.ndarray, place: np.ndarray) -> np.ndarray
 
 def _anchored(least: int):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, values, edges = Powers(), byte_hashes(), bounds(least - GRAM + 1, CUTS[0])
+        powers, values, edges = Powers(), byte_hashes(), bounds(least - gram(least) + 1, CUTS[0])
         for batch in batches:
             for part in slices(batch["text"], CHUNK):
                 docs, key, place = [], [], []
@@ -115,6 +120,7 @@ def _anchored(least: int):
 
 
 PIECE = "key long, digest long, row_id long, start long, count int, place int, content binary"
+PART = "root_key long, root_digest long, n long, start int, key long, digest long, count int, place int, content binary"
 
 
 class Sent:
@@ -136,11 +142,6 @@ class Sent:
         return out
 
 
-def _batch(key, digest, row, start, count, place, content) -> pa.RecordBatch:
-    columns = [pa.array(key.view(np.int64)), pa.array(digest.view(np.int64)), pa.array(row), pa.array(start), pa.array(count, pa.int32()), pa.array(place, pa.int32()), pa.array(content, pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in PIECE.split(", ")])
-
-
 def _pieces(least: int):
     """Of each text the pieces whose keys occur more than once."""
 
@@ -161,7 +162,10 @@ def _pieces(least: int):
                     lo, hi = int(start[a]), int(end[b - 1])
                     digest = Ranges(data[lo:hi], values, powers)(start[a:b] - lo, end[a:b] - lo, 7) + count[a:b].astype(np.uint64)
                     content = sent(key[a:b], digest, start[a:b], end[a:b], memoryview(text))
-                    yield _batch(key[a:b], digest, np.full(b - a, batch["row_id"][i].as_py()), start[a:b], count[a:b], where[a:b], content)
+                    row = np.full(b - a, batch["row_id"][i].as_py())
+                    numbers = [key[a:b].view(np.int64), digest.view(np.int64), row, start[a:b], count[a:b].astype(np.int32), where[a:b].astype(np.int32)]
+                    columns = [*map(pa.array, numbers), pa.array(content, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "row_id", "start", "count", "place", "content"])
 
     return go
 
@@ -175,27 +179,31 @@ def _stretches(start: np.ndarray, end: np.ndarray, limit: int) -> Iterator[tuple
 
 
 def _split(least: int, cuts: int):
-    """Cut pieces further; ``content`` holds the bytes of each."""
+    """Cut distinct pieces further; a part knows the piece that it comes from, and where it starts in it."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, values, sent, edges = Powers(), byte_hashes(), Sent(), bounds(least - GRAM + 1, cuts)
+        powers, values, sent, edges = Powers(), byte_hashes(), Sent(), bounds(least - gram(least) + 1, cuts)
         for batch in batches:
             for part in slices(batch["content"], CHUNK):
                 own = batch.slice(part.first, part.n)
-                row, first, count, place = (own[c].to_numpy().astype(np.int64) for c in ("row_id", "start", "count", "place"))
+                count, place = (own[c].to_numpy().astype(np.int64) for c in ("count", "place"))
                 ranges = Ranges(part.data, values, powers)
                 of, start, n, where, kind = cut(part.offsets[:-1], count, place, edges)
                 key = keys(ranges, start, where, kind, edges, least)
                 end = start + n + least - 1
                 digest = ranges(start, end, 7) + n.astype(np.uint64)
                 content = sent(key, digest, start, end, memoryview(part.data))
-                yield _batch(key, digest, row[of], first[of] + start - part.offsets[of], n, where, content)
+                base = own["start"].to_numpy()[of] + (start - part.offsets[of]).astype(np.int32)
+                numbers = [own[c].to_numpy()[of] for c in ("root_key", "root_digest", "n")]
+                numbers += [base, key.view(np.int64), digest.view(np.int64), n.astype(np.int32), where.astype(np.int32)]
+                columns = [*map(pa.array, numbers), pa.array(content, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in PART.split(", ")])
 
     return go
 
 
 def _ordered(least: int):
-    """Windows of distinct pieces that occur more than once; rows of one key come together."""
+    """Windows of distinct pieces that occur more than once; rows of one key come together, in the order of their digests."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -205,9 +213,8 @@ def _ordered(least: int):
             if size > STRINGS:
                 table = pa.Table.from_batches(held).combine_chunks()
                 key = table["key"].to_numpy()
-                whole = int(np.searchsorted(-(key[::-1] == key[-1]).astype(np.int8), 0))
                 # the last key may go on
-                ready = len(key) - whole
+                ready = int(np.searchsorted(key, key[-1]))
                 if ready:
                     yield from repeated_windows(table.slice(0, ready), least)
                 held = table.slice(ready).combine_chunks().to_batches()
@@ -219,79 +226,124 @@ def _ordered(least: int):
 
 
 def repeated_windows(table: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
-    """``key, digest, first, last`` (windows of the piece, last exclusive) from ``key, digest, n, count, content``."""
+    """``key, digest, first, last`` (windows of the piece, last exclusive) from ``key, digest, n, count, content``.
+
+    A piece has a row with its numbers, and rows with its bytes from the tasks that met it, of which one is read.
+    """
     if not table.num_rows:
         return
-    key, digest, times, count = (table[c].to_numpy() for c in ("key", "digest", "n", "count"))
-    string = np.cumsum(np.concatenate([[True], key[1:] != key[:-1]])) - 1
-    sizes = np.diff(np.append(np.searchsorted(string, np.arange(string[-1] + 1)), len(string)))
-    contents = table["content"].to_pylist()
+    key, digest = (table[c].to_numpy() for c in ("key", "digest"))
+    numbers, bytes_ = (np.flatnonzero(table[c].is_valid().to_numpy()) for c in ("n", "content"))
+    new = np.concatenate([[True], (key[1:] != key[:-1]) | (digest[1:] != digest[:-1])])
+    piece = np.cumsum(new) - 1
+    content = np.full(piece[-1] + 1, -1)
+    content[piece[bytes_[::-1]]] = bytes_[::-1]
+    # pieces of keys that occur once have no numbers
+    own = numbers[content[piece[numbers]] >= 0]
+    content = content[piece[own]]
+    if not len(own):
+        return
+    key, digest = key[own], digest[own]
+    times, count = (table[c].take(pa.array(own)).to_numpy() for c in ("n", "count"))
+    turn = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    sizes = np.diff(np.append(turn, len(key)))
+    string = np.repeat(np.arange(len(turn)), sizes)
+    # one piece, as often as its key: all its windows are repeated, and there is nothing to put in order
+    alone = np.flatnonzero(sizes[string] == 1)
+    alone = alone[times[alone] > 1]
+    if len(alone):
+        columns = [pa.array(x) for x in (key[alone], digest[alone], np.zeros(len(alone), np.int32), count[alone].astype(np.int32))]
+        yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "first", "last"])
+    contents = table["content"]
     # strings of like size side by side: the longest one says how many steps there are
     kind = np.frexp(sizes[string])[1]
-    for size in np.unique(kind):
-        yield from _windows(np.flatnonzero(kind == size), string, contents, key, digest, times, count, least)
+    for size in np.unique(kind[sizes[string] > 1]):
+        rows = np.flatnonzero((kind == size) & (sizes[string] > 1))
+        texts = contents.take(pa.array(content[rows])).to_pylist()
+        yield from _windows(texts, string[rows], key[rows], digest[rows], times[rows], count[rows], least)
 
 
-def _windows(rows, string, contents, key, digest, times, count, least) -> Iterator[pa.RecordBatch]:
-    data = b"".join(contents[r] + b"\0" for r in rows)
-    data = np.frombuffer(data, np.uint8)
-    length = np.array([len(contents[r]) + 1 for r in rows], np.int64)
+def _windows(contents: list[bytes], string: np.ndarray, key: np.ndarray, digest: np.ndarray, times: np.ndarray, count: np.ndarray, least: int) -> Iterator[pa.RecordBatch]:
+    data = np.frombuffer(b"".join(c + b"\0" for c in contents), np.uint8)
+    length = np.array([len(c) + 1 for c in contents], np.int64)
     begin = np.cumsum(length) - length
     symbols = data.astype(np.int64) + 1
     symbols[begin + length - 1] = 0
-    turn = np.flatnonzero(np.concatenate([[True], string[rows][1:] != string[rows][:-1]]))
+    turn = np.flatnonzero(np.concatenate([[True], string[1:] != string[:-1]]))
     order = lyndon.suffix_orders(symbols, np.append(begin[turn], len(data)))
-    own = count[rows].astype(np.int64)
+    own = count.astype(np.int64)
     windows = lyndon.ranges(begin, own)
     judged = np.zeros(len(data), bool)
     judged[windows] = True
     again = lyndon.equal_neighbours(data, order, judged, least)
     # a piece that occurs twice repeats all its windows
-    hit = again[windows] | np.repeat(times[rows] > 1, own)
-    piece, place = np.repeat(np.arange(len(rows)), own), np.arange(len(windows)) - np.repeat(np.cumsum(own) - own, own)
+    hit = again[windows] | np.repeat(times > 1, own)
+    piece, place = np.repeat(np.arange(len(own)), own), np.arange(len(windows)) - np.repeat(np.cumsum(own) - own, own)
     edge = np.flatnonzero(hit & ~np.concatenate([[False], hit[:-1] & (piece[1:] == piece[:-1])]))
     last = np.flatnonzero(hit & ~np.concatenate([hit[1:] & (piece[1:] == piece[:-1]), [False]]))
-    r = rows[piece[edge]]
+    r = piece[edge]
     columns = [pa.array(key[r]), pa.array(digest[r]), pa.array(place[edge], pa.int32()), pa.array(place[last] + 1, pa.int32())]
     yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "first", "last"])
 
 
-def _matched(left: DataFrame, right: DataFrame, on: list[str], counts: DataFrame) -> DataFrame:
-    """Inner join of many rows with few of each key; ``counts`` has the rows ``n`` of each ``key`` on the left. Hot keys are dealt out."""
+def _matched(left: DataFrame, right: DataFrame, on: list[str], counts: DataFrame, by: str) -> DataFrame:
+    """Inner join of many rows with few of each key; ``counts`` has the rows ``n`` of each ``key`` on the left. Hot keys are dealt out by ``by``."""
     total = counts.agg(F.sum("n")).first()[0] or 0
     # fewer than HOT keys have more than one row in HOT
     hot = [r[0] for r in counts.where(F.col("n") > max(total / HOT, 10_000)).select("key").collect()]
     if not hot:
         return left.join(right, on)
     is_hot = F.col("key").isin(hot)
-    salted = left.withColumn("_s", F.when(is_hot, F.pmod(F.xxhash64("row_id"), F.lit(SALTS))).otherwise(0).cast("int"))
+    salted = left.withColumn("_s", F.when(is_hot, F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(0).cast("int"))
     every = right.withColumn("_s", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
     return salted.join(every, [*on, "_s"]).drop("_s")
 
 
-def _marks(pieces: DataFrame, least: int) -> DataFrame:
-    """``row_id, first, last`` (starts of repeated windows in the text, last exclusive) from the pieces of repeated keys."""
-    out, levels = None, [c for c in CUTS[1:] if c < least - GRAM + 1] + [least - GRAM + 1]
+NAME = ["key", "digest"]
+
+
+def _contents(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """``key, digest, content``, once for each distinct piece of some keys. A task has sent a piece's bytes about once."""
+    sent = rows.where(F.col("content").isNotNull()).select(*NAME, "content").join(keys.select("key"), "key")
+    return sent.groupBy(*NAME).agg(F.first("content").alias("content"))
+
+
+def _windows_of(pieces: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
+    """``key, digest, first, last`` (repeated windows of a piece, last exclusive), and ``key, n`` of the pieces."""
+    # numbers only; a piece that many texts have is summed in each task before anything moves
+    distinct = stored(pieces.groupBy(*NAME).agg(F.count("*").alias("n"), F.min("count").alias("count"), F.min("place").alias("place")), "distinct_pieces")
+    counts = occurring = stored(distinct.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("pieces")).where("n > 1"), "pieces_of_keys")
+    places = least - gram(least) + 1
+    rows, parts, out, levels = pieces, None, None, [c for c in CUTS[1:] if c < places] + [places]
     while True:
-        distinct = stored(
-            pieces.groupBy("key", "digest").agg(F.count("*").alias("n"), F.first("count").alias("count"), F.first("content", ignorenulls=True).alias("content")), "distinct_pieces"
-        )
-        counts = stored(distinct.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("pieces")).where("n > 1"), "pieces_of_keys")
-        large = counts.where(F.col("pieces") > MOST) if levels else None
-        if large is not None and large.isEmpty():
+        large = counts.where(F.col("pieces") > MOST).select("key")
+        if not levels or large.isEmpty():
             large = None
-        fits = counts if large is None else counts.where(F.col("pieces") <= MOST)
-        strings = distinct.join(fits.select("key"), "key").repartition("key").sortWithinPartitions("key", "digest")
-        windows = stored(strings.mapInArrow(_ordered(least), "key long, digest long, first int, last int"), "windows")
-        hits = _matched(pieces.select("key", "digest", "row_id", "start"), windows, ["key", "digest"], fits)
-        hits = hits.select("row_id", (F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last")).alias("last"))
-        out = hits if out is None else out.unionByName(hits)
+        numbers = distinct.join(counts.select("key"), "key").select(*NAME, "n", "count", F.lit(None).cast("binary").alias("content"))
+        sent = rows.where(F.col("content").isNotNull()).select(*NAME, F.lit(None).cast("long").alias("n"), F.lit(None).cast("int").alias("count"), "content")
+        strings = numbers.unionByName(sent)
+        if large is not None:
+            strings = strings.join(large, "key", "left_anti")
+        strings = strings.repartition("key").sortWithinPartitions(*NAME)
+        found = strings.mapInArrow(_ordered(least), "key long, digest long, first int, last int")
+        if parts is not None:
+            # windows of parts are windows of the pieces that they come from
+            shift = [(F.col("start") + F.col(c)).alias(c) for c in ("first", "last")]
+            own = _matched(parts.select("root_key", "root_digest", "start", *NAME), stored(found, "windows_of_parts"), NAME, counts, "root_digest")
+            found = own.select(F.col("root_key").alias("key"), F.col("root_digest").alias("digest"), *shift)
+        out = found if out is None else out.unionByName(found)
         if large is None:
-            return out
-        # the bytes come back to the pieces of the large keys, which are cut further
-        whole = distinct.join(large.select("key"), "key").select("key", "digest", "content")
-        again = _matched(pieces.drop("content"), whole, ["key", "digest"], large)
-        pieces = stored(again.select("row_id", "start", "count", "place", "content").mapInArrow(_split(least, levels.pop(0)), PIECE), "pieces")
+            return stored(out, "windows"), occurring
+        if parts is None:
+            one = distinct.select(F.col("key").alias("root_key"), F.col("digest").alias("root_digest"), "n", F.lit(0).alias("start"), *NAME, "count", "place")
+        else:
+            one = parts.drop("content")
+        wanted = counts.join(large, "key")
+        whole = _matched(one, _contents(rows, wanted), NAME, wanted, "root_digest")
+        cut_ = whole.select("root_key", "root_digest", "n", "start", "count", "place", "content").mapInArrow(_split(least, levels.pop(0)), PART)
+        rows = parts = stored(cut_, "parts")
+        distinct = stored(parts.groupBy(*NAME).agg(F.sum("n").alias("n"), F.min("count").alias("count")), "distinct_parts")
+        counts = stored(distinct.groupBy("key").agg(F.sum("n").alias("n"), F.count("*").alias("pieces")).where("n > 1"), "parts_of_keys")
 
 
 def _cut(least: int):
@@ -340,10 +392,13 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     each = rows.select("row_id", F.explode(F.arrays_zip("keys", "places")).alias("x")).select("row_id", F.col("x.keys").alias("key"), F.col("x.places").alias("place"))
     # counts only: summed in each task before anything moves
     repeated = stored(each.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "repeated")
-    found = _matched(each, repeated.select("key"), ["key"], repeated)
+    found = _matched(each, repeated.select("key"), ["key"], repeated, "row_id")
     # at most as many as the text has pieces
     by_row = found.groupBy("row_id").agg(F.collect_list(F.struct("key", "place")).alias("found"))
     pieces = stored(rows.select("row_id", "text").join(by_row, "row_id").select("row_id", "text", "found").mapInArrow(_pieces(least), PIECE), "pieces")
-    marks = _marks(pieces, least).groupBy("row_id").agg(F.collect_list(F.struct("first", "last")).alias("found"))
+    windows, occurring = _windows_of(pieces, least)
+    hits = _matched(pieces.select(*NAME, "row_id", "start"), windows, NAME, occurring, "row_id")
+    ranges = F.struct((F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last")).alias("last"))
+    marks = hits.groupBy("row_id").agg(F.collect_list(ranges).alias("found"))
     out = rows.select("row_id", "id", "text").join(marks, "row_id", "left").select("id", "text", "found")
     return out.mapInArrow(_cut(least), f"id {id_type}, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
