@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from cohortlens.llm.store import BLOCKS, added, in_blocks, numbered, stored, without
 from cohortlens.llm.text import Hasher, Slice, slices, windows, words
@@ -207,26 +207,39 @@ def open_groups(sets: DataFrame, classes: DataFrame, members: DataFrame, queries
     return rows.select("gid", "part", "role", "cid", "comp", "tokens").groupBy("gid", "part").applyInArrow(_open(percent), "a long, b long")
 
 
-def contracted(labels: DataFrame, links: DataFrame, name: str) -> DataFrame:
-    """``cid, comp`` after joining the components that ``links`` (``a, b``) connect; the least cid names a component."""
-    edge = links.join(labels.select(F.col("cid").alias("a"), F.col("comp").alias("u")), "a").join(labels.select(F.col("cid").alias("b"), F.col("comp").alias("v")), "b")
-    edge = edge.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    edge = stored(edge.unionByName(edge.select(F.col("v").alias("u"), F.col("u").alias("v"))), f"{name}_edges")
-    if edge.isEmpty():
-        return labels
-    to = stored(edge.groupBy(F.col("u").alias("x")).agg(F.least(F.min("v"), F.col("x")).alias("to")), f"{name}_to")
-    step = 0
-    while True:
+def pointed(links: DataFrame) -> DataFrame:
+    """``cid, top`` from links ``a`` to its leader ``b``: the leader's leader's ... leader, four steps up. Leaders have more weight, so no way is a circle.
+
+    A family that takes more steps is left in several groups, which the matrix compares.
+    """
+    up = stored(links.select(F.col("a").alias("cid"), F.col("b").alias("top")), "leaders")
+    # only a leader's own way goes on
+    way = up.join(up.select(F.col("top").alias("cid")).distinct(), "cid")
+    for _ in range(2):
+        on = way.select(F.col("cid").alias("top"), F.col("top").alias("next"))
+        way = way.join(on, "top", "left").select("cid", F.coalesce("next", "top").alias("top"))
+    on = way.select(F.col("cid").alias("top"), F.col("top").alias("next"))
+    return up.join(on, "top", "left").select("cid", F.coalesce("next", "top").alias("top"))
+
+
+def contracted(links: DataFrame) -> DataFrame:
+    """``cid, comp`` of all that ``links`` (``a, b``) touch; the least cid names a component."""
+    edge = links.where("a <> b").select(F.least("a", "b").alias("u"), F.greatest("a", "b").alias("v")).distinct()
+    edge = stored(edge.unionByName(edge.select(F.col("v").alias("u"), F.col("u").alias("v"))), "edges")
+    to = stored(edge.groupBy(F.col("u").alias("x")).agg(F.least(F.min("v"), F.col("x")).alias("to")), "to")
+    step, changed = 0, True
+    while changed:
         # the least name among the neighbours, then the name of that one
         seen = edge.join(to.select(F.col("x").alias("v"), "to"), "v").groupBy(F.col("u").alias("x")).agg(F.min("to").alias("near"))
         lower = to.join(seen, "x").select("x", F.least("to", "near").alias("mid"), F.col("to").alias("was"))
         jump = to.select(F.col("x").alias("mid"), F.col("to").alias("jump"))
         step += 1
-        moved = stored(lower.join(jump, "mid", "left").select("x", F.least("mid", F.coalesce("jump", "mid")).alias("to"), "was"), f"{name}_{step}")
-        to = moved.select("x", "to")
-        if moved.where("to <> was").isEmpty():
-            break
-    return labels.join(to.withColumnRenamed("x", "comp"), "comp", "left").select("cid", F.coalesce("to", "comp").alias("comp"))
+        # the write itself counts what moved: no job of its own for that
+        moves = Observation()
+        moved = lower.join(jump, "mid", "left").select("x", F.least("mid", F.coalesce("jump", "mid")).alias("to"), "was")
+        to = stored(moved.observe(moves, F.count(F.when(F.col("to") != F.col("was"), 1)).alias("n")), f"step_{step}").select("x", "to")
+        changed = moves.get["n"] > 0
+    return to.withColumnsRenamed({"x": "cid", "to": "comp"})
 
 
 def components(
@@ -262,7 +275,11 @@ def components(
     wanted = stored(many.where(F.col("count") >= enough).drop("count"), "active")
     mark = F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")))
     marks = added(wanted.select(mark.bitwiseXOR(F.col("high")).alias("mark")).mapInArrow(_marks, BLOCKS), SKETCH, "i8") > 0
-    sets = stored(texts.select("text", mark.alias("mark")).mapInArrow(_sets(spark.sparkContext.broadcast(marks), ngram), "high long, low long, tokens binary"), "sets")
+    marked = spark.sparkContext.broadcast(marks)
+    sets = stored(texts.select("text", mark.alias("mark")).mapInArrow(_sets(marked, ngram), "high long, low long, tokens binary"), "sets")
+    # what is written needs them no more
+    sketch.unpersist()
+    marked.unpersist()
     postings = common.join(wanted.select("cid", "n", "leading"), "cid")
     # the class whose tokens are shared the most is the middle of its family
     held = postings.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
@@ -276,8 +293,8 @@ def components(
     # linked sets share most of what leads them; what this misses is left to the matrix
     queries = best.where(2 * F.col("count") >= F.col("leading")).select("gid", "cid")
     leaders = queries.select("gid").distinct().withColumn("cid", F.col("gid"))
-    links = stored(open_groups(sets, classes_, leaders, queries, percent), "group_links")
-    labels = contracted(classes_.select("cid", "comp"), links, "group")
+    led = stored(open_groups(sets, classes_, leaders, queries, percent), "group_links")
+    labels = classes_.select("cid").join(pointed(led), "cid", "left").select("cid", F.coalesce("top", "cid").alias("comp"))
     near = classes_.drop("comp").join(best.select("cid", F.col("gid").alias("near")), "cid", "left")
     classes_ = stored(near.withColumn("near", F.coalesce("near", "cid")).join(labels, "cid"), "groups")
     # the matrix: tokens that lie in several groups, and the blocks of neighbours that have them
@@ -295,7 +312,7 @@ def components(
     shares = left.drop("gid").join(matrix, "token").where(F.col("own") < F.col("most")).groupBy("gid", "cid", "n").count()
     queries = stored(shares.where(F.col("count") >= enough).select("gid", "cid"), "matrix_queries")
     links = stored(open_groups(sets, classes_, blocks.select("gid", "cid"), queries, percent), "matrix_links")
-    labels = stored(contracted(classes_.select("cid", "comp"), links, "matrix"), "matrix_labels")
+    labels = contracted(led.unionByName(links))
     named = classes.join(labels, "cid", "left").withColumn("comp", F.coalesce("comp", "cid"))
     least = named.groupBy("comp").agg(F.min("least").alias("component_id"))
     by_class = named.join(least, "comp").select("high", "low", "component_id", F.col("comp").alias("component"))
