@@ -5,8 +5,9 @@ from __future__ import annotations
 import hashlib
 import itertools
 import json
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from statistics import fmean, pstdev
 
 from pyspark import StorageLevel
@@ -17,12 +18,14 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 
 from cohortlens.functions.columns import ratio
+from cohortlens.functions.seeded import lowest_mask
 from cohortlens.operators.frame import Roles, min_max_score
 from cohortlens.operators.metrics import roc_auc
 from cohortlens.operators.pairs import nearest, vote
 from cohortlens.operators.prep import feature_names, fit_prep
-from cohortlens.operators.splits import check_folds, row_cap, with_folds
-from cohortlens.session import spread, written
+from cohortlens.operators.splits import check_folds, with_folds
+from cohortlens.session import shared_folder, spread, written
+from cohortlens.worklist import Worklist, data_fingerprint, fingerprint
 
 SEED = 42
 KNN_ROWS = 50_000
@@ -165,16 +168,20 @@ def fit_model(name: str, train: DataFrame, roles: Roles, params: dict | None = N
         label = most_frequent(train).first()["prediction"]
         return PipelineModel([SQLTransformer(statement=f"SELECT *, {label!r}D AS prediction FROM __THIS__")])
     prep = fit_prep(train, roles)
+    return _fit_prepared(name, params, prep, prep.transform(train).select(row_key, "y", "features"), seed, row_key)
+
+
+def _fit_prepared(name: str, params: dict, prep: PipelineModel, prepared: DataFrame, seed: int, row_key: str):
+    """The classifier on rows ``row_key, y, features``, after their preparation."""
     if name == "knn":
-        base = prep.transform(train).select(F.col(row_key).alias("id"), vector_to_array("features").alias("v"), F.col("y").cast("double").alias("y"))
+        base = prepared.select(F.col(row_key).alias("id"), vector_to_array("features").alias("v"), F.col("y").cast("double").alias("y"))
         return KnnModel(prep, written(base, "knn_base"), params, row_key)
-    n_rows = train.count()
-    prepared = spread(prep.transform(train).select(row_key, "y", "features"), row_key)
-    prepared.persist(StorageLevel.MEMORY_AND_DISK)
+    n_rows = prepared.count()
+    rows = spread(prepared, n_rows, row_key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fitted = _fit_on_features(name, params, prepared, n_rows, seed)
+        fitted = _fit_on_features(name, params, rows, n_rows, seed)
     finally:
-        prepared.unpersist()
+        rows.unpersist()
     return PipelineModel([*prep.stages, fitted])
 
 
@@ -200,41 +207,138 @@ def draws(space: dict[str, list], n: int, seed: int = SEED) -> list[dict]:
     return sorted(every, key=lambda p: hashlib.md5(f"{seed}:{json.dumps(p)}".encode()).hexdigest())[: max(1, n)]
 
 
-def _fold_scores(name: str, settings: list[dict], train: DataFrame, valid: DataFrame, roles: Roles, seed: int, row_key: str, parallelism: int):
-    """AUC of every setting on one fold; preparation is fitted once, all settings are scored in one job."""
-    prep = fit_prep(train, roles)
+@dataclass
+class FoldMatrices:
+    """The group folds of one training set as prepared matrices, written once and read by all candidates.
+
+    A matrix has ``row_key, y, features, held, capped``: whether the row is held out, and whether it is among the ``knn_rows`` that the
+    nearest-neighbor model may keep. Preparation is fitted on the rows that are not held out. Matrix None is that of all rows.
+    """
+
+    train: DataFrame
+    roles: Roles
+    work: Worklist
+    k: int = FOLDS
+    group: str = "group_id"
+    row_key: str = "row_id"
+    seed: int = SEED
+    knn_rows: int | None = KNN_ROWS
+
+    def folded(self) -> DataFrame:
+        def make() -> DataFrame:
+            out = with_folds(self.train, self.k, self.group, row_key=self.row_key, seed=self.seed)
+            cap = F.lit(True) if self.knn_rows is None else lowest_mask(self.train.select(self.row_key), self.seed, self.row_key, F.lit(self.knn_rows))
+            return out.withColumn("capped", cap)
+
+        out = self.work.table("folded", make)
+        self.work.unit("folds_checked", lambda: check_folds(out, self.k))
+        return out
+
+    def prep(self, fold: int | None) -> PipelineModel:
+        path = self.work.path(f"prep_{fold}")
+
+        def fit() -> None:
+            rows = self.folded()
+            fit_prep(rows if fold is None else rows.where(F.col("fold") != fold), self.roles).write().overwrite().save(path)
+
+        self.work.unit(f"prep:{fold}", fit)
+        return PipelineModel.load(path)
+
+    def matrix(self, fold: int | None) -> DataFrame:
+        held = F.lit(False) if fold is None else F.col("fold") == fold
+        return self.work.table(
+            f"matrix_{fold}", lambda: self.prep(fold).transform(self.folded()).select(self.row_key, "y", "features", held.alias("held"), "capped")
+        )
+
+    def fit_rows(self, name: str, fold: int | None) -> DataFrame:
+        rows = self.matrix(fold).where("not held")
+        return (rows.where("capped") if name == "knn" else rows).select(self.row_key, "y", "features")
+
+    def held_rows(self, name: str, fold: int) -> DataFrame:
+        rows = self.matrix(fold).where("held")
+        return (rows.where("capped") if name == "knn" else rows).select(self.row_key, "y", "features")
+
+
+def _fold_scores(name: str, settings: list[dict], folds: FoldMatrices, fold: int) -> list[float]:
+    """AUC of every setting on one fold; all settings are scored in one job."""
+    key, train, held = folds.row_key, folds.fit_rows(name, fold), folds.held_rows(name, fold)
+    parts, kept = [], []
     if name == "knn":
-        base = prep.transform(train).select(F.col(row_key).alias("id"), vector_to_array("features").alias("v"), F.col("y").cast("double").alias("y"))
-        queries = prep.transform(valid).select(F.col(row_key).alias("id"), vector_to_array("features").alias("v"))
-        parts = []
+        base = train.select(F.col(key).alias("id"), vector_to_array("features").alias("v"), F.col("y").cast("double").alias("y"))
+        queries = held.select(F.col(key).alias("id"), vector_to_array("features").alias("v"))
         for metric in sorted({p["metric"] for p in settings}):
             # one neighbor search answers every k and every way to vote
             most = max(p["k"] for p in settings if p["metric"] == metric)
             found = written(nearest(queries, base, most, metric), "neighbors")
             for i, p in enumerate(settings):
                 if p["metric"] == metric:
-                    votes = vote(found, p["k"], p["weights"]).withColumnRenamed("id", row_key)
-                    parts.append(valid.select(row_key, "y").join(votes, row_key).select(F.lit(i).alias("draw"), "y", "score"))
+                    votes = vote(found, p["k"], p["weights"]).withColumnRenamed("id", key)
+                    parts.append(held.select(key, "y").join(votes, key).select(F.lit(i).alias("draw"), "y", "score"))
     else:
         n_rows = train.count()
-        fit_rows = spread(prep.transform(train).select(row_key, "y", "features"), row_key).persist(StorageLevel.MEMORY_AND_DISK)
-        held = prep.transform(valid).select("y", "features").persist(StorageLevel.MEMORY_AND_DISK)
-        with ThreadPoolExecutor(parallelism) as pool:
-            fitted = list(pool.map(lambda p: _fit_on_features(name, p, fit_rows, n_rows, seed), settings))
-        parts = [
-            m.transform(held).select(F.lit(i).alias("draw"), "y", vector_to_array("probability")[1].alias("score"))
-            for i, m in enumerate(fitted)
-        ]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    out = {r["draw"]: r["roc_auc"] for r in roc_auc(rows, by=["draw"]).collect()}  # one row per setting
-    if name != "knn":
-        fit_rows.unpersist()
-        held.unpersist()
+        rows = spread(train, n_rows, key).persist(StorageLevel.MEMORY_AND_DISK)
+        kept = [rows, held.persist(StorageLevel.MEMORY_AND_DISK)]
+        for i, p in enumerate(settings):
+            model = _fit_on_features(name, p, rows, n_rows, folds.seed)
+            parts.append(model.transform(held).select(F.lit(i).alias("draw"), "y", vector_to_array("probability")[1].alias("score")))
+    scored = reduce(DataFrame.unionByName, parts)
+    out = {r["draw"]: r["roc_auc"] for r in roc_auc(scored, by=["draw"]).collect()}  # one row per setting
+    for df in kept:
+        df.unpersist()
     return [out[i] for i in range(len(settings))]
 
 
+def search_all(
+    names: Sequence[str],
+    folds: FoldMatrices,
+    n_draws: int = DRAWS,
+    spaces: dict[str, dict[str, list]] | None = None,
+) -> list[Candidate]:
+    """Seeded random search of every candidate by mean AUC over the folds, then a fit on all training rows.
+
+    Each candidate and fold is a unit of ``folds.work``, and so is each last fit: a run that is taken up again repeats none that has ended.
+    """
+    work, seed, spaces = folds.work, folds.seed, SPACES if spaces is None else spaces
+    settings = {n: [{**DEFAULTS[n], **p} for p in draws(spaces[n], n_draws, seed)] if spaces.get(n) else [] for n in names}
+    searched = [n for n in names if settings[n]]
+    if searched:
+        work.units({f"matrix:{f}": (lambda f=f: folds.matrix(f).count()) for f in range(folds.k)})
+    named = {(n, f): f"search:{n}:{f}:{fingerprint(settings[n])}" for n in searched for f in range(folds.k)}
+    scores = work.units({unit: (lambda n=n, f=f: _fold_scores(n, settings[n], folds, f)) for (n, f), unit in named.items()})
+    best = {}
+    for n in searched:
+        means = [fmean(scores[named[n, f]][i] for f in range(folds.k)) for i in range(len(settings[n]))]
+        best[n] = max(range(len(means)), key=lambda i: means[i])
+
+    def last(n: str) -> int:
+        chosen = settings[n][best[n]] if n in best else {}
+        if n == "dummy":
+            model, rows = fit_model(n, folds.train, folds.roles), folds.train
+        else:
+            rows = folds.fit_rows(n, None)
+            model = _fit_prepared(n, {**DEFAULTS[n], **chosen}, folds.prep(None), rows, seed, folds.row_key)
+        path = work.path(f"model_{n}")
+        model.save(path) if isinstance(model, KnnModel) else model.write().overwrite().save(path)
+        return rows.count()
+
+    fits = {n: f"model:{n}:{fingerprint(settings[n][best[n]] if n in best else {})}" for n in names}
+    if any(n != "dummy" for n in names):
+        folds.matrix(None)
+    rows = work.units({fits[n]: (lambda n=n: last(n)) for n in names})
+    out = []
+    for n in names:
+        path = work.path(f"model_{n}")
+        model = KnnModel.load(work.spark, path) if n == "knn" else PipelineModel.load(path)
+        if n not in best:
+            out.append(Candidate(n, model, n_train=rows[fits[n]]))
+            continue
+        table = [scores[named[n, f]] for f in range(folds.k)]
+        mean, spread_ = fmean(fold[best[n]] for fold in table), pstdev(fold[best[n]] for fold in table)
+        lines = [(json.dumps(settings[n][i]), f, table[f][i]) for f in range(folds.k) for i in range(len(settings[n]))]
+        out.append(Candidate(n, model, settings[n][best[n]], mean, spread_, rows[fits[n]], lines))
+    return out
+
+
 def search(
     name: str,
     train: DataFrame,
@@ -245,37 +349,15 @@ def search(
     row_key: str = "row_id",
     seed: int = SEED,
     knn_rows: int | None = KNN_ROWS,
-    parallelism: int = 2,
     space: dict[str, list] | None = None,
+    folder: str | None = None,
 ) -> Candidate:
-    """Seeded random search by mean AUC over group folds, then a fit on all training rows."""
-    rows = row_cap(train, knn_rows, row_key, seed) if name == "knn" else train
-    n_train = rows.count()
-    space = SPACES.get(name) if space is None else space
-    if not space:
-        return Candidate(name, fit_model(name, rows, roles, seed=seed, row_key=row_key), n_train=n_train)
-    settings = [{**DEFAULTS[name], **p} for p in draws(space, n_draws, seed)]
-    folded = with_folds(rows, k, group, row_key=row_key, seed=seed).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        check_folds(folded, k)
-        table = [
-            _fold_scores(name, settings, folded.where(F.col("fold") != f), folded.where(F.col("fold") == f), roles, seed, row_key, parallelism)
-            for f in range(k)
-        ]
-    finally:
-        folded.unpersist()
-    means = [fmean(fold[i] for fold in table) for i in range(len(settings))]
-    best = max(range(len(settings)), key=lambda i: means[i])
-    scores = [(json.dumps(settings[i]), f, table[f][i]) for f in range(k) for i in range(len(settings))]
-    return Candidate(
-        name,
-        fit_model(name, rows, roles, settings[best], seed, row_key),
-        settings[best],
-        means[best],
-        pstdev(fold[best] for fold in table),
-        n_train,
-        scores,
-    )
+    """The search of one candidate; with ``folder`` it can be taken up again there."""
+    spark = train.sparkSession
+    facts = fingerprint(data_fingerprint(train), vars(roles), k, group, row_key, seed, knn_rows)
+    work = Worklist(spark, folder or shared_folder(spark), facts)
+    folds = FoldMatrices(train, roles, work, k, group, row_key, seed, knn_rows)
+    return search_all([name], folds, n_draws, None if space is None else {name: space})[0]
 
 
 def cv_summary(fold_rows: DataFrame, by: str = "params") -> DataFrame:

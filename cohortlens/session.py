@@ -52,15 +52,13 @@ def written(df, label: str = "step", partition_by: str | None = None):
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
 
 
-FIT_PARTITIONS = "cohortlens.fit.partitions"  # session setting; a job on a large cluster sets it once and for all its runs
+PARTITION_ROWS = 1 << 16  # rows of a training set in one partition
 
 
-def spread(df, key: str | None = None, parts: int | None = None):
-    """Deal rows to ``parts`` partitions by a hash of ``key`` (all columns without one), in key order within each.
+def spread(df, rows: int, key: str | None = None, partition_rows: int = PARTITION_ROWS):
+    """Deal the ``rows`` rows to partitions by a hash of ``key`` (all columns without one), in key order within each.
 
-    Fits that draw per partition then depend on the data and this number alone, not on files, cores or the number of rows.
-    Without ``parts`` it is the session's setting, 16 where there is none.
+    Fits that draw per partition then depend on the data alone, not on files or cores. The number of partitions grows with the rows.
     """
-    parts = parts or int(df.sparkSession.conf.get(FIT_PARTITIONS, "16"))
     by = [key] if key else df.columns
-    return df.repartition(parts, F.xxhash64(*by)).sortWithinPartitions(F.xxhash64(*by), *([key] if key else []))
+    return df.repartition(max(1, -(-rows // partition_rows)), F.xxhash64(*by)).sortWithinPartitions(F.xxhash64(*by), *([key] if key else []))

@@ -13,6 +13,7 @@ from cohortlens.operators.frame import Roles
 from cohortlens.plans import experiment, profiling
 from cohortlens.session import shared_folder
 from cohortlens.sources import sinks
+from cohortlens.worklist import Worklist, data_fingerprint
 
 from .conftest import rows
 
@@ -272,16 +273,16 @@ def test_experiment_end_to_end(spark, learnable):
     )
     out = shared_folder(spark)
     small = {"learning_rows": 300, "explain_rows": 300, "attribution_rows": 50}
-    found = experiment.run(
-        raw,
-        out=out,
-        candidates=("dummy", "logistic", "random_forest", "knn"),
-        n_draws=1,
-        folds=2,
-        cluster_features=("predicted_rate", "lag1_rate", "n_units"),
-        cluster_args={"k_range": (2, 3), "restarts": 1},
+    options = {
+        "candidates": ("dummy", "logistic", "random_forest", "knn"),
+        "n_draws": 1,
+        "folds": 2,
+        "cluster_features": ("predicted_rate", "lag1_rate", "n_units"),
+        "cluster_args": {"k_range": (2, 3), "restarts": 1},
+        "folder": shared_folder(spark),
         **small,
-    )
+    }
+    found = experiment.run(raw, out=out, **options)
     assert "same_year_level" not in found.roles.features and "flat" not in found.roles.features
     compared = {r["model"]: r for r in found.comparison.collect()}
     assert compared["dummy"]["roc_auc"] == 0.5 and compared["logistic"]["roc_auc"] > 0.75
@@ -291,6 +292,46 @@ def test_experiment_end_to_end(spark, learnable):
         assert spark.read.csv(f"{out}/reports/{name}", header=True).count() > 0
     assert spark.read.json(f"{out}/reports/model_search").count() == 4
     assert spark.read.json(f"{out}/reports/model_metrics").where("champion").count() == 1
+    # a second run reads the records and fits nothing
+    fits = []
+    with pytest.MonkeyPatch.context() as patch:
+        for owner, name in ((models, "fit_prep"), (models, "_fit_on_features"), (cluster, "best_of")):
+            patch.setattr(owner, name, lambda *a, n=name, **b: fits.append(n) or 1 / 0)
+        again = experiment.run(raw.repartition(5), **options)
+        assert again.work.worked == [] and fits == []
+        assert sorted(map(str, again.comparison.collect())) == sorted(map(str, found.comparison.collect()))
+        assert sorted(map(str, again.clustering.assigned.collect())) == sorted(map(str, found.clustering.assigned.collect()))
+    # other settings are another job
+    other = experiment.run(raw, **{**options, "candidates": ("dummy", "logistic"), "extras": False, "n_draws": 2})
+    assert {c.name for c in other.candidates} == {"dummy", "logistic"} and other.work.folder != found.work.folder
+
+
+def test_a_search_is_taken_up_where_it_was_cut_off(spark, learnable):
+    folder, whole = shared_folder(spark), models._fold_scores
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(models, "_fold_scores", lambda name, settings, folds, fold: whole(name, settings, folds, fold) if fold < 2 else 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            models.search("logistic", learnable, ROLES, n_draws=2, k=3, folder=folder)
+    done = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(models, "_fold_scores", lambda name, settings, folds, fold: done.append(fold) or whole(name, settings, folds, fold))
+        found = models.search("logistic", learnable, ROLES, n_draws=2, k=3, folder=folder)
+    assert done == [2]
+    plain = models.search("logistic", learnable, ROLES, n_draws=2, k=3)
+    assert plain.fold_scores == found.fold_scores and plain.cv_roc_auc == found.cv_roc_auc
+
+
+def test_units_of_a_job(spark):
+    folder = shared_folder(spark)
+    work = Worklist(spark, folder, "job")
+    calls = []
+    make = lambda: calls.append("t") or spark.range(7)
+    todo = {f"u {i}": (lambda i=i: calls.append(i) or [i, work.table("t", make).count()]) for i in range(6)}
+    assert work.units(todo) == {f"u {i}": [i, 7] for i in range(6)} and sorted(map(str, calls)) == ["0", "1", "2", "3", "4", "5", "t"]
+    later = Worklist(spark, folder, "job")
+    assert later.units(todo) == {f"u {i}": [i, 7] for i in range(6)} and len(calls) == 7 and later.worked == []
+    assert later.table("t", make).count() == 7 and later.maybe_table("none", lambda: None) is None
+    assert data_fingerprint(spark.range(9)) == data_fingerprint(spark.range(9).repartition(4)) != data_fingerprint(spark.range(8))
 
 
 def test_profiling_end_to_end(spark, learnable):
