@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.catalog.metrics import MODELS_SQL, long_scores
 from cohortlens.catalog.registry import query, r6, with_
-from cohortlens.operators import cluster, decide, frame, metrics, models, pairs, prep, splits
+from cohortlens.operators import balls, cluster, decide, frame, metrics, models, pairs, prep, splits
 from cohortlens.plans.bindings import (
     SCORED_EVENTS_SQL,
     SCORED_ORDERS_SQL,
@@ -302,7 +302,7 @@ SELECT id, cluster, round(CASE WHEN size = 1 THEN 0 ELSE (b - a) / greatest(a, b
 @query("h23_silhouette", SILHOUETTE_SQL)
 def h23(spark, sf):
     rows = vectors(spark, sf).withColumnRenamed("label", "cluster")
-    return pairs.silhouette_values(rows).select("id", "cluster", r6("silhouette"))
+    return balls.silhouette(rows).select("id", "cluster", r6("silhouette"))
 
 
 def _customer_profiles(spark, sf):
