@@ -29,18 +29,18 @@ class Groups:
     def __init__(self, symbols: np.ndarray, edges: np.ndarray) -> None:
         n = len(symbols)
         self.symbols, self.edges = symbols, edges
-        string = np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+        string = np.repeat(np.arange(len(edges) - 1, dtype=np.int64), np.diff(edges))
         key = string * (int(symbols.max(initial=0)) + 1) + symbols
-        self.order = np.argsort(key, kind="stable")
+        self.order = np.argsort(key, kind="stable").astype(np.int32)
         ranked = key[self.order]
         starts = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if n else np.zeros(0, np.int64)
         sizes = np.diff(np.append(starts, n))
-        self.slot, self.head = np.empty(n, np.int64), np.empty(n, np.int64)
+        self.slot, self.head = np.empty(n, np.int32), np.empty(n, np.int32)
         self.slot[self.order] = np.arange(n)
         self.head[self.order] = np.repeat(starts, sizes)
-        self.size, self.prefix = np.zeros(n, np.int64), np.zeros(n, np.int64)
+        self.size, self.prefix = np.zeros(n, np.int32), np.zeros(n, np.int32)
         self.size[starts], self.prefix[starts] = sizes, 1
-        self.before = np.zeros(n, np.int64)
+        self.before = np.zeros(n, np.int32)
         self.moves = np.zeros(n, bool)
         # the group of the symbol 0 is the lowest of a string, and nothing is smaller
         ends = np.concatenate([[0], np.cumsum(symbols == 0)])
@@ -140,7 +140,7 @@ class Groups:
 def suffix_orders(symbols: np.ndarray, edges: np.ndarray) -> np.ndarray:
     """The suffix array of each string ``symbols[edges[s]:edges[s + 1]]``, one after the other. Each string ends in 0."""
     # a 0 before the first string, as before all others
-    groups = Groups(np.concatenate([[0], symbols]).astype(np.int64), np.concatenate([[0], np.asarray(edges, np.int64) + 1]))
+    groups = Groups(np.concatenate([np.zeros(1, np.int32), symbols.astype(np.int32)]), np.concatenate([[0], np.asarray(edges, np.int64) + 1]))
     groups.visit()
     return groups.emit()[1:] - 1
 

@@ -22,10 +22,10 @@ from cohortlens.llm.text import Powers, Ranges, byte_hashes, mixed, slices
 
 LEAST = 200
 CHUNK = 1 << 18  # window starts that are worked out together; longer texts go in several
-STRINGS = 1 << 22  # bytes of strings that are ordered side by side
-MOST = 64  # distinct pieces of a key
+STRINGS = 1 << 20  # bytes of strings that are ordered side by side; a task needs some sixty times as much
+MOST = 512  # distinct pieces of a key
 CUTS = (1, 4, 16)  # so many places of the anchor are told apart, and at last all
-SEEN = 1 << 20  # pieces whose bytes a task remembers to have sent
+SEEN = 1 << 17  # pieces whose bytes a task remembers to have sent
 HOT = 256  # a key with more than one in so many rows is dealt to several tasks
 SALTS = 32
 BITS = 12  # of a number of windows, or a place in one
@@ -267,7 +267,7 @@ def _windows(contents: list[bytes], string: np.ndarray, key: np.ndarray, digest:
     data = np.frombuffer(b"".join(c + b"\0" for c in contents), np.uint8)
     length = np.array([len(c) + 1 for c in contents], np.int64)
     begin = np.cumsum(length) - length
-    symbols = data.astype(np.int64) + 1
+    symbols = data.astype(np.int32) + 1
     symbols[begin + length - 1] = 0
     turn = np.flatnonzero(np.concatenate([[True], string[1:] != string[:-1]]))
     order = lyndon.suffix_orders(symbols, np.append(begin[turn], len(data)))
@@ -397,8 +397,10 @@ def remove_repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str
     by_row = found.groupBy("row_id").agg(F.collect_list(F.struct("key", "place")).alias("found"))
     pieces = stored(rows.select("row_id", "text").join(by_row, "row_id").select("row_id", "text", "found").mapInArrow(_pieces(least), PIECE), "pieces")
     windows, occurring = _windows_of(pieces, least)
-    hits = _matched(pieces.select(*NAME, "row_id", "start"), windows, NAME, occurring, "row_id")
-    ranges = F.struct((F.col("start") + F.col("first")).alias("first"), (F.col("start") + F.col("last")).alias("last"))
-    marks = hits.groupBy("row_id").agg(F.collect_list(ranges).alias("found"))
+    # at most one run for two windows of a piece
+    runs = windows.groupBy(*NAME).agg(F.collect_list(F.struct("first", "last")).alias("runs"))
+    hits = _matched(pieces.select(*NAME, "row_id", "start"), runs, NAME, occurring, "row_id")
+    ranges = F.transform("runs", lambda r: F.struct((F.col("start") + r["first"]).alias("first"), (F.col("start") + r["last"]).alias("last")))
+    marks = hits.groupBy("row_id").agg(F.flatten(F.collect_list(ranges)).alias("found"))
     out = rows.select("row_id", "id", "text").join(marks, "row_id", "left").select("id", "text", "found")
     return out.mapInArrow(_cut(least), f"id {id_type}, n_bytes long, removed array<struct<start:long,end:long>>, kept binary")
