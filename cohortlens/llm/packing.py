@@ -1,10 +1,10 @@
 """Mixture-controlled packing: deficit round-robin over source queues, worked out for all documents at once.
 
-In a round each source earns its share of a window and serves whole documents from its queue while the credit lasts; what
-is left is carried on. So the document that ends at token e of its queue is served in the first round r with
-r * quantum >= e: no state passes from task to task, and deficits carry across windows and partitions by construction.
-Documents in order of (round, source, place in the queue) form one stream of tokens, cut into windows. Places in queues and
-in the stream are running totals over hash ranges and blocks of rounds, each of which one task can hold.
+In a round each source earns its share of a window and serves that many tokens from its queue, cutting documents where the credit
+ends; the part of a token that is left is carried on. So after r rounds a source has served floor(r * quantum) tokens: no state passes from
+task to task, and deficits carry across windows and partitions by construction. A round is a window long but for the
+parts of tokens, so every window holds each source's share of it but for at most a token from each source. Places in queues are
+running totals over hash ranges, each of which one task can hold; places in the stream follow from the round.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ WINDOW = 4096
 END = 2
 CACHED_WORDS = 400_000
 _LAST = re.compile(rb"(?<=[a-z0-9])([.,;:!?])(?=[\x20\x09-\x0D]|\Z)")
+SHARES = 10**6  # the largest weight as a whole number
+TOGETHER = 1 << 20  # numbers of a table of rounds and sources
 WORDS_AT_ONCE = 8 << 20  # bytes of text whose words are looked up together
 
 
@@ -170,64 +172,135 @@ def _before(df: DataFrame, groups: list[str], block: str, order: list[str], valu
     )
 
 
-def schedule(lengths: DataFrame, window: int, weights: Mapping[str, float] | None = None) -> DataFrame:
-    """Add ``at``, the place of each row's first token in the one stream, to ``row_id, id, source, n``."""
-    rows, total = lengths.agg(F.count("*"), F.sum("n")).first()
-    total = total or 0
+def queued(lengths: DataFrame) -> DataFrame:
+    """``row_id, queue_at`` from ``row_id, id, source, n``: the tokens before each row in the queue of its source."""
+    rows = lengths.count()
     # about as many blocks as rows in a block, whatever the size
     blocks = 1 << max(0, math.ceil(math.log2(max(1, rows)) / 2))
     tag = F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), "row_id")
-    queued = lengths.withColumn("tag", tag).withColumn("slot", F.floor(F.pmod(F.shiftrightunsigned("tag", 32), F.lit(1 << 32)) / F.lit((1 << 32) // blocks)))
-    queued = _before(queued, ["source"], "slot", ["tag", "row_id"], "n", "queue_at")
-    shares = lengths.groupBy("source").agg(F.sum("n").alias("all"))
-    if weights is not None:
-        table = F.create_map(*[F.lit(x) for kv in weights.items() for x in kv]) if weights else F.create_map()
-        wanted = F.coalesce(F.try_element_at(table, F.col("source")), F.lit(0.0)).cast("double")
-        # a source without a weight is served after the others
-        shares = shares.withColumn("w", F.when(wanted > 0, wanted))
-        shares = shares.withColumn("quantum", F.lit(float(window)) * F.col("w") / F.sum("w").over(W.partitionBy()))
+    slot = F.floor(F.pmod(F.shiftrightunsigned("tag", 32), F.lit(1 << 32)) / F.lit((1 << 32) // blocks))
+    placed = lengths.withColumn("tag", tag).withColumn("slot", slot)
+    return _before(placed, ["source"], "slot", ["tag", "row_id"], "n", "queue_at").select("row_id", "queue_at")
+
+
+class Rounds:
+    """What each source has served after any number of rounds, in whole numbers.
+
+    ``sizes`` has the tokens of each source, ``weights`` what it earns in a round, of ``window`` tokens for all together.
+    """
+
+    def __init__(self, sizes: list[int], weights: list[int], window: int) -> None:
+        # numbers beyond 63 bits are Python's own
+        longest = max((n * sum(weights) // w for n, w in zip(sizes, weights)), default=0) + 2 * window
+        self.kind = np.int64 if longest * max([*weights, window]) < 1 << 62 and max(sizes, default=0) * sum(weights) < 1 << 62 else object
+        self.sizes, self.weights = np.array(sizes, self.kind), np.array(weights, self.kind)
+        self.all, self.window = sum(weights), window
+
+    def served(self, turn: np.ndarray, source: np.ndarray) -> np.ndarray:
+        return np.minimum(turn.astype(self.kind) * self.window * self.weights[source] // self.all, self.sizes[source]).astype(np.int64)
+
+    def turns(self, token: np.ndarray, source: int) -> np.ndarray:
+        """The round in which a token of the queue is served."""
+        earned = self.window * self.weights[source]
+        return (-(-(token.astype(self.kind) + 1) * self.all // earned)).astype(np.int64)
+
+    def places(self, turn: np.ndarray, source: np.ndarray) -> np.ndarray:
+        """Where in the stream a source begins in a round: all that was served before, and what sources before it serve."""
+        out = np.zeros(len(turn), np.int64)
+        rounds, row = np.unique(turn, return_inverse=True)
+        at_once = max(1, TOGETHER // max(1, len(self.sizes)))
+        for a in range(0, len(rounds), at_once):
+            own = np.flatnonzero((row >= a) & (row < a + at_once))
+            if len(own):
+                every = np.arange(len(self.sizes))
+                table = np.stack([self.served(rounds[a : a + at_once, None] - k, every[None, :]) for k in (1, 0)])
+                before = table[0].sum(axis=1)[:, None] + np.cumsum(table[1] - table[0], axis=1) - (table[1] - table[0])
+                out[own] = before[row[own] - a, source[own]]
+        return out
+
+
+def _pieces(rounds: Rounds, source: int, first: int, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Round, first token in the queue and number of tokens of each piece of a document."""
+    last = first + n
+    ends = rounds.turns(np.array([first, last - 1]), source)
+    if ends[1] - ends[0] >= n:
+        # fewer tokens than rounds: the round of each
+        turn = np.unique(rounds.turns(np.arange(first, last), source))
     else:
-        shares = shares.withColumn("quantum", F.lit(float(window)) * F.col("all") / F.lit(float(max(1, total))))
-    shares = shares.select(F.col("source").alias("_s"), "quantum")
-    turn = F.ceil((F.col("queue_at") + F.col("n")) / F.col("quantum"))
-    served = stored(
-        queued.join(shares, F.col("source").eqNullSafe(F.col("_s")))
-        .withColumn("turn", F.coalesce(turn, F.lit(1 << 62)))
-        .select("row_id", "id", "source", "n", "tag", "turn", "queue_at"),
-        "served",
-    )
-    turns = served.agg(F.max(F.when(F.col("turn") < 1 << 62, F.col("turn")))).first()[0] or 0
-    wide = max(1, math.ceil(math.sqrt(turns)))
-    late = F.lit(turns // wide + 1) + F.pmod(F.shiftrightunsigned("tag", 32), F.lit(1 << 32)) / F.lit((1 << 32) // blocks)
-    served = served.withColumn("block", F.when(F.col("turn") < 1 << 62, F.floor(F.col("turn") / wide)).otherwise(F.floor(late)))
-    return _before(served, [], "block", ["turn", "source", "queue_at", "row_id"], "n", "at")
+        turn = np.arange(ends[0], ends[1] + 1)
+    own = np.full(len(turn), source)
+    start, end = np.maximum(rounds.served(turn - 1, own), first), np.minimum(rounds.served(turn, own), last)
+    some = end > start
+    return turn[some], start[some], (end - start)[some]
 
 
-def _cut(window: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pieces of each document, one for each window that it reaches into."""
+def _cut(window: int, tables: list[tuple[dict, list[int], list[int], int]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Pieces of each document, one for each round in which it is served and each window that it then reaches into.
+
+    ``tables`` has sources by name, their tokens and weights, and where their stream begins.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        streams = [(names, Rounds(sizes, weights, window), begin) for names, sizes, weights, begin in tables]
         for batch in batches:
-            out: list[tuple] = []
-            rows, numbers, lengths = [], batch["n"].to_pylist(), batch["at"].to_pylist()
-            for row, (n, at, ids) in enumerate(zip(numbers, lengths, batch["ids"].to_pylist())):
-                wide = np.frombuffer(ids, np.uint16 if len(ids) == 2 * n else np.uint32).astype("<u4")
-                start = 0
-                while start < n:
-                    length = min(n - start, window - (at + start) % window)
-                    piece = wide[start : start + length]
-                    out.append((start, length, zlib.crc32(piece.tobytes()), n, (at + start) // window, (at + start) % window))
-                    rows.append(row)
-                    start += length
-            columns = list(zip(*out)) or [()] * 6
+            ids, n, queue = batch["ids"], batch["n"].to_numpy(), batch["queue_at"].to_numpy()
+            sources, columns = batch["source"].to_pylist(), []
+            for names, rounds, begin in streams:
+                parts = []
+                for row, source in enumerate(sources):
+                    if source in names:
+                        turn, start, length = _pieces(rounds, names[source], int(queue[row]), int(n[row]))
+                        parts.append((np.full(len(turn), row), np.full(len(turn), names[source]), turn, start, length))
+                if not parts:
+                    continue
+                row, source, turn, start, length = (np.concatenate(x) for x in zip(*parts))
+                at = begin + rounds.places(turn, source) + start - rounds.served(turn - 1, source)
+                start = start - queue[row]
+                # a piece that crosses the end of a window goes on in the next
+                crosses = np.repeat(np.arange(len(at)), (at + length - 1) // window - at // window + 1)
+                k = np.arange(len(crosses)) - np.searchsorted(crosses, crosses)
+                begins = np.maximum(at[crosses], (at[crosses] // window + k) * window)
+                ends = np.minimum((at + length)[crosses], (at[crosses] // window + k + 1) * window)
+                columns.append((row[crosses], start[crosses] + begins - at[crosses], ends - begins, begins))
+            if not columns:
+                continue
+            row, start, length, at = (np.concatenate(x) for x in zip(*columns))
+            by = np.lexsort((start, row))
+            row, start, length, at = row[by], start[by], length[by], at[by]
+            sums, wide, last = [], b"", -1
+            for r, a, m in zip(row.tolist(), start.tolist(), length.tolist()):
+                if r != last:
+                    raw, last = ids[r].as_buffer(), r
+                    wide = memoryview(np.frombuffer(raw, np.uint16 if len(raw) == 2 * n[r] else np.uint32).astype("<u4").tobytes())
+                sums.append(zlib.crc32(wide[4 * a : 4 * (a + m)]))
+            taken = pa.array(row, pa.int64())
+            numbers = (start, length, np.array(sums, np.int64), n[row], at // window, at % window)
             yield pa.RecordBatch.from_arrays(
-                [batch["id"].take(pa.array(rows, pa.int64())), batch["source"].take(pa.array(rows, pa.int64())), *[pa.array(c, pa.int64()) for c in columns]],
+                [batch["id"].take(taken), batch["source"].take(taken), *[pa.array(c, pa.int64()) for c in numbers]],
                 names=["id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"],
             )
 
     return run
 
 
+def streams(sizes: dict[str | None, int], weights: Mapping[str, float] | None) -> list[tuple[dict, list[int], list[int], int]]:
+    """The sources that are mixed, and after them those without a weight: names, tokens, whole weights, begin."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    if weights is None:
+        parts = [(order, [sizes[s] for s in order])]
+    else:
+        mixed = [s for s in order if weights.get(s, 0) > 0]
+        rest = [s for s in order if s not in set(mixed)]
+        most = max((weights[s] for s in mixed), default=1)
+        parts = [(mixed, [max(1, round(weights[s] / most * SHARES)) for s in mixed]), (rest, [sizes[s] for s in rest])]
+    out, begin = [], 0
+    for names, shares in parts:
+        if names:
+            out.append(({s: i for i, s in enumerate(names)}, [sizes[s] for s in names], shares, begin))
+            begin += sum(sizes[s] for s in names)
+    return out
+
+
 def pack(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -241,11 +314,15 @@ def pack(
     """One row per piece: ``id, source, start, length, ids_crc32, doc_tokens, sequence_id, offset``.
 
     ``weights`` are the target proportions by source; without them, each source's share of all tokens, so that all queues end
-    together. Every window but the last is full. Null or empty text: the end id alone. A null source is a source of its
-    own. Repeated rows are packed as often as they come. Empty table: no rows. Extra columns are not read.
+    together. Every window but the last is full, and holds each source's proportion but for a token from each source, while the
+    queues last; sources without a weight come after the others. Null or empty text: the end id alone. A null source is a source of its
+    own. Long texts are cut like others. Repeated rows are packed as often as they come; equal places in a queue go by row. Empty table: no
+    rows. Extra columns are not read.
     """
     tokens = encoded(docs, id_col, text_col, source_col, tokenizer or tokenizer_path(), end)
-    plan = schedule(tokens.select("row_id", "id", "source", "n"), window, weights).select("row_id", "at")
+    sizes = {r["source"]: r["n"] for r in tokens.groupBy("source").agg(F.sum("n").alias("n")).collect()}  # one row a source
+    plan = queued(tokens.select("row_id", "id", "source", "n"))
     id_type = tokens.schema["id"].dataType.simpleString()
     names = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return tokens.join(plan, "row_id").select("id", "source", "n", "at", "ids").mapInArrow(_cut(window), f"id {id_type}, source string, {names}")
+    rows = tokens.join(plan, "row_id").select("id", "source", "n", "queue_at", "ids")
+    return rows.mapInArrow(_cut(window, streams(sizes, weights)), f"id {id_type}, source string, {names}")

@@ -53,20 +53,46 @@ def test_each_id_lies_in_one_piece(docs, rows, tokenizer):
         assert all(c in crcs for _, _, c in pieces)
 
 
-def test_windows_follow_the_target_proportions(spark):
-    rows = [(i, "word " * (1 + i % 90), "en", "ab"[i % 2], 1) for i in range(400)]
-    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
-    window = 512
-    got = packing.pack(df, window=window, weights={"a": 3.0, "b": 1.0}).collect()
+def shares_of(got):
     share = defaultdict(Counter)
     for r in got:
         share[r["sequence_id"]][r["source"]] += r["length"]
-    total = Counter()
-    # until the first queue ends, what was served of each source stays within a document of its share
-    for w in range(len(share) // 2):
-        total += share[w]
-        served = sum(total.values())
-        assert abs(total["a"] - 0.75 * served) <= 2 * 92 + window * 0.25
+    return share
+
+
+def test_windows_follow_the_target_proportions(spark):
+    """Every window holds each source's share but for a token from each source, documents of any length."""
+    rows = [(i, "word " * (1 + i % 90) if i % 50 else "word " * 3_000, "en", "abbccccd"[i % 8], 1) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    window = 512
+    share = shares_of(packing.pack(df, window=window).collect())
+    sizes = sum(share.values(), Counter())
+    for w in range(len(share) - 1):
+        assert all(abs(share[w][s] - window * n / sizes.total()) <= len(sizes) + 1 for s, n in sizes.items())
+    share = shares_of(packing.pack(df, window=window, weights={"a": 3.0, "b": 1.0, "c": 0.5}).collect())
+    # until the first queue ends
+    whole = int(min(sizes["a"] / 3, sizes["b"], sizes["c"] / 0.5) * 4.5 / window) - 1
+    assert whole > 5
+    for w in range(whole):
+        assert all(abs(share[w][s] - window * x / 4.5) <= 5 for s, x in (("a", 3.0), ("b", 1.0), ("c", 0.5))) and not share[w]["d"]
+
+
+def test_rounds_count_alike_in_numbers_of_any_size():
+    """What a source has served, round by round, from fractions; and tokens of small sources, which earn less than one a round."""
+    from fractions import Fraction
+
+    for sizes, weights in (([7, 900, 93], [7, 900, 93]), ([5, 50, 500], [1, 10, 3]), ([10**15, 3 * 10**15, 12345], [10**15, 3 * 10**15, 12345])):
+        rounds = packing.Rounds(sizes, weights, 100)
+        for s, (n, w) in enumerate(zip(sizes, weights)):
+            last = int(rounds.turns(np.array([n - 1]), s)[0])
+            for r in {1, 2, 3, last - 1, last, last + 1} - {0}:
+                want = min(n, int(Fraction(r * 100 * w, sum(weights))))
+                assert int(rounds.served(np.array([r]), np.array([s]))[0]) == want
+                begin = sum(min(m, int(Fraction((r - 1) * 100 * v, sum(weights)))) for m, v in zip(sizes, weights))
+                begin += sum(min(m, int(Fraction(r * 100 * v, sum(weights)))) - min(m, int(Fraction((r - 1) * 100 * v, sum(weights)))) for m, v in zip(sizes[:s], weights[:s]))
+                assert int(rounds.places(np.array([r]), np.array([s]))[0]) == begin
+            turn, start, length = packing._pieces(rounds, s, max(0, n - 40), min(n, 40))
+            assert length.sum() == min(n, 40) and (start + length)[-1] == n and (start[1:] == (start + length)[:-1]).all()
 
 
 def test_no_weight_means_last_and_no_rows_mean_none(docs, none):
