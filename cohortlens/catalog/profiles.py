@@ -79,13 +79,14 @@ SHOWN = ("weight", "acctbal", "grade", "score", "lag1_rate", "lag1_state_rate")
     "d4_heatmap",
     with_(
         UNIT_SQL,
-        ", u AS MATERIALIZED (SELECT "
-        + ", ".join(f"{_corr(a, b)} AS r_{i}_{j}" for i, a in enumerate((*SHOWN, "y")) for j, b in enumerate((*SHOWN, "y")))
-        + " FROM unit), m AS MATERIALIZED ("
-        + _union(
-            f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(r_{i}_{j}, 6) AS r FROM u" for i, a in enumerate((*SHOWN, "y")) for j, b in enumerate((*SHOWN, "y"))
+        # the rows once, each pair once, then both ways round
+        f", u0 AS MATERIALIZED (SELECT {', '.join((*SHOWN, 'y'))} FROM unit), u AS MATERIALIZED (SELECT "
+        + ", ".join(f"{_corr(a, b)} AS r_{i}_{i + j}" for i, a in enumerate((*SHOWN, "y")) for j, b in enumerate((*SHOWN, "y")[i:]))
+        + " FROM u0), m AS MATERIALIZED (SELECT x.a AS col_a, x.b AS col_b, round(x.r, 6) AS r FROM (SELECT unnest(["
+        + ", ".join(
+            f"{{'a': '{a}', 'b': '{b}', 'r': r_{min(i, j)}_{max(i, j)}}}" for i, a in enumerate((*SHOWN, "y")) for j, b in enumerate((*SHOWN, "y"))
         )
-        + """),
+        + """]) AS x FROM u)),
 t AS (SELECT 'y' AS c UNION ALL SELECT * FROM (SELECT col_a FROM m WHERE col_b = 'y' AND col_a <> 'y' AND r IS NOT NULL
   ORDER BY abs(r) DESC, col_a LIMIT 3))
 SELECT * FROM m WHERE col_a IN (SELECT c FROM t) AND col_b IN (SELECT c FROM t)""",

@@ -27,40 +27,29 @@ def a2(spark, sf):
     return _by_year(tables.read_partition(spark, path, 1997))
 
 
-# A fixed log: all years added with wrong prices, then 1997 and later replaced by the right ones, then the earlier years.
-YEARS = range(1995, 2002)  # of the given orders
-COMMITS = (
-    [f'{{"add":{{"path":"stale/year={y}","partitionValues":{{"year":"{y}"}}}}}}' for y in YEARS],
-    [f'{{"remove":{{"path":"stale/year={y}"}}}}' for y in YEARS if y >= 1997]
-    + [f'{{"add":{{"path":"right/year={y}","partitionValues":{{"year":"{y}"}}}}}}' for y in YEARS if y >= 1997],
-    [f'{{"remove":{{"path":"stale/year={y}"}}}}' for y in YEARS if y < 1997]
-    + [f'{{"add":{{"path":"right/year={y}","partitionValues":{{"year":"{y}"}}}}}}' for y in YEARS if y < 1997],
-)
-
-
-def logged_orders(spark, sf):
-    """Orders by year beside a stale copy, and the fixed log that names the folders of each."""
-    path = shared_folder(spark) + "/logged"
-    rows = _orders_by_year(spark, sf)
-    rows.write.partitionBy("year").parquet(f"{path}/right")
-    rows.withColumn("o_totalprice", F.lit(-1.0)).write.partitionBy("year").parquet(f"{path}/stale")
-    for version, lines in enumerate(COMMITS):
-        # a folder named like a commit file: the log reader takes either
-        spark.createDataFrame([(line,) for line in lines], "value string").write.text(f"{path}/{snapshot.LOG}/{version:020d}.json")
+def yearly_files(spark, sf):
+    """The folder of the orders with one folder a year, as Spark writes and lists them."""
+    path = shared_folder(spark) + "/by_year"
+    _orders_by_year(spark, sf).write.partitionBy("year").parquet(path)
     return path
 
 
 @query("a3_snapshot_read", YEAR_SQL.format(where=""))
 def a3(spark, sf):
-    path = logged_orders(spark, sf)
-    files = snapshot.active_files(spark, path)
-    return _by_year(spark.read.option("basePath", f"{path}/right").parquet(*files))
+    """All files that make up a table without a log."""
+    path = yearly_files(spark, sf)
+    return _by_year(spark.read.option("basePath", path).parquet(*snapshot.recent_files(spark, path)))
 
 
-@query("a3_snapshot_partition", YEAR_SQL.format(where="WHERE year(o_orderdate) = 1998"))
+@query("a3_snapshot_partition", YEAR_SQL.format(where="WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders)"))
 def a3_year(spark, sf):
-    lake = tables.Lake(root="", facts=("orders",), context=(), modeling="orders", paths={"orders": logged_orders(spark, sf)})
-    return _by_year(tables.load(spark, lake, "orders", 1998, ["year", "o_totalprice"]))
+    """The files of one partition, the last that is there."""
+    path = yearly_files(spark, sf)
+    last = spark.read.parquet(path).agg(F.max("year")).first()[0]
+    if last is None:
+        return _by_year(_orders_by_year(spark, sf))
+    lake = tables.Lake(root="", facts=("orders",), context=(), modeling="orders", paths={"orders": path})
+    return _by_year(tables.load(spark, lake, "orders", last, ["year", "o_totalprice"]))
 
 
 def status_batches(spark, sf):
