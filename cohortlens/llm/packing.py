@@ -22,15 +22,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from cohortlens.llm.store import stored, worker_state
+from cohortlens.llm.text import slices
 
 TOKENIZER = "word_bpe_49k.json"
 WINDOW = 4096
 END = 2
-CACHED_WORDS = 400_000
+CACHED_WORDS = 300_000
 _LAST = re.compile(rb"(?<=[a-z0-9])([.,;:!?])(?=[\x20\x09-\x0D]|\Z)")
 SHARES = 10**6  # the largest weight as a whole number
 TOGETHER = 1 << 20  # numbers of a table of rounds and sources
-WORDS_AT_ONCE = 8 << 20  # bytes of text whose words are looked up together
+WORDS_AT_ONCE = 3 << 20  # bytes of text whose words are looked up together
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -122,20 +123,15 @@ def _encode(path: str, end: int) -> Callable[[Iterator[pa.RecordBatch]], Iterato
         ids = worker_state("ids_" + path, lambda: WordIds(path))
         last = array(ids.code, [end]).tobytes()
         for batch in batches:
-            texts = batch["text"].cast(pa.binary()).fill_null(b"").to_pylist()
-            at = 0
-            while at < len(texts):
-                to, size = at, 0
-                while to < len(texts) and (to == at or size + len(texts[to]) <= WORDS_AT_ONCE):
-                    size += len(texts[to])
-                    to += 1
-                found = [x + last for x in ids(texts[at:to])]
-                part = batch.slice(at, to - at)
+            for part in slices(batch["text"], WORDS_AT_ONCE):
+                data, edges = part.data.tobytes(), part.offsets.tolist()
+                found = [x + last for x in ids([data[a:b] for a, b in zip(edges, edges[1:])])]
+                own = batch.slice(part.first, part.n)
                 yield pa.RecordBatch.from_arrays(
-                    [part["row_id"], part["id"], part["source"], pa.array([len(x) // ids.width for x in found], pa.int64()), pa.array(found, pa.binary())],
+                    [own["row_id"], own["id"], own["source"], pa.array([len(x) // ids.width for x in found], pa.int64()), pa.array(found, pa.binary())],
                     names=["row_id", "id", "source", "n", "ids"],
                 )
-                at = to
+        pa.default_memory_pool().release_unused()
 
     return run
 
