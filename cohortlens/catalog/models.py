@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.catalog.metrics import MODELS_SQL, long_scores
 from cohortlens.catalog.registry import query, r6, with_
-from cohortlens.operators import balls, cluster, decide, frame, metrics, models, pairs, prep, splits
+from cohortlens.operators import balls, cluster, decide, frame, metrics, models, pairs, pivots, prep, splits
 from cohortlens.plans.bindings import (
     SCORED_EVENTS_SQL,
     SCORED_ORDERS_SQL,
@@ -183,7 +183,7 @@ EUCLIDEAN = NEAREST_SQL.format(distance="array_distance(a.v, b.v)")
 @query("h10_nearest", EUCLIDEAN + "SELECT id, rank, neighbor, round(distance, 6) AS distance FROM r WHERE rank <= 5")
 def h10(spark, sf):
     rows = vectors(spark, sf)
-    out = pairs.nearest(rows, rows, 5, skip_same_id=True)
+    out = pivots.nearest(rows, rows, 5, skip_same_id=True)
     return out.select("id", "rank", "neighbor", r6("distance"))
 
 

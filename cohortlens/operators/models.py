@@ -21,7 +21,8 @@ from cohortlens.functions.columns import ratio
 from cohortlens.functions.seeded import lowest_mask
 from cohortlens.operators.frame import Roles, min_max_score
 from cohortlens.operators.metrics import roc_auc
-from cohortlens.operators.pairs import nearest, vote
+from cohortlens.operators.pairs import vote
+from cohortlens.operators.pivots import nearest
 from cohortlens.operators.prep import feature_names, fit_prep
 from cohortlens.operators.splits import check_folds, with_folds
 from cohortlens.session import shared_folder, spread, written
