@@ -284,17 +284,24 @@ def _expected(broadcast, contexts: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = Tables(contexts)
-        tables, total, places = sizes.split(broadcast.value), np.zeros(sizes.size), np.arange(SIDE)
+        tables, total = sizes.split(broadcast.value), np.zeros(sizes.size)
         by_class, by_member = sizes.split(total)
+        # one symbol after the other: its sums stay in a core's own cache
+        class_sums, member_sums = np.zeros((SIDE, FEATURES, contexts)), np.zeros((SIDE, sizes.members))
+        shift = np.arange(FEATURES)[:, None] * contexts
         for batch in batches:
             for rows, members, c, _ in _chunks(batch, sizes):
                 p, q = _chances(tables[0], rows, sizes.class_rows - 1), _chances(tables[1], members, sizes.members + c)
                 by_class[-1] += p.sum(0, dtype=np.float64)
                 by_member[sizes.members :] += np.eye(SIDE, dtype=np.float32)[c].T @ q
-                for out, index, chance in ((by_class[:-1], rows, p), (by_member[: sizes.members], members, q)):
-                    weights, flat = chance.astype(np.float64).ravel(), out.reshape(-1)
-                    for r in index:
-                        flat += np.bincount(((r * SIDE)[:, None] + places).ravel(), weights, minlength=len(flat))
+                rows, members = rows - shift, members.ravel()
+                p, q = p.T.astype(np.float64), q.T.astype(np.float64)
+                for j in range(SIDE):
+                    for k in range(FEATURES):
+                        class_sums[j, k] += np.bincount(rows[k], p[j], minlength=contexts)
+                    member_sums[j] += np.bincount(members, np.concatenate([q[j]] * FEATURES), minlength=sizes.members)
+        by_class[:-1] = class_sums.reshape(SIDE, -1).T
+        by_member[: sizes.members] = member_sums.T
         yield in_blocks(total.astype(np.float32))
 
     return run
