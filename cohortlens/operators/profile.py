@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortlens.functions.columns import is_number, longer, safe_corr
+from cohortlens.operators.gram import pair_correlations
 from cohortlens.operators.ordering import exact_quantiles
 
 
@@ -124,15 +125,12 @@ def correlation_with_target(
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """``col_a, col_b, r`` for every pair, from one aggregate over the upper triangle."""
+    """``col_a, col_b, r`` for every pair of columns; missing values (NULL, NaN) count only for their own pairs."""
     columns = list(columns)
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    one = df.agg(*[safe_corr(F.col(a), F.col(b)).alias(f"p{i}") for i, (a, b) in enumerate(pairs)])
-    cells = []
-    for i, (a, b) in enumerate(pairs):
-        for left, right in {(a, b), (b, a)}:
-            cells.append(F.struct(F.lit(left).alias("col_a"), F.lit(right).alias("col_b"), F.col(f"p{i}").alias("r")))
-    return one.select(F.inline(F.array(*cells)))
+    upper = pair_correlations(df, columns)
+    both = upper.unionByName(upper.where("a < b").select(F.col("b").alias("a"), F.col("a").alias("b"), "r"))
+    names = F.array(*[F.lit(c) for c in columns]) if columns else F.array(F.lit(""))
+    return both.select(F.get(names, F.col("a")).alias("col_a"), F.get(names, F.col("b")).alias("col_b"), "r")
 
 
 def heatmap(df: DataFrame, target: str = "y", top: int = 12, columns: Sequence[str] | None = None) -> DataFrame:

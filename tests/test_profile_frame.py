@@ -133,3 +133,31 @@ def test_missing_group_is_named(table):
 def test_log_keeps_missing(spark):
     df = spark.createDataFrame([(None,), (-3.0,), (0.0,)], "x double")
     assert rows(df.select(frame.log_clipped("x").alias("v"))) == [(0.0,), (0.0,), (None,)]
+
+
+def test_correlations_of_many_columns_in_one_pass(spark):
+    """79 columns with gaps, constants and values far from 0, against numpy pair by pair."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    n, k = 300, 79
+    x = rng.normal(size=(n, 6)) @ rng.normal(size=(6, k)) + rng.normal(size=(n, k))
+    x[:, 3] = 0.1
+    x[:, 4] = 1e9 + x[:, 5] * 1e-2
+    gaps = rng.random((n, k)) < 0.15
+    gaps[:, 0] = False
+    gaps[:, 6] = True
+    data = [[None if g else float(v) for v, g in zip(row, gap)] for row, gap in zip(x, gaps)]
+    names = [f"x{i}" for i in range(k)]
+    df = spark.createDataFrame(data, ", ".join(f"{c} double" for c in names)).repartition(3)
+    got = {(r["col_a"], r["col_b"]): r["r"] for r in profile.correlation_matrix(df, names).collect()}
+    assert len(got) == k * k
+    for i, a in enumerate(names):
+        for j, b in enumerate(names):
+            both = ~gaps[:, i] & ~gaps[:, j]
+            u, v = x[both, i], x[both, j]
+            if not both.any() or u.min() == u.max() or v.min() == v.max():
+                assert got[a, b] is None
+            else:
+                assert abs(got[a, b] - np.corrcoef(u, v)[0, 1]) < 1e-6
+    assert profile.correlation_matrix(df, []).count() == 0
