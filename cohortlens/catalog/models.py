@@ -157,7 +157,7 @@ def h7(spark, sf):
 
 @query("h8_tree")
 def h8(spark, sf):
-    return _holdout_metrics(spark, sf, "tree", {"max_depth": 8, "min_samples_leaf": 100, "min_gain": 1e-4})
+    return _holdout_metrics(spark, sf, "tree", {"max_depth": 8, "min_samples_leaf": 100, "ccp_alpha": 1e-4})
 
 
 @query("h9_forest")

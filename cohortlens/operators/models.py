@@ -24,6 +24,7 @@ from cohortlens.operators.metrics import roc_auc
 from cohortlens.operators.pairs import vote
 from cohortlens.operators.pivots import nearest
 from cohortlens.operators.prep import feature_names, fit_prep
+from cohortlens.operators.pruning import pruned
 from cohortlens.operators.splits import check_folds, with_folds
 from cohortlens.session import shared_folder, spread, written
 from cohortlens.worklist import Worklist, data_fingerprint, fingerprint
@@ -40,7 +41,7 @@ SPACES: dict[str, dict[str, list]] = {
     "tree": {
         "max_depth": [4, 6, 8, 12, None],
         "min_samples_leaf": [20, 50, 100, 200],
-        "min_gain": [0.0, 2e-5, 2e-4, 2e-3],
+        "ccp_alpha": [0.0, 2e-5, 2e-4, 2e-3],
     },
     "random_forest": {
         "n_trees": [50, 80],
@@ -55,7 +56,7 @@ CANDIDATES = ("dummy", "logistic", "tree", "random_forest", "knn")
 DEFAULTS: dict[str, dict] = {
     "dummy": {},
     "logistic": {"C": 1.0, "class_weight": None},
-    "tree": {"max_depth": None, "min_samples_leaf": 1, "min_gain": 0.0},
+    "tree": {"max_depth": None, "min_samples_leaf": 1, "ccp_alpha": 0.0},
     "random_forest": {"n_trees": 80, "max_depth": None, "min_samples_leaf": 1, "max_features": "sqrt", "class_weight": None},
     "knn": {"k": 15, "weights": "uniform", "metric": "euclidean"},
 }
@@ -132,7 +133,7 @@ def _classifier(name: str, params: dict, weight_sum: float, seed: int):
     depth = params["max_depth"] or DEEPEST
     shape = {"maxDepth": min(depth, DEEPEST), "minInstancesPerNode": params["min_samples_leaf"], "maxBins": 256, "seed": seed}
     if name == "tree":
-        return DecisionTreeClassifier(minInfoGain=params["min_gain"], **shape, **common)
+        return DecisionTreeClassifier(**shape, **common)
     if name == "random_forest":
         return RandomForestClassifier(
             numTrees=params["n_trees"], featureSubsetStrategy=params["max_features"], **shape, **common
@@ -143,7 +144,8 @@ def _classifier(name: str, params: dict, weight_sum: float, seed: int):
 def _fit_on_features(name: str, params: dict, prepared: DataFrame, n_rows: int, seed: int):
     # balanced weights add up to the number of rows as well
     rows = prepared.withColumn("_w", _weight(prepared, params.get("class_weight")))
-    return _classifier(name, params, float(n_rows), seed).fit(rows)
+    model = _classifier(name, params, float(n_rows), seed).fit(rows)
+    return pruned(model, params["ccp_alpha"]) if name == "tree" else model
 
 
 def loss_slopes(model: PipelineModel, train: DataFrame, c: float, target: str = "y") -> DataFrame:

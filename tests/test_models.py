@@ -381,3 +381,42 @@ def test_queries_run_the_whole_search(spark, data, monkeypatch, name, home, oper
     with pytest.raises(Called):
         entry.queries()[name](spark, data)
     assert set(calls[0]) == given
+
+
+def test_pruning_cuts_the_weakest_links(spark, learnable):
+    alphas = (0.0, 1e-4, 1e-3, 1e-2, 1.0)
+    fitted = {a: models.fit_model("tree", learnable, ROLES, {"max_depth": 7, "min_samples_leaf": 5, "ccp_alpha": a}) for a in alphas}
+    trees = {a: m.stages[-1] for a, m in fitted.items()}
+    leaves = [(t.numNodes + 1) // 2 for t in trees.values()]
+    assert leaves[0] > leaves[2] and leaves == sorted(leaves, reverse=True) and leaves[-1] == 1
+    whole = models.fit_model("tree", learnable, ROLES, {"max_depth": 7, "min_samples_leaf": 5})
+    score = lambda m: {r["row_id"]: r["score"] for r in models.score(m, learnable).select("row_id", "score").collect()}
+    assert score(whole) == score(fitted[0.0])
+    # by definition: cut the weakest link of all, again and again
+    nodes = {r["id"]: r for r in spark.read.parquet(_saved(spark, trees[0.0])).collect()}
+    total = sum(nodes[0]["impurityStats"])
+    cost = lambda i: nodes[i]["impurity"] * sum(nodes[i]["impurityStats"]) / total
+    for a in alphas[1:]:
+        cut = set()
+
+        def ends(i):
+            return [i] if i in cut or nodes[i]["leftChild"] < 0 else ends(nodes[i]["leftChild"]) + ends(nodes[i]["rightChild"])
+
+        def inner(i):
+            return [] if len(ends(i)) == 1 else [i, *inner(nodes[i]["leftChild"]), *inner(nodes[i]["rightChild"])]
+
+        while links := [((cost(i) - sum(map(cost, ends(i)))) / (len(ends(i)) - 1), i) for i in inner(0)]:
+            if min(links)[0] > a:
+                break
+            cut.add(min(links)[1])
+        assert (trees[a].numNodes + 1) // 2 == len(ends(0))
+    # a pruned tree is saved and scored like any other
+    path = sinks.save_model(fitted[1e-3], shared_folder(spark), "pruned")
+    assert score(sinks.load_model(path)) == score(fitted[1e-3])
+    assert models.score(fitted[1e-3], learnable).select("score").distinct().count() <= leaves[2]
+
+
+def _saved(spark, tree):
+    path = shared_folder(spark) + "/tree"
+    tree.write().save(path)
+    return path + "/data"
