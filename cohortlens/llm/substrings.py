@@ -291,9 +291,8 @@ def _matched(left: DataFrame, right: DataFrame, on: list[str], counts: DataFrame
     total = counts.agg(F.sum("n")).first()[0] or 0
     # fewer than HOT keys have more than one row in HOT
     hot = [r[0] for r in counts.where(F.col("n") > max(total / HOT, 10_000)).select("key").collect()]
-    if not hot:
-        return left.join(right, on)
-    is_hot = F.col("key").isin(hot)
+    # one plan for all data: without hot keys every row has the salt 0 (a key that is not hot may be dealt out as well)
+    is_hot = F.col("key").isin(hot or [0])
     salted = left.withColumn("_s", F.when(is_hot, F.pmod(F.xxhash64(by), F.lit(SALTS))).otherwise(0).cast("int"))
     every = right.withColumn("_s", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
     return salted.join(every, [*on, "_s"]).drop("_s")
