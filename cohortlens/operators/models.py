@@ -145,7 +145,19 @@ def _fit_on_features(name: str, params: dict, prepared: DataFrame, n_rows: int,
     # balanced weights add up to the number of rows as well
     rows = prepared.withColumn("_w", _weight(prepared, params.get("class_weight")))
     model = _classifier(name, params, float(n_rows), seed).fit(rows)
-    return pruned(model, params["ccp_alpha"]) if name == "tree" else model
+    return pruned(model, params["ccp_alpha"]) if name == "tree" else _without_summary(rows.sparkSession, model)
+
+
+def _without_summary(spark: SparkSession, model):
+    """The same model without its training summary, as it is read from a store.
+
+    The summary holds the session, which travels with every task that scores; a session with job tags or observed metrics cannot be sent.
+    """
+    if not model.hasSummary:
+        return model
+    path = f"{shared_folder(spark)}/fitted"
+    model.write().save(path)
+    return type(model).load(path)
 
 
 def loss_slopes(model: PipelineModel, train: DataFrame, c: float, target: str = "y") -> DataFrame:

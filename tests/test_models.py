@@ -5,7 +5,7 @@ import math
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import functions as F
+from pyspark.sql import Observation, functions as F
 
 import __spark_entry__ as entry
 from cohortlens.operators import cluster, explain, metrics, models, pairs, prep, splits
@@ -165,6 +165,18 @@ def test_search_over_folds(learnable):
     assert knn.n_train == 300 and knn.cv_std is not None
 
 
+@pytest.mark.parametrize(("name", "params"), [("logistic", {}), ("random_forest", {"n_trees": 2, "max_depth": 3})])
+def test_fresh_models_score_in_a_session_with_tags_and_observations(spark, learnable, name, params):
+    seen = Observation()
+    spark.addTag("scoring")
+    try:
+        assert learnable.observe(seen, F.count("*").alias("n")).count() == seen.get["n"]
+        model = models.fit_model(name, learnable, ROLES, params)
+        assert models.score(model, learnable).agg(F.count("score")).first()[0] == 1200
+    finally:
+        spark.removeTag("scoring")
+
+
 def test_champion_rule(spark):
     schema = "name string, cv_roc_auc double, holdout_roc_auc double"
     pick = lambda *lines: models.champion(spark.createDataFrame(list(lines), schema)).first()[0]
