@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry
 from cohortlens.session import shared_folder
 from cohortlens.sources import preview, samples, sinks, snapshot, tables
 
@@ -130,3 +131,11 @@ def test_sinks(spark):
     assert set(paths) == {"t"}
     assert rows(spark.read.csv(paths["t"], header=True, schema="k string, v double")) == rows(df)
     assert rows(spark.read.schema("k string, v double").json(sinks.save_json(df, folder + "/j"))) == rows(df)
+
+
+@pytest.mark.parametrize(("years", "want"), [((1998, 1998, 1998, 2001), [(1998, 3, 3.0)]), ((1997, 2001), [])])
+def test_the_partition_query_reads_its_year_whatever_the_last_one_is(spark, tmp_path, years, want):
+    orders = [(i, f"{y}-03-0{i + 1}", 1.0) for i, y in enumerate(years)]
+    df = spark.createDataFrame(orders, "o_orderkey long, d string, o_totalprice double")
+    df.select("o_orderkey", F.to_date("d").alias("o_orderdate"), "o_totalprice").write.parquet(f"{tmp_path}/orders.parquet")
+    assert rows(entry.queries()["a3_snapshot_partition"](spark, str(tmp_path))) == want
