@@ -204,7 +204,7 @@ FROM r WHERE rank <= 11 GROUP BY 1""",
 )
 def h10_distance(spark, sf):
     rows = vectors(spark, sf)
-    near = pairs.nearest(rows, rows, 11, "manhattan", skip_same_id=True, block_rows=300)
+    near = pairs.nearest(rows, rows, 11, "manhattan", skip_same_id=True)
     return pairs.vote(near, 11, "distance").select("id", r6("score"))
 
 

@@ -19,6 +19,10 @@ from pyspark.sql import types as T
 BLOCK_ROWS = 65_536  # the most vectors of one side in a task
 CHUNK_ROWS = 512  # left chunks are not cut smaller than this for the sake of more tasks
 TILE_ROWS = 32
+QUERY_TILE = 256  # vectors whose nearest ones are looked for together
+COLUMN_TILE = 2_048
+WIDE = 8  # dimensions from which products are cheaper than sums of gaps
+LARGE = 1e15  # beyond that nothing is estimated
 
 # the functions below travel with the task: executors need not have this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -35,8 +39,9 @@ def block_pairs(
     n_left = left.count()
     n_right = n_left if right is left else right.count()
     tasks = 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    chunks = max(1, math.ceil(n_left / block_rows), min(tasks, math.ceil(n_left / CHUNK_ROWS)))
     blocks = max(1, math.ceil(n_right / block_rows))
+    # each side is copied once for every part of the other, so there are no more chunks than the tasks need
+    chunks = max(1, math.ceil(n_left / block_rows), min(math.ceil(tasks / blocks), math.ceil(n_left / CHUNK_ROWS)))
 
     def deal(df: DataFrame, prefix: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
         # names of their own on each side: Spark mixes up the columns when a frame meets itself in a cogroup
@@ -66,6 +71,104 @@ def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     return out if metric == "manhattan" else np.sqrt(out)
 
 
+class Estimates:
+    """Distances to the rows of ``b`` that are off by no more than a known error, and much cheaper than ``distances``."""
+
+    def __init__(self, b: np.ndarray, metric: str) -> None:
+        self.b, self.metric = b, metric
+        self.plain = not len(b) or b.shape[1] < WIDE or not np.abs(b).max() < LARGE
+        if self.plain:
+            return
+        if metric == "manhattan":
+            self.far = np.abs(b).sum(axis=1).max()
+            self.columns = np.ascontiguousarray(b.T, np.float32)
+        else:
+            self.centre = b.mean(axis=0)
+            self.moved = b - self.centre
+            self.square = (self.moved * self.moved).sum(axis=1)
+
+    def __call__(self, a: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+        """Estimates of the distances (euclidean: of their squares) of ``a`` to rows ``lo`` to ``hi``, and the error for each row of ``a``."""
+        if self.plain or not np.abs(a).max(initial=0) < LARGE:
+            with np.errstate(over="ignore", invalid="ignore"):
+                out = distances(a, self.b[lo:hi], self.metric)
+                out = out if self.metric == "manhattan" else out * out
+                out[~np.isfinite(out)] = np.inf
+                top = np.where(np.isfinite(out), out, 0).max(axis=1, initial=0)
+            return out, 1e-14 * top
+        if self.metric == "manhattan":
+            out, rows = np.empty((len(a), hi - lo), np.float32), a.astype(np.float32)
+            for s in range(0, len(a), TILE_ROWS):
+                # small enough for a core's own cache
+                part = out[s : s + TILE_ROWS]
+                part[:] = 0
+                gap = np.empty_like(part)
+                for j in range(a.shape[1]):
+                    np.subtract(rows[s : s + TILE_ROWS, j, None], self.columns[j, None, lo:hi], out=gap)
+                    np.abs(gap, out=gap)
+                    part += gap
+            return out, (a.shape[1] + 4) * 2.0**-22 * (np.abs(a).sum(axis=1) + self.far)
+        moved = a - self.centre
+        square = (moved * moved).sum(axis=1)
+        out = moved @ self.moved[lo:hi].T
+        out *= -2
+        out += square[:, None]
+        out += self.square[None, lo:hi]
+        return out, 1e-13 * a.shape[1] * (square + self.square.max() + 1e-300)
+
+
+def exact(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
+    """Distances of rows of ``a`` to the rows of ``b`` beside them, added up as in ``distances``."""
+    out = np.zeros(len(a))
+    for j in range(a.shape[1]):
+        gap = np.abs(a[:, j] - b[:, j])
+        out += gap if metric == "manhattan" else gap * gap
+    return out if metric == "manhattan" else np.sqrt(out)
+
+
+class Best:
+    """The ``k`` nearest rows of some vectors so far: only what an estimate leaves within the k-th distance is worked out."""
+
+    def __init__(self, a: np.ndarray, mine: np.ndarray | None, ids: np.ndarray, estimates: Estimates, k: int, limit: np.ndarray | None = None) -> None:
+        self.a, self.mine, self.ids, self.estimates, self.k = a, mine, ids, estimates, k
+        self.limit = np.full(len(a), np.inf) if limit is None else limit.copy()
+        self.row, self.col, self.distance = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+
+    def add(self, lo: int, hi: int, rows: np.ndarray | None = None) -> None:
+        """Rows ``lo`` to ``hi`` of the other side, for all vectors or those named."""
+        for start in range(lo, hi, COLUMN_TILE):
+            self._tile(start, min(hi, start + COLUMN_TILE), np.arange(len(self.a)) if rows is None else rows)
+
+    def _tile(self, lo: int, hi: int, rows: np.ndarray) -> None:
+        euclidean = self.estimates.metric != "manhattan"
+        guess, error = self.estimates(self.a[rows], lo, hi)
+        with np.errstate(over="ignore", invalid="ignore"):
+            limit = self.limit[rows] * (1 + 1e-9)
+            limit = limit * limit if euclidean else limit
+            open_, need = np.isinf(limit), self.k + (self.mine is not None)
+            if open_.any() and need <= hi - lo:
+                # so many are not farther than this, whatever the estimates are off
+                limit[open_] = np.partition(guess[open_], need - 1, axis=1)[:, need - 1] * (1 + 1e-6) + 2 * error[open_]
+            row, col = np.nonzero(guess <= (limit + error)[:, None])
+        row, col = rows[row], col + lo
+        if self.mine is not None:
+            other = self.mine[row] != self.ids[col]
+            row, col = row[other], col[other]
+        if not len(row):
+            return
+        with np.errstate(over="ignore", invalid="ignore"):
+            found = exact(self.a[row], self.estimates.b[col], self.estimates.metric)
+        good = np.isfinite(found) & (found <= self.limit[row])
+        row, col, found = (np.concatenate(x) for x in ((self.row, row[good]), (self.col, col[good]), (self.distance, found[good])))
+        order = np.lexsort((self.ids[col], found, row))
+        row, col, found = row[order], col[order], found[order]
+        place = np.arange(len(row)) - np.searchsorted(row, row)
+        last = place == self.k - 1
+        self.limit[row[last]] = np.minimum(self.limit[row[last]], found[last])
+        kept = place < self.k
+        self.row, self.col, self.distance = row[kept], col[kept], found[kept]
+
+
 def nearest(
     queries: DataFrame,
     base: DataFrame,
@@ -96,20 +199,17 @@ def nearest(
         right = right.sort_values("id", kind="stable").reset_index(drop=True)
         b, y, ids = matrix(right), right["y"].to_numpy(dtype=float), right["id"].to_numpy()
         a, mine = matrix(left), left["id"].to_numpy()
-        take, out = min(k, len(right)), []
-        for start in range(0, len(left), TILE_ROWS):
-            tile, owners = a[start : start + TILE_ROWS], mine[start : start + TILE_ROWS]
-            d = distances(tile, b, metric)
+        estimates, place, out = Estimates(b, metric), np.arange(len(right)), []
+        # rows of `right` are in id order, so their places settle ties
+        codes = ids if ids.dtype.kind in "iuf" else place
+        for start in range(0, len(left), QUERY_TILE):
+            owners = mine[start : start + QUERY_TILE]
+            own = None
             if skip_same_id:
-                d[owners[:, None] == ids[None, :]] = np.inf
-            # everything up to the k-th distance, then in order; rows of `right` are in id order, which settles ties
-            limit = np.partition(d, take - 1, axis=1)[:, take - 1]
-            row, col = np.nonzero((d <= limit[:, None]) & np.isfinite(d))
-            order = np.lexsort((col, d[row, col], row))
-            row, col = row[order], col[order]
-            place = np.arange(len(row)) - np.searchsorted(row, row)
-            row, col = row[place < take], col[place < take]
-            out.append(pd.DataFrame({"id": owners[row], "neighbor": ids[col], "y": y[col], "distance": d[row, col]}))
+                own = owners if codes is ids else pd.Index(ids).get_indexer(owners)
+            best_ = Best(a[start : start + QUERY_TILE], own, codes, estimates, k)
+            best_.add(0, len(right))
+            out.append(pd.DataFrame({"id": owners[best_.row], "neighbor": ids[best_.col], "y": y[best_.col], "distance": best_.distance}))
         return pd.concat(out, ignore_index=True)
 
     part = block_pairs(queries.select("id", "v"), base.select("id", "v", "y"), best, schema, block_rows)

@@ -3,8 +3,8 @@
 Rows of the base belong to the nearest of about sqrt(n) pivots. With d the distance from a query to a pivot and r that of a row to the
 same pivot, the row is at least |d - r| and at most d + r away. So the least r of the cells bound the k-th distance of a query
 from above before any row is read, and the range of r bounds what a cell can hold from below; with Euclidean distances, so does the
-plane between two pivots. A query opens the cell of its nearest pivot first, which lowers the bound, then the other cells that are left.
-Inside a cell rows are in order of r, and only those within the bound are compared.
+plane between two pivots. Cells lie together in blocks. A query meets the block of its nearest pivot first, which lowers the bound, then the
+other blocks with cells that are left. Inside a cell rows are in order of r, and only those within the bound are compared.
 """
 
 from __future__ import annotations
@@ -20,12 +20,12 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from cohortlens.functions.seeded import seeded_tag
-from cohortlens.operators.pairs import distances
+from cohortlens.operators.pairs import QUERY_TILE, Best, Estimates, distances
 from cohortlens.session import written
 
 CELLS = 1 << 12  # at most; the pivots are sent to all tasks
-BASE_BLOCK = 8_192  # rows of a cell in one task
-QUERY_BLOCK = 1_024
+BASE_BLOCK = 65_536  # rows of some cells in one task
+QUERY_BLOCK = 512  # queries are not cut smaller than this for the sake of more tasks
 TILE = 64
 SLACK = 1e-9  # of a bound, for rounding
 
@@ -68,71 +68,103 @@ def _least(k: int):
     return go
 
 
-def _bounds(pivots: np.ndarray, most: np.ndarray, least: np.ndarray, k: int, metric: str):
-    """For each query its first cell, a bound on the k-th distance, and the cells that can hold nearer rows, with their bounds."""
-    apart = distances(pivots, pivots, metric)
+class Cells:
+    """Pivots with the range of r and the least r of their cells, and the blocks that the cells belong to."""
+
+    def __init__(self, pivots: np.ndarray, most: np.ndarray, least: np.ndarray, first: np.ndarray, last: np.ndarray, metric: str) -> None:
+        self.pivots, self.most, self.least, self.first, self.last, self.metric = pivots, most, least, first, last, metric
+        self.apart = distances(pivots, pivots, metric)
+
+    def lower(self, d: np.ndarray) -> np.ndarray:
+        """What a row of each cell is away at least from queries ``d`` away from the pivots."""
+        low = np.maximum(np.maximum(d - self.most, self.least[:, 0] - d), 0)
+        if self.metric == "euclidean":
+            own = d.argmin(axis=1)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                plane = (d * d - (d[np.arange(len(d)), own] ** 2)[:, None]) / (2 * self.apart[own])
+            low = np.maximum(low, np.where(np.isfinite(plane), plane, 0))
+        low[:, ~np.isfinite(self.least[:, 0])] = np.inf
+        return low
+
+    def limits(self, d: np.ndarray, k: int) -> np.ndarray:
+        """A bound on the k-th distance."""
+        upper = (d[:, :, None] + self.least[None, :, :]).reshape(len(d), -1)
+        return np.partition(upper, k - 1, axis=1)[:, k - 1] if upper.shape[1] >= k else np.full(len(d), np.inf)
+
+
+def _first(cells: Cells, k: int):
+    """For each query a bound on the k-th distance, its nearest cell and the block in which that begins."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             v = _matrix(batch["v"])
-            first, limits, lists, lower, to_pivot = [], [], [], [], []
+            near, bound = np.zeros(len(v), np.int32), np.zeros(len(v))
             for a in range(0, len(v), TILE):
-                d = distances(v[a : a + TILE], pivots, metric)
-                upper = (d[:, :, None] + least[None, :, :]).reshape(len(d), -1)
-                limit = np.partition(upper, k - 1, axis=1)[:, k - 1] if upper.shape[1] >= k else np.full(len(d), np.inf)
-                low = np.maximum(np.maximum(d - most, least[:, 0] - d), 0)
-                own = d.argmin(axis=1)
-                if metric == "euclidean":
-                    row = np.arange(len(d))
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        plane = (d * d - (d[row, own] ** 2)[:, None]) / (2 * apart[own])
-                    low = np.maximum(low, np.where(np.isfinite(plane), plane, 0))
-                low[~np.isfinite(least[:, 0])[None, :].repeat(len(d), axis=0)] = np.inf
-                open_ = low <= limit[:, None] * (1 + SLACK) + SLACK
-                open_ &= np.isfinite(low)
-                first += own.tolist()
-                limits += limit.tolist()
-                for i in range(len(d)):
-                    cells = np.flatnonzero(open_[i])
-                    lists.append(cells)
-                    lower.append(low[i, cells])
-                    to_pivot.append(d[i, cells])
-            edges = pa.array([0, *np.cumsum([len(x) for x in lists])], pa.int32())
-            together = [np.concatenate(x) if x else np.zeros(0) for x in (lists, lower, to_pivot)]
-            opened = [pa.ListArray.from_arrays(edges, pa.array(x.astype(t))) for x, t in zip(together, (np.int32, float, float))]
-            columns = [batch["id"], batch["v"], pa.array(first, pa.int32()), pa.array(limits, pa.float64()), *opened]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "v", "first", "bound", "cells", "lower", "d"])
+                d = distances(v[a : a + TILE], cells.pivots, cells.metric)
+                near[a : a + TILE], bound[a : a + TILE] = d.argmin(axis=1), cells.limits(d, k)
+            columns = [batch["id"], batch["v"], pa.array(near), pa.array(bound), pa.array(cells.first[near].astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "v", "near", "bound", "block"])
+
+    return go
+
+
+def _others(cells: Cells, blocks: int):
+    """Each query once for every further block with a cell that can hold a nearer row."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            v, bound, done = _matrix(batch["v"]), batch["bound"].to_numpy(), batch["block"].to_numpy()
+            for a in range(0, len(v), TILE):
+                low = cells.lower(distances(v[a : a + TILE], cells.pivots, cells.metric))
+                row, cell = np.nonzero((low <= bound[a : a + TILE, None] * (1 + SLACK) + SLACK) & np.isfinite(low))
+                wanted = np.zeros((len(low), blocks + 1), np.int32)
+                np.add.at(wanted, (row, cells.first[cell]), 1)
+                np.add.at(wanted, (row, cells.last[cell] + 1), -1)
+                row, block = np.nonzero(np.cumsum(wanted, axis=1)[:, :blocks] > 0)
+                other = block != done[a + row]
+                row, block = pa.array(a + row[other]), pa.array(block[other].astype(np.int32))
+                columns = [*(batch[c].take(row) for c in ("id", "v", "near", "bound")), block]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "v", "near", "bound", "block"])
 
     return go
 
 
-def _search(k: int, metric: str, skip_same_id: bool, blank: list[str]):
-    """The ``k`` best rows of a cell's block for each query of a block, among those within its bound."""
+def _search(cells: Cells, k: int, skip_same_id: bool, blank: list[str]):
+    """The ``k`` best rows of a block for each query of a part, among those within its bound; only cells that can hold them are read."""
 
     def go(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = [pd.DataFrame({c: [] for c in blank})]
         if len(left) and len(right):
-            right = right.sort_values(["b_r", "b_id"], kind="stable")
-            left = left.sort_values("q_d", kind="stable")
+            right = right.sort_values(["b_cell", "b_r", "b_id"], kind="stable")
+            left = left.sort_values(["q_near", "q_id"], kind="stable")
             b, r, ids, y = (np.stack(right["b_v"].to_numpy()).astype(float), right["b_r"].to_numpy(), right["b_id"].to_numpy(), right["b_y"].to_numpy(dtype=float))
-            q, d, mine, bound = (np.stack(left["q_v"].to_numpy()).astype(float), left["q_d"].to_numpy(), left["q_id"].to_numpy(), left["q_bound"].to_numpy())
-            bound = bound * (1 + SLACK) + SLACK
-            for a in range(0, len(q), TILE):
-                part = slice(a, a + TILE)
-                lo = int(np.searchsorted(r, (d[part] - bound[part]).min(), side="left"))
-                hi = int(np.searchsorted(r, (d[part] + bound[part]).max(), side="right"))
-                found = distances(q[part], b[lo:hi], metric)
-                took = np.full(len(found), hi - lo)
+            names, begin = np.unique(right["b_cell"].to_numpy(), return_index=True)
+            end = np.append(begin[1:], len(b))
+            q, mine = np.stack(left["q_v"].to_numpy()).astype(float), left["q_id"].to_numpy()
+            bound = left["q_bound"].to_numpy() * (1 + SLACK) + SLACK
+            estimates = Estimates(b, cells.metric)
+            codes = ids if ids.dtype.kind in "iuf" else pd.Series(ids).rank(method="dense").to_numpy()
+            for a in range(0, len(q), QUERY_TILE):
+                part = slice(a, a + QUERY_TILE)
+                own = None
                 if skip_same_id:
-                    found[mine[part][:, None] == ids[None, lo:hi]] = np.inf
-                take = min(k, hi - lo)
-                limit = np.partition(found, take - 1, axis=1)[:, take - 1] if take else np.zeros(len(found))
-                row, col = np.nonzero((found <= np.minimum(limit, bound[part])[:, None]) & np.isfinite(found))
-                order = np.lexsort((ids[lo + col], found[row, col], row))
-                row, col = row[order], col[order]
-                place = np.arange(len(row)) - np.searchsorted(row, row)
-                row, col = row[place < k], col[place < k]
-                out.append(pd.DataFrame({"id": mine[part][row], "neighbor": ids[lo + col], "y": y[lo + col], "distance": found[row, col], "took": 0}))
+                    own = mine[part] if codes is ids else pd.Series(codes, index=ids).reindex(mine[part]).to_numpy()
+                best = Best(q[part], own, codes, estimates, k, bound[part])
+                d = distances(q[part], cells.pivots, cells.metric)
+                low, d = cells.lower(d)[:, names], d[:, names]
+                took = np.zeros(len(d), np.int64)
+                for c in np.argsort(low.min(axis=0), kind="stable"):
+                    rows = np.flatnonzero(low[:, c] <= best.limit * (1 + SLACK) + SLACK)
+                    if not len(rows):
+                        continue
+                    limit = best.limit[rows] * (1 + SLACK) + SLACK
+                    own_r = r[begin[c] : end[c]]
+                    lo = begin[c] + int(np.searchsorted(own_r, (d[rows, c] - limit).min(), side="left"))
+                    hi = begin[c] + int(np.searchsorted(own_r, (d[rows, c] + limit).max(), side="right"))
+                    if hi > lo:
+                        best.add(lo, hi, rows)
+                        took[rows] += hi - lo
+                out.append(pd.DataFrame({"id": mine[part][best.row], "neighbor": ids[best.col], "y": y[best.col], "distance": best.distance, "took": 0}))
                 out.append(pd.DataFrame({"id": mine[part], "neighbor": None, "y": np.nan, "distance": np.nan, "took": took}))
         return pd.concat([x for x in out if len(x)] or out, ignore_index=True)
 
@@ -163,35 +195,45 @@ def nearest(queries: DataFrame, base: DataFrame, k: int, metric: str = "euclidea
     for r in facts:  # one row a cell
         most[r["cell"]], sizes[r["cell"]] = r["most"], r["n"]
         least[r["cell"], : len(r["least"])] = r["least"]
-    shape = f"id {kinds[0]}, v array<double>, first int, bound double, cells array<int>, lower array<double>, d array<double>"
-    asked = written(queries.mapInArrow(_bounds(pivots, most, least, kk, metric), shape), "asked")
+    # cells one after the other in blocks of bounded size; a large cell has several
+    upto, first, last = 0, np.zeros(len(pivots), np.int64), np.zeros(len(pivots), np.int64)
+    for c in sorted(sizes):
+        if upto % BASE_BLOCK + sizes[c] > BASE_BLOCK:
+            upto += -upto % BASE_BLOCK
+        first[c], last[c] = upto // BASE_BLOCK, (upto + sizes[c] - 1) // BASE_BLOCK
+        upto += sizes[c]
+    n_blocks = -(-upto // BASE_BLOCK)
+    table = Cells(pivots, most, least, first, last, metric)
     spark = base.sparkSession
-    blocks = spark.createDataFrame([(c, -(-int(n) // BASE_BLOCK)) for c, n in sorted(sizes.items())], "cell int, blocks int")
-    stored = celled.join(F.broadcast(blocks), "cell").select(  # one row a cell
-        "cell", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), *[F.col(c).alias(f"b_{c}") for c in ("id", "v", "y", "r")]
+    tasks = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = spark.createDataFrame([(c, int(first[c]), int(last[c] - first[c]) + 1) for c in sorted(sizes)], "cell int, first int, pieces int")
+    stored = celled.join(F.broadcast(ranges), "cell").select(  # one row a cell
+        (F.col("first") + F.pmod(F.xxhash64("id"), F.col("pieces"))).cast("int").alias("block"), *[F.col(c).alias(f"b_{c}") for c in ("id", "v", "y", "cell", "r")]
     )
+    shape = f"id {kinds[0]}, v array<double>, near int, bound double, block int"
 
     def opened(rows: DataFrame) -> DataFrame:
-        """Search of ``id, v, bound, cell, d`` in their cells, query blocks by base blocks."""
-        rows = written(rows, "opened")
-        parts = rows.groupBy("cell").agg(F.ceil(F.count("*") / QUERY_BLOCK).cast("int").alias("parts")).join(F.broadcast(blocks), "cell")
-        part = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part")
-        left = rows.join(parts, "cell").select("cell", part, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), *[F.col(c).alias(f"q_{c}") for c in ("id", "v", "bound", "d")])
-        right = stored.join(parts.drop("blocks"), "cell").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
-        by = ("cell", "part", "block")
-        found = left.groupBy(*by).cogroup(right.groupBy(*by))
+        """Search of ``id, v, near, bound, block`` in their blocks; a vector moves once for each block."""
+        counts = rows.groupBy("block").agg(F.count("*").alias("n"))
+        # each part takes a copy of the block, so there are no more than the tasks need
+        enough = F.least(F.lit(-(-tasks // n_blocks)), F.ceil(F.col("n") / QUERY_BLOCK))
+        parts = counts.select("block", F.greatest(F.lit(1), F.ceil(F.col("n") / BASE_BLOCK), enough).cast("int").alias("parts"))
+        parts = F.broadcast(spark.createDataFrame(parts.collect(), "block int, parts int"))  # one row a block
+        left = rows.join(parts, "block").select("block", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int").alias("part"), *[F.col(c).alias(f"q_{c}") for c in ("id", "v", "near", "bound")])
+        right = stored.join(parts, "block").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+        found = left.groupBy("block", "part").cogroup(right.groupBy("block", "part"))
         schema = f"id {kinds[0]}, neighbor {kinds[1]}, y double, distance double, took long"
-        return written(found.applyInPandas(_search(k, metric, skip_same_id, blank), schema), "found")
+        return written(found.applyInPandas(_search(table, k, skip_same_id, blank), schema), "found")
 
-    each = asked.select("id", "v", "first", "bound", F.explode(F.arrays_zip("cells", "lower", "d")).alias("x"))
-    each = each.select("id", "v", "bound", F.col("x.cells").alias("cell"), F.col("x.lower").alias("lower"), F.col("x.d").alias("d"), (F.col("x.cells") == F.col("first")).alias("is_first"))
-    one = opened(each.where("is_first").select("id", "v", "bound", "cell", "d"))
-    # the k-th row of the first cell lowers the bound
+    asked = written(queries.mapInArrow(_first(table, kk), shape), "asked")
+    one = opened(asked)
+    # the k-th row of the first block lowers the bound
     kth = one.where("neighbor IS NOT NULL").groupBy("id").agg(F.count("*").alias("_n"), F.max("distance").alias("_kth"))
     kth = kth.where(F.col("_n") >= k).select("id", "_kth")
-    rest = each.where("NOT is_first").join(kth, "id", "left").withColumn("bound", F.least("bound", F.coalesce("_kth", "bound")))
-    rest = rest.where(F.col("lower") <= F.col("bound") * (1 + SLACK) + SLACK)
-    two = opened(rest.select("id", "v", "bound", "cell", "d"))
+    two = one.limit(0)
+    if n_blocks > 1:
+        rest = asked.join(kth, "id", "left").withColumn("bound", F.least("bound", F.coalesce("_kth", "bound"))).drop("_kth")
+        two = opened(written(rest.mapInArrow(_others(table, n_blocks), shape), "further"))
     every = one.unionByName(two)
     took = every.where("neighbor IS NULL").groupBy("id").agg((F.sum("took") + len(pivots)).alias("distances"))
     w = W.partitionBy("id").orderBy("distance", "neighbor")

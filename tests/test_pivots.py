@@ -49,3 +49,41 @@ def test_grouped_rows_take_fewer_distances_than_half_of_the_pairs(spark):
     found = pivots.nearest(df, df, 5, skip_same_id=True)
     took = {r["id"]: r["distances"] for r in found.select("id", "distances").collect()}
     assert len(took) == 1_500 and sum(took.values()) < 0.3 * 1_500**2
+
+
+def test_vectors_move_once_for_each_block(spark, tmp_path, monkeypatch):
+    """Uniform vectors open nearly all cells; what is written on the way must not hold a copy for each of them."""
+    v = np.random.default_rng(4).uniform(size=(900, 16))
+    df = table(spark, v)
+    paths = iter(range(99))
+    monkeypatch.setattr("cohortlens.session.shared_folder", lambda spark: f"{tmp_path}/{next(paths)}")
+    assert pivots.nearest(df, df, 5, skip_same_id=True).count() == 4_500
+    size = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    assert size < 8 * v.nbytes
+
+
+@pytest.mark.parametrize("metric", ["euclidean", "manhattan"])
+def test_estimates_lose_no_neighbor(metric):
+    rng = np.random.default_rng(6)
+    for shift, scale in ((0, 1), (1e6, 1e-3), (0, 1e200), (1e-200, 1e-202)):
+        b = rng.normal(size=(5_000, 12)) * scale + shift
+        b[100:140] = b[:40]
+        b[7, 3], b[8, 0] = np.inf, np.nan
+        a, ids = b[:300], np.arange(len(b))
+        best = pairs.Best(a, ids[:300], ids, pairs.Estimates(b, metric), 4)
+        best.add(0, len(b))
+        with np.errstate(all="ignore"):
+            d = pairs.distances(a, b, metric)
+        d[np.arange(300), np.arange(300)] = np.inf
+        d[~np.isfinite(d)] = np.inf
+        want = [(i, j, d[i, j]) for i in range(300) for j in np.argsort(d[i], kind="stable")[:4] if np.isfinite(d[i, j])]
+        assert list(zip(best.row, best.col, best.distance)) == want
+
+
+def test_copies_of_both_sides_are_balanced(spark, monkeypatch):
+    """The base is copied once for every chunk of the queries; with several blocks fewer chunks are enough for all tasks."""
+    monkeypatch.setattr(pairs, "CHUNK_ROWS", 10)
+    df = table(spark, groups(400)).select("id", "v")
+    met = pairs.block_pairs(df, df, lambda a, b: b[["id"]], "id long", block_rows=100)
+    # 4 blocks and 16 tasks: 4 chunks
+    assert {r[0] for r in met.groupBy("id").count().select("count").collect()} == {4}
