@@ -45,6 +45,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def apart(df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt by ``key``, all rows of one together, for tasks that take a partition as it comes.
+
+    Dealt by a hash of the key, as Spark leaves out a repartition by the very column that a join below has dealt by, and may then
+    turn that join into one that deals nothing.
+    """
+    return df.repartition(F.xxhash64(key))
+
+
 def numbered(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
     """``docs`` with a number for each row, fixed by writing it, and the name of that column, which clashes with no other."""
     name = "_row_number"

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from cohortlens.llm import lyndon
-from cohortlens.llm.store import stored, whole_text
+from cohortlens.llm.store import apart, stored, whole_text
 from cohortlens.llm.text import Powers, Ranges, byte_hashes, mixed, slices
 
 LEAST = 200
@@ -315,15 +315,19 @@ def _windows_of(pieces: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     places = least - gram(least) + 1
     rows, parts, out, levels = pieces, None, None, [c for c in CUTS[1:] if c < places] + [places]
     while True:
-        large = counts.where(F.col("pieces") > MOST).select("key")
-        if not levels or large.isEmpty():
+        large, ready = None, counts
+        if levels:
+            # a table of its own, so that Spark knows how few they are
+            large = stored(counts.where(F.col("pieces") > MOST).select("key"), "large_keys")
+            ready = counts.where(F.col("pieces") <= MOST)
+        if large is not None and large.isEmpty():
             large = None
-        numbers = distinct.join(counts.select("key"), "key").select(*NAME, "n", "count", F.lit(None).cast("binary").alias("content"))
-        sent = rows.where(F.col("content").isNotNull()).select(*NAME, F.lit(None).cast("long").alias("n"), F.lit(None).cast("int").alias("count"), "content")
-        strings = numbers.unionByName(sent)
+        numbers = distinct.join(ready.select("key"), "key").select(*NAME, "n", "count", F.lit(None).cast("binary").alias("content"))
+        sent = rows.where(F.col("content").isNotNull())
         if large is not None:
-            strings = strings.join(large, "key", "left_anti")
-        strings = strings.repartition("key").sortWithinPartitions(*NAME)
+            sent = sent.join(large, "key", "left_anti")
+        sent = sent.select(*NAME, F.lit(None).cast("long").alias("n"), F.lit(None).cast("int").alias("count"), "content")
+        strings = apart(numbers.unionByName(sent), "key").sortWithinPartitions(*NAME)
         found = strings.mapInArrow(_ordered(least), "key long, digest long, first int, last int")
         if parts is not None:
             # windows of parts are windows of the pieces that they come from

@@ -84,6 +84,22 @@ def test_hot_passages_are_cut_further(spark, monkeypatch, most):
     assert found(substrings.remove_repeated_bytes(df)) == wanted(rows, 200)
 
 
+def test_joins_that_change_while_they_run_lose_nothing(spark, monkeypatch):
+    """Large tables: the joins below are planned as sorted ones, and Spark sends the smaller side around once it is seen to be small."""
+    monkeypatch.setattr(substrings, "MOST", 8)
+    rows = hot_rows(120)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    names = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name, value in names.items():
+        spark.conf.set(name, value)
+    try:
+        assert found(substrings.remove_repeated_bytes(df)) == wanted(rows, 200)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_chunks_and_batches_do_not_show(spark, monkeypatch):
     rng = random.Random(2)
     word = lambda: "".join(rng.choice("abcd") for _ in range(rng.randint(1, 5)))
