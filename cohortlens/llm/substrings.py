@@ -22,7 +22,7 @@ from cohortlens.llm.text import Powers, Ranges, byte_hashes, mixed, slices
 
 LEAST = 200
 CHUNK = 1 << 18  # window starts that are worked out together; longer texts go in several
-STRINGS = 1 << 20  # bytes of strings that are ordered side by side; a task needs some sixty times as much
+STRINGS = 2 << 20  # bytes of strings that are ordered side by side; a task needs some sixty times as much
 MOST = 512  # distinct pieces of a key
 CUTS = (1, 4, 16)  # so many places of the anchor are told apart, and at last all
 SEEN = 1 << 17  # pieces whose bytes a task remembers to have sent
@@ -255,10 +255,9 @@ def repeated_windows(table: pa.Table, least: int) -> Iterator[pa.RecordBatch]:
         columns = [pa.array(x) for x in (key[alone], digest[alone], np.zeros(len(alone), np.int32), count[alone].astype(np.int32))]
         yield pa.RecordBatch.from_arrays(columns, names=["key", "digest", "first", "last"])
     contents = table["content"]
-    # strings of like size side by side: the longest one says how many steps there are
-    kind = np.frexp(sizes[string])[1]
-    for size in np.unique(kind[sizes[string] > 1]):
-        rows = np.flatnonzero((kind == size) & (sizes[string] > 1))
+    # all strings side by side: the longest one says how many steps there are, and those that have ended drop out
+    rows = np.flatnonzero(sizes[string] > 1)
+    if len(rows):
         texts = contents.take(pa.array(content[rows])).to_pylist()
         yield from _windows(texts, string[rows], key[rows], digest[rows], times[rows], count[rows], least)
 
