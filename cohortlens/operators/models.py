@@ -26,13 +26,14 @@ from cohortlens.operators.pivots import nearest
 from cohortlens.operators.prep import feature_names, fit_prep
 from cohortlens.operators.pruning import pruned
 from cohortlens.operators.splits import check_folds, with_folds
-from cohortlens.session import shared_folder, spread, written
+from cohortlens.session import PARTITION_ROWS, shared_folder, spread, written
 from cohortlens.worklist import Worklist, data_fingerprint, fingerprint
 
 SEED = 42
 KNN_ROWS = 50_000
 FOLDS = 5
 DRAWS = 8
+LOGISTIC_ROWS = 1 << 19  # rows of a partition of a logistic fit: each pass over them sends the driver a result from every partition
 DEEPEST = 30  # the deepest tree Spark grows; stands for "no limit"
 
 # The parameter spaces that are searched.
@@ -148,6 +149,11 @@ def _fit_on_features(name: str, params: dict, prepared: DataFrame, n_rows: int,
     return pruned(model, params["ccp_alpha"]) if name == "tree" else _without_summary(rows.sparkSession, model)
 
 
+def _partition_rows(name: str) -> int:
+    """A logistic fit passes over its rows tens of times; trees draw by partition and keep the smaller ones."""
+    return LOGISTIC_ROWS if name == "logistic" else PARTITION_ROWS
+
+
 def _without_summary(spark: SparkSession, model):
     """The same model without its training summary, as it is read from a store.
 
@@ -192,7 +198,7 @@ def _fit_prepared(name: str, params: dict, prep: PipelineModel, prepared: DataFr
         base = prepared.select(F.col(row_key).alias("id"), vector_to_array("features").alias("v"), F.col("y").cast("double").alias("y"))
         return KnnModel(prep, written(base, "knn_base"), params, row_key)
     n_rows = prepared.count()
-    rows = spread(prepared, n_rows, row_key).persist(StorageLevel.MEMORY_AND_DISK)
+    rows = spread(prepared, n_rows, row_key, _partition_rows(name)).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fitted = _fit_on_features(name, params, rows, n_rows, seed)
     finally:
@@ -291,7 +297,7 @@ def _fold_scores(name: str, settings: list[dict], folds: FoldMatrices, fold: int
                     parts.append(held.select(key, "y").join(votes, key).select(F.lit(i).alias("draw"), "y", "score"))
     else:
         n_rows = train.count()
-        rows = spread(train, n_rows, key).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = spread(train, n_rows, key, _partition_rows(name)).persist(StorageLevel.MEMORY_AND_DISK)
         kept = [rows, held.persist(StorageLevel.MEMORY_AND_DISK)]
         for i, p in enumerate(settings):
             model = _fit_on_features(name, p, rows, n_rows, folds.seed)

@@ -177,6 +177,16 @@ def test_fresh_models_score_in_a_session_with_tags_and_observations(spark, learn
         spark.removeTag("scoring")
 
 
+@pytest.mark.parametrize(("name", "params", "partitions"), [("logistic", {}, 2), ("random_forest", {"n_trees": 2, "max_depth": 3}, 12)])
+def test_logistic_fits_deal_their_rows_to_larger_partitions(learnable, monkeypatch, name, params, partitions):
+    dealt, spread = [], models.spread
+    monkeypatch.setattr(models, "LOGISTIC_ROWS", 800, raising=False)
+    monkeypatch.setattr(models, "PARTITION_ROWS", 100, raising=False)
+    monkeypatch.setattr(models, "spread", lambda *args: dealt.append(spread(*args)) or dealt[-1])
+    models.fit_model(name, learnable, ROLES, params)
+    assert [df.rdd.getNumPartitions() for df in dealt] == [partitions]
+
+
 def test_champion_rule(spark):
     schema = "name string, cv_roc_auc double, holdout_roc_auc double"
     pick = lambda *lines: models.champion(spark.createDataFrame(list(lines), schema)).first()[0]
