@@ -1,6 +1,7 @@
 import inspect
 import itertools
 import math
+import threading
 
 import numpy as np
 import pytest
@@ -187,6 +188,17 @@ def test_logistic_fits_deal_their_rows_to_larger_partitions(learnable, monkeypat
     assert [df.rdd.getNumPartitions() for df in dealt] == [partitions]
 
 
+def test_units_side_by_side_have_local_properties_of_their_own(spark, tmp_path):
+    both = threading.Barrier(2, timeout=60)
+
+    def pool():
+        both.wait()
+        return spark.sparkContext.getLocalProperty("spark.scheduler.pool")
+
+    found = Worklist(spark, str(tmp_path), "own").units({"a": pool, "b": pool})
+    assert found["a"].startswith("a-") and found["b"].startswith("b-")
+
+
 def test_champion_rule(spark):
     schema = "name string, cv_roc_auc double, holdout_roc_auc double"
     pick = lambda *lines: models.champion(spark.createDataFrame(list(lines), schema)).first()[0]
