@@ -28,7 +28,9 @@ TOKENIZER = "word_bpe_49k.json"
 WINDOW = 4096
 END = 2
 CACHED_WORDS = 300_000
-_LAST = re.compile(rb"(?<=[a-z0-9])([.,;:!?])(?=[\x20\x09-\x0D]|\Z)")
+_SIGN = rb"[!-&(-/:-@\[-`{-~]"  # ASCII signs but the apostrophe
+# signs that end a word after a digit or a letter (a-z, or of U+00C0 to U+00FF); it begins with a sign, which is found faster than what is before
+_LAST = re.compile(_SIGN + rb"(?:(?<=[a-z0-9].)|(?<=\xC3[\x80-\x96\x98-\xB6\xB8-\xBF].))" + _SIGN + rb"*+(?=[\x20\x09-\x0D]|\Z)")
 SHARES = 10**6  # the largest weight as a whole number
 TOGETHER = 1 << 20  # numbers of a table of rounds and sources
 WORDS_AT_ONCE = 3 << 20  # bytes of text whose words are looked up together
@@ -50,8 +52,8 @@ def _byte_letters() -> dict[int, str]:
 class WordIds:
     """Ids of texts by a tokenizer whose pieces never cross white space, and which folds case: each word is encoded rarely.
 
-    What splits off in any case is split before words are looked up, so that fewer are different: A-Z become a-z, and one
-    sign after a letter or digit that ends a word stands alone. A test compares with encoding whole texts. Words that come again
+    What splits off in any case is split before words are looked up, so that fewer are different: A-Z become a-z, and the
+    signs after a letter or digit that end a word stand alone. A test compares with encoding whole texts. Words that come again
     are kept, up to ``CACHED_WORDS``; those that came once are not, so rare words do not push out the others.
     """
 
@@ -79,42 +81,46 @@ class WordIds:
     def _words(self, text: bytes) -> list[bytes]:
         if any(s.split(b"|")[0] in text and s.lower() in text.lower() for s in self.special):
             return text.split()  # special tokens are found as they stand
-        return _LAST.sub(rb" \1", text.translate(self.fold)).split()
+        return _LAST.sub(rb" \g<0>", text.translate(self.fold)).split()
 
     def _plain(self, word: bytes) -> str | None:
         """A word of Latin lower-case letters as the model sees it; none if other steps could change it."""
         if not self.short_cut:
             return None
+        if word.isalpha() and word.islower():
+            return word.decode("ascii")  # bytes know ASCII letters only
         text = word.decode()
         if not text.isalpha() or max(text) > "\u024f" or text.lower() != text:
             return None
         return text if text.isascii() else word.decode("latin-1").translate(self.letters)
 
-    def _encoded(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        plain, other = [], []
-        for w in words:
-            x = self._plain(w)
-            plain.append((w, x)) if x is not None else other.append((w, w.decode()))
-        for tokenizer, part in ((self.bare, plain), (self.tokenizer, other)):
+    def _encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
+        seen = [self._plain(w) for w in words]
+        plain, other = [w for w, x in zip(words, seen) if x is not None], [w for w, x in zip(words, seen) if x is None]
+        code, out = self.code, {}
+        for tokenizer, part, asked in ((self.bare, plain, [x for x in seen if x is not None]), (self.tokenizer, other, [w.decode() for w in other])):
             for at in range(0, len(part), 10_000):
-                found = tokenizer.encode_batch_fast([x for _, x in part[at : at + 10_000]], add_special_tokens=False)
-                for (w, _), e in zip(part[at : at + 10_000], found):
-                    yield w, array(self.code, e.ids).tobytes()
+                found = tokenizer.encode_batch_fast(asked[at : at + 10_000], add_special_tokens=False)
+                out.update(zip(part[at : at + 10_000], [array(code, e.ids).tobytes() for e in found]))
+        return out
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         split = [self._words(t) for t in texts]
         known = self.known
-        table = {w: known.get(w) for w in set().union(*split)}
-        here = dict(self._encoded([w for w, x in table.items() if x is None]))
-        table.update(here)
-        get = table.__getitem__
+        here = self._encoded(list(set().union(*split).difference(known)))
+        room = CACHED_WORDS - len(known)
+        known.update(here)
+        get = known.__getitem__
         out = [b"".join(map(get, words)) for words in split]
-        for w, x in here.items():
+        for w in here:
             at = zlib.crc32(w) & 0xFFFFFF
             if not self.once[at >> 3] >> (at & 7) & 1:
                 self.once[at >> 3] |= 1 << (at & 7)
-            elif len(known) < CACHED_WORDS:
-                known[w] = x
+                del known[w]
+            elif room > 0:
+                room -= 1
+            else:
+                del known[w]
         return out
 
 

@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -28,6 +29,30 @@ def test_words_have_the_ids_of_the_whole_text(tokenizer, rows):
         assert got == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_signs_that_end_a_word_are_looked_up_alone(tokenizer):
+    find = packing.WordIds(packing.tokenizer_path())
+    text = "Gut... gut$$$ café!! 7,) CAFÉ? it's. don't' a.,'b c]\u0301 ×!! ='s; x--"
+    got = find._words(text.encode())
+    assert got[:10] == [w.encode() for w in ("gut", "...", "gut", "$$$", "café", "!!", "7", ",)", "cafÉ", "?")]
+    rng = random.Random(5)
+    texts = [text] + ["".join(rng.choices("ab Éé×9.,'!$<|>-=~ \n\u0301", k=60)) for _ in range(300)]
+    for _ in range(3):
+        ids = [np.frombuffer(x, np.uint16).tolist() for x in find([t.encode() for t in texts])]
+        assert ids == [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert b"gut" in find.known and b"gut..." not in find.known
+
+
+def test_words_that_come_once_are_not_kept(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_WORDS", 2)
+    find = packing.WordIds(packing.tokenizer_path())
+    first = find([b"one two three four"])
+    assert not find.known
+    assert find([b"one two three four"]) == first
+    assert len(find.known) == 2
+    assert find([b"one two three four"]) == first
+    assert len(find.known) == 2
+
+
 def test_each_id_lies_in_one_piece(docs, rows, tokenizer):
     window = 64
     got = packing.pack(docs, window=window).collect()
