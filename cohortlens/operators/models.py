@@ -34,6 +34,7 @@ KNN_ROWS = 50_000
 FOLDS = 5
 DRAWS = 8
 LOGISTIC_ROWS = 1 << 19  # rows of a partition of a logistic fit: each pass over them sends the driver a result from every partition
+LEVELS_KEPT = 9  # forests up to this depth keep each row's nodes, instead of going down all trees again for each level; the trees are the same
 DEEPEST = 30  # the deepest tree Spark grows; stands for "no limit"
 
 # The parameter spaces that are searched.
@@ -137,7 +138,7 @@ def _classifier(name: str, params: dict, weight_sum: float, seed: int):
         return DecisionTreeClassifier(**shape, **common)
     if name == "random_forest":
         return RandomForestClassifier(
-            numTrees=params["n_trees"], featureSubsetStrategy=params["max_features"], **shape, **common
+            numTrees=params["n_trees"], featureSubsetStrategy=params["max_features"], cacheNodeIds=depth <= LEVELS_KEPT, **shape, **common
         )
     raise ValueError(f"unknown model '{name}'")
 

@@ -1,11 +1,13 @@
 import inspect
 import itertools
 import math
+import random
 import threading
 
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import Observation, functions as F
 
 import __spark_entry__ as entry
@@ -454,3 +456,15 @@ def _saved(spark, tree):
     path = shared_folder(spark) + "/tree"
     tree.write().save(path)
     return path + "/data"
+
+
+def test_a_forest_that_keeps_the_nodes_of_its_rows_has_the_same_trees(spark):
+    rng = random.Random(4)
+    lines = [(Vectors.dense([rng.random() for _ in range(4)]), float(rng.random() < 0.4), 1.0) for _ in range(600)]
+    rows = spark.createDataFrame(lines, ["features", "y", "_w"]).coalesce(1)
+    shallow, deep = ({**models.DEFAULTS["random_forest"], "n_trees": 4, "max_depth": d, "min_samples_leaf": 5} for d in (5, 12))
+    kept = models._classifier("random_forest", shallow, 600.0, 3)
+    assert kept.getCacheNodeIds()
+    assert not models._classifier("random_forest", deep, 600.0, 3).getCacheNodeIds()
+    trees = kept.fit(rows).toDebugString.split("\n")[1:]
+    assert trees == kept.copy().setCacheNodeIds(False).fit(rows).toDebugString.split("\n")[1:]
