@@ -211,6 +211,9 @@ def score(model: PipelineModel | KnnModel, df: DataFrame, name: str = "score") -
     """The rows of ``df`` with the predicted chance of y = 1."""
     if isinstance(model, KnnModel):
         return model.score(df).withColumnRenamed("score", name)
+    if getattr(model.stages[-1], "hasSummary", False):
+        # a model that was fitted elsewhere
+        model = PipelineModel([*model.stages[:-1], _without_summary(df.sparkSession, model.stages[-1])])
     out = model.transform(df)
     if "probability" in out.columns:
         return out.select(*df.columns, vector_to_array("probability")[1].alias(name))
