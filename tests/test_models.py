@@ -275,6 +275,39 @@ def test_attribution_equals_the_definition(learnable, forest):
         assert got[i] == pytest.approx(brute_shapley(leaves, x[i], len(names)), abs=1e-12)
 
 
+def test_attribution_works_out_each_kind_of_row_once(learnable, forest, monkeypatch):
+    leaves = explain.leaf_paths(explain.tree_nodes(forest))
+    few = np.array([r[0] for r in forest.transform(learnable.limit(7)).select(vector_to_array("features")).collect()])
+    kinds, seen = [], np.bincount  # one call a leaf
+
+    def counted(code, *args, **kwargs):
+        kinds.append((len(code), len(set(code.tolist()))))
+        return seen(code, *args, **kwargs)
+
+    monkeypatch.setattr(np, "bincount", counted)
+    many = explain.attribute_rows(np.tile(few, (300, 1)), leaves)
+    assert kinds and all(rows == 2100 and found <= 7 for rows, found in kinds)
+    monkeypatch.setattr(explain, "FEW_PASSED", 0)
+    assert explain.attribute_rows(few, leaves) == pytest.approx(many[:7], abs=1e-15)
+    assert np.array_equal(many[:7], many[-7:])
+
+
+def test_fits_of_a_learning_curve_run_side_by_side(learnable, monkeypatch):
+    import threading
+
+    first_two, fit = threading.Barrier(2, timeout=60), explain.fit_model
+    begun = itertools.count()
+
+    def together(*args, **kwargs):
+        if next(begun) < 2:
+            first_two.wait()  # broken, and so an error, if one fit waits for the other to end
+        return fit(*args, **kwargs)
+
+    monkeypatch.setattr(explain, "fit_model", together)
+    curve = explain.learning_curve("dummy", {}, learnable, ROLES, group="group_id", folds=2, shares=(0.3, 1.0))
+    assert {(r["fold"], r["split"]) for r in curve.collect()} == {(f, s) for f in (0, 1) for s in ("train", "validation")}
+
+
 def test_attribution_adds_up_to_the_score(learnable, forest):
     values = explain.tree_attribution(forest, learnable, n_samples=200)
     total = values.groupBy("row_id").agg((F.sum("phi") + F.max("base")).alias("t"))
