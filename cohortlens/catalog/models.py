@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from cohortlens.catalog.metrics import MODELS_SQL, long_scores
 from cohortlens.catalog.registry import query, r6, with_
+from cohortlens.functions.seeded import given
 from cohortlens.operators import balls, cluster, decide, frame, metrics, models, pairs, pivots, prep, splits
 from cohortlens.plans.bindings import (
     SCORED_EVENTS_SQL,
@@ -210,9 +211,9 @@ def h10_distance(spark, sf):
 
 @query("h10_knn_model")
 def h10_model(spark, sf):
-    """The k-nearest classifier of the search, fitted on a capped sample of the training groups."""
+    """The k-nearest classifier of the search, fitted on all rows of the training groups."""
     rows = written(splits.grouped_holdout(model_input(spark, sf)), "holdout")
-    train = written(splits.row_cap(rows.where("not is_test"), models.KNN_ROWS), "knn_train")
+    train = rows.where("not is_test").withColumn("row_id", given("row_id"))
     model = models.fit_model("knn", train, ROLES, {"k": 31, "weights": "distance"})
     return metrics.classification_metrics(models.score(model, rows.where("is_test")).select("y", "score"))
 

@@ -23,6 +23,11 @@ def unit_interval(tag: Column) -> Column:
     return F.conv(F.substring(tag, 1, 13), 16, 10).cast("double") / F.lit(float(2**52))
 
 
+def given(key: str) -> Column:
+    """The key; a missing one is an error."""
+    return F.coalesce(F.col(key), F.raise_error(F.lit(f"'{key}' is missing in some rows")))
+
+
 def lowest_mask(
     keys: DataFrame,
     seed: int | str,
