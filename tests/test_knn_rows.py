@@ -3,8 +3,13 @@
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from cohortlens.catalog import models as catalog
 from cohortlens.operators import models, splits
+from cohortlens.operators.frame import Roles
+from cohortlens.session import shared_folder
+from cohortlens.worklist import Worklist
 
 
 @pytest.fixture(scope="module")
@@ -32,3 +37,22 @@ def test_a_training_row_without_a_key_is_an_error(spark, units, monkeypatch):
     monkeypatch.setattr(catalog, "model_input", lambda spark, sf: units.selectExpr("nullif(row_id, 5) row_id", "* except (row_id)"))
     with pytest.raises(Exception, match="'row_id' is missing in some rows"):
         catalog.h10_model(spark, "").collect()
+
+
+def test_a_search_keeps_all_rows_unless_a_number_is_given(spark):
+    rows = spark.range(50_100).select(
+        F.col("id").alias("row_id"), F.concat(F.lit("g"), F.col("id") % 500).alias("group_id"), (F.col("id") % 2).cast("double").alias("y"), F.rand(1).alias("a")
+    )
+    roles = Roles(["a"], [])
+    folds = models.FoldMatrices(rows, roles, Worklist(spark, shared_folder(spark), "whole"), k=2)
+    assert folds.folded().where("capped").count() == 50_100
+    assert folds.fit_rows("knn", None).count() == 50_100
+    assert folds.fit_rows("knn", 0).count() + folds.held_rows("knn", 0).count() == 50_100
+    capped = models.FoldMatrices(rows, roles, Worklist(spark, shared_folder(spark), "capped"), k=2, knn_rows=300)
+    assert capped.folded().where("capped").count() == 300
+
+
+def test_a_search_over_rows_without_a_key_is_an_error(units):
+    rows = units.selectExpr("nullif(row_id, 5) row_id", "* except (row_id)")
+    with pytest.raises(Exception, match="'row_id' is missing in some rows"):
+        models.search("logistic", rows, Roles(["lag1_rate"], []), n_draws=1, k=2)
