@@ -20,9 +20,13 @@ BLOCK_ROWS = 65_536  # the most vectors of one side in a task
 CHUNK_ROWS = 512  # left chunks are not cut smaller than this for the sake of more tasks
 TILE_ROWS = 32
 QUERY_TILE = 256  # vectors whose nearest ones are looked for together
-COLUMN_TILE = 2_048
+COLUMN_TILE = 4_096
 WIDE = 8  # dimensions from which products are cheaper than sums of gaps
 LARGE = 1e15  # beyond that nothing is estimated
+TOGETHER = 3  # gaps of codes that are added up in one byte
+LEVELS = 255 // TOGETHER  # steps of a code
+FEW = 0.02  # codes are used where they leave at most this share of the pairs open
+SAMPLED = (32, 1_024)  # rows of both sides on which that is tried
 
 # the functions below travel with the task: executors need not have this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -76,18 +80,69 @@ class Estimates:
 
     def __init__(self, b: np.ndarray, metric: str) -> None:
         self.b, self.metric = b, metric
+        self.coded = False
         self.plain = not len(b) or b.shape[1] < WIDE or not np.abs(b).max() < LARGE
         if self.plain:
             return
         if metric == "manhattan":
             self.far = np.abs(b).sum(axis=1).max()
-            self.columns = np.ascontiguousarray(b.T, np.float32)
+            self.short = b.astype(np.float32)
+            self.columns = np.ascontiguousarray(self.short.T)
+            self.coded = self._code()
         else:
             self.centre = b.mean(axis=0)
             self.moved = b - self.centre
             self.square = (self.moved * self.moved).sum(axis=1)
 
-    def __call__(self, a: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+    def _code(self) -> bool:
+        """One byte for each number, on one scale for all columns; whether that tells enough pairs apart."""
+        b = self.b
+        self.low, self.step = b.min(), (b.max() - b.min()) / LEVELS
+        if not self.step > 0 or LEVELS * b.shape[1] >= 1 << 16:
+            return False
+        codes, off = self._codes(b)
+        self.bytes, self.off = np.ascontiguousarray(codes.T), off.max()
+        few, more = (np.unique(np.linspace(0, len(b) - 1, n).astype(np.int64)) for n in SAMPLED)
+        found = distances(b[few], b[more], self.metric)
+        found[few[:, None] == more] = np.inf
+        guess = distances(codes[few].astype(float), codes[more].astype(float), self.metric) * self.step
+        return bool((guess <= found.min(axis=1, keepdims=True) + 2 * self.off).mean() <= FEW)
+
+    def _codes(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The codes, and how far the numbers of each row are from what their codes stand for, in all."""
+        codes = np.clip(np.rint((rows - self.low) / self.step), 0, LEVELS)
+        return codes.astype(np.int8), np.abs(rows - (self.low + codes * self.step)).sum(axis=1)
+
+    def _by_codes(self, codes: np.ndarray, lo: int, hi: int) -> np.ndarray:
+        """The sums of the gaps between codes."""
+        out = np.zeros((len(codes), hi - lo), np.uint16)
+        for s in range(0, len(codes), TILE_ROWS):
+            part, rows = out[s : s + TILE_ROWS], codes[s : s + TILE_ROWS]
+            gap, some = np.empty(part.shape, np.int8), np.empty(part.shape, np.uint8)
+            for j in range(0, codes.shape[1], TOGETHER):
+                np.subtract(rows[:, j, None], self.bytes[j, None, lo:hi], out=gap)
+                np.abs(gap, out=some.view(np.int8))
+                for i in range(j + 1, min(j + TOGETHER, codes.shape[1])):
+                    np.subtract(rows[:, i, None], self.bytes[i, None, lo:hi], out=gap)
+                    np.abs(gap, out=gap)
+                    some += gap.view(np.uint8)
+                part += some
+        return out
+
+    def closer(self, a: np.ndarray, row: np.ndarray, col: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Better estimates for some pairs that codes leave open, and the error for each row of ``a``."""
+        out, rows = np.empty(len(row), np.float32), a.astype(np.float32)
+        for s in range(0, len(row), COLUMN_TILE):
+            part = slice(s, s + COLUMN_TILE)
+            gap = rows[row[part]]
+            gap -= self.short[col[part]]
+            out[part] = np.abs(gap, out=gap).sum(axis=1)
+        return out, self._short_error(a)
+
+    def _short_error(self, a: np.ndarray) -> np.ndarray:
+        return (a.shape[1] + 4) * 2.0**-22 * (np.abs(a).sum(axis=1) + self.far)
+
+    def __call__(self, a: np.ndarray, lo: int, hi: int, closely: bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Estimates of the distances (euclidean: of their squares) of ``a`` to rows ``lo`` to ``hi``, and the error for each row of ``a``."""
         if self.plain or not np.abs(a).max(initial=0) < LARGE:
             with np.errstate(over="ignore", invalid="ignore"):
@@ -96,6 +151,12 @@ class Estimates:
                 out[~np.isfinite(out)] = np.inf
                 top = np.where(np.isfinite(out), out, 0).max(axis=1, initial=0)
             return out, 1e-14 * top
+        if self.coded and not closely:
+            codes, off = self._codes(a)
+            # rows far from all that the codes stand for are left to numbers
+            if off.max(initial=0) <= 2 * self.off:
+                out = np.multiply(self._by_codes(codes, lo, hi), np.float32(self.step), dtype=np.float32)
+                return out, off + self.off + 1e-6 * LEVELS * a.shape[1] * self.step
         if self.metric == "manhattan":
             out, rows = np.empty((len(a), hi - lo), np.float32), a.astype(np.float32)
             for s in range(0, len(a), TILE_ROWS):
@@ -107,7 +168,7 @@ class Estimates:
                     np.subtract(rows[s : s + TILE_ROWS, j, None], self.columns[j, None, lo:hi], out=gap)
                     np.abs(gap, out=gap)
                     part += gap
-            return out, (a.shape[1] + 4) * 2.0**-22 * (np.abs(a).sum(axis=1) + self.far)
+            return out, self._short_error(a)
         moved = a - self.centre
         square = (moved * moved).sum(axis=1)
         out = moved @ self.moved[lo:hi].T
@@ -141,15 +202,21 @@ class Best:
 
     def _tile(self, lo: int, hi: int, rows: np.ndarray) -> None:
         euclidean = self.estimates.metric != "manhattan"
-        guess, error = self.estimates(self.a[rows], lo, hi)
         with np.errstate(over="ignore", invalid="ignore"):
             limit = self.limit[rows] * (1 + 1e-9)
             limit = limit * limit if euclidean else limit
             open_, need = np.isinf(limit), self.k + (self.mine is not None)
+            # the first limits come from close estimates
+            closely = bool(open_.any())
+            guess, error = self.estimates(self.a[rows], lo, hi, closely)
             if open_.any() and need <= hi - lo:
                 # so many are not farther than this, whatever the estimates are off
                 limit[open_] = np.partition(guess[open_], need - 1, axis=1)[:, need - 1] * (1 + 1e-6) + 2 * error[open_]
             row, col = np.nonzero(guess <= (limit + error)[:, None])
+            if self.estimates.coded and not closely and len(row):
+                guess, error = self.estimates.closer(self.a[rows], row, col + lo)
+                left = guess <= (limit + error)[row]
+                row, col = row[left], col[left]
         row, col = rows[row], col + lo
         if self.mine is not None:
             other = self.mine[row] != self.ids[col]

@@ -87,3 +87,37 @@ def test_copies_of_both_sides_are_balanced(spark, monkeypatch):
     met = pairs.block_pairs(df, df, lambda a, b: b[["id"]], "id long", block_rows=100)
     # 4 blocks and 16 tasks: 4 chunks
     assert {r[0] for r in met.groupBy("id").count().select("count").collect()} == {4}
+
+
+@pytest.mark.parametrize("kind", ["normal", "outlier", "copies", "far queries"])
+def test_codes_of_one_byte_leave_out_no_neighbor(monkeypatch, kind):
+    monkeypatch.setattr(pairs, "COLUMN_TILE", 300)
+    rng = np.random.default_rng(9)
+    b = rng.normal(size=(1_500, 33)).astype(float)
+    if kind == "outlier":
+        b[17, 3] = 1e4
+    if kind == "copies":
+        b[700:] = b[:800]
+    a = b[:200] if kind != "far queries" else b[:200] + np.where(np.arange(200) % 2, 50.0, 0.0)[:, None]
+    estimates, ids = pairs.Estimates(b, "manhattan"), np.arange(len(b))
+    # one number far off takes up the scale, so that codes would leave all pairs open
+    assert estimates.coded == (kind != "outlier")
+    best = pairs.Best(a, np.arange(200), ids, estimates, 7)
+    best.add(0, len(b))
+    d = pairs.distances(a, b, "manhattan")
+    d[np.arange(200), np.arange(200)] = np.inf
+    want = np.argsort(d, axis=1, kind="stable")[:, :7]
+    assert (best.col.reshape(200, 7) == want).all() and (best.distance.reshape(200, 7) == np.take_along_axis(d, want, 1)).all()
+
+
+def test_codes_settle_nearly_all_pairs():
+    v = np.random.default_rng(10).normal(size=(4_000, 64))
+    estimates = pairs.Estimates(v, "manhattan")
+    guess, error = estimates(v[:100], 0, len(v))
+    d = pairs.distances(v[:100], v, "manhattan")
+    assert (np.abs(guess - d) <= error[:, None]).all()
+    close, less = estimates(v[:100], 0, len(v), closely=True)
+    assert (np.abs(close - d) <= less[:, None]).all() and (less < error / 100).all()
+    row, col = np.nonzero(guess <= (np.sort(d, axis=1)[:, 12] + error)[:, None])
+    some, less = estimates.closer(v[:100], row, col)
+    assert (np.abs(some - d[row, col]) <= less[row]).all() and len(row) < 0.03 * d.size
