@@ -68,11 +68,15 @@ def matrix(pdf: pd.DataFrame) -> np.ndarray:
 
 def distances(a: np.ndarray, b: np.ndarray, metric: str) -> np.ndarray:
     """Distances of every row of ``a`` to every row of ``b``, one dimension at a time: no cancellation."""
-    out = np.zeros((len(a), len(b)))
-    for j in range(a.shape[1]):
-        gap = np.abs(a[:, j, None] - b[None, :, j])
-        out += gap if metric == "manhattan" else gap * gap
-    return out if metric == "manhattan" else np.sqrt(out)
+    out, gap = np.zeros((len(a), len(b))), np.empty((len(a), len(b)))
+    for left, right in zip(a.T, np.ascontiguousarray(b.T)):
+        np.subtract(left[:, None], right, out=gap)
+        if metric == "manhattan":
+            np.abs(gap, out=gap)
+        else:
+            np.multiply(gap, gap, out=gap)
+        out += gap
+    return out if metric == "manhattan" else np.sqrt(out, out=out)
 
 
 class Estimates:
